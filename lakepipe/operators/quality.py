@@ -9,7 +9,7 @@ All rules of a stage are evaluated for all submissions in one pass:
 * each ``unique`` rule needs the key-group counts, i.e. a second aggregate
   ``groupBy(sid, keys)`` -> ``groupBy(sid)``, joined back on the sid;
 * the wide row per submission is turned into one result row per rule with
-  ``explode(array(struct ...))`` (no shuffle).
+  ``inline(array(struct ...))`` (no shuffle).
 
 A submission without any rows (e.g. every line rejected upstream) still gets
 results when the submission list is passed in: the aggregate rules are then
@@ -35,7 +35,7 @@ def _typed_bound(df: DataFrame, column: str, bound) -> tuple[Column, Column]:
     c = F.col(column)
     dtype = df.schema[column].dataType if column in df.columns else None
     if isinstance(bound, (int, float)) and isinstance(dtype, T.StringType):
-        c = F.try_cast(c, T.DecimalType(38, 10) if isinstance(bound, int) else T.DoubleType())
+        c = (c).try_cast(T.DecimalType(38, 10) if isinstance(bound, int) else T.DoubleType())
     return c, F.lit(bound)
 
 
@@ -129,17 +129,13 @@ def to_results(wide: DataFrame, rules: RuleSet, stage: str, key: str | None = KE
     ts = checked_at if checked_at is not None else F.localtimestamp()
     return (wide
             .select(sid.alias("submission_id"), F.col(_TESTED).cast("long").alias("records_tested"),
-                    F.explode(F.array(*entries)).alias("r"))
-            .select(F.col("r.rule_id").alias("rule_id"),
+                    F.inline(F.array(*entries)))
+            .select("rule_id",
                     F.lit(rules.version).alias("rule_version"),
                     F.lit(rules.contract).alias("contract"),
                     F.lit(stage).alias("stage"),
-                    "submission_id",
-                    F.col("r.dimension").alias("dimension"),
-                    F.col("r.severity").alias("severity"),
-                    "records_tested",
-                    F.col("r.records_failed").alias("records_failed"),
-                    F.when(F.col("r.records_failed") == 0, F.lit("PASS"))
+                    "submission_id", "dimension", "severity", "records_tested", "records_failed",
+                    F.when(F.col("records_failed") == 0, F.lit("PASS"))
                      .otherwise(F.lit("FAIL")).alias("outcome"),
                     ts.cast("timestamp_ntz").alias("checked_at")))
 

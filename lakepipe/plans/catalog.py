@@ -176,3 +176,110 @@ def checks_one_current_version(spark, sf_dir):
 @query
 def checks_ratio_plausible(spark, sf_dir):
     return checks.implausible_ratios(lcr_chain(spark, sf_dir)[3])
+
+
+# ------------------------------------------------- structural validation (C)
+
+def _validated_orders(spark, sf_dir):
+    from lakepipe.contracts import load_contract
+    from lakepipe.operators import structure
+    return structure.validate(td.order_files(spark, sf_dir), load_contract())
+
+
+@query
+def structural_errors(spark, sf_dir):
+    from lakepipe.operators import structure
+    return structure.error_rows(_validated_orders(spark, sf_dir))
+
+
+@query
+def structural_counts(spark, sf_dir):
+    return _validated_orders(spark, sf_dir).select(
+        "submission_id", "status", "n_errors", "record_count", "reason")
+
+
+@query
+def control_total_check(spark, sf_dir):
+    v = _validated_orders(spark, sf_dir)
+    m = F.col("manifest")
+    return v.select("submission_id", "record_count",
+                    m["record_count"].alias("manifest_record_count"),
+                    F.round("control_total", 2).cast("decimal(38,2)").alias("control_total"),
+                    m["control_total"].alias("manifest_control_total"),
+                    (F.col("record_count") == m["record_count"]).alias("count_ok"),
+                    (F.abs(F.round("control_total", 2).cast("double") - m["control_total"]) <= 0.01)
+                    .alias("total_ok"))
+
+
+# ----------------------------------------------------------- intake (B)
+
+@query
+def intake_name_parse(spark, sf_dir):
+    from lakepipe.operators import intake
+    f = intake.parse_names(td.landing_files(spark, sf_dir))
+    return f.select("path", "file_name", "name_ok", "institution_id", "return_type",
+                    "reporting_period", "version", "submission_id", "raw_key")
+
+
+@query
+def intake_checksum(spark, sf_dir):
+    from lakepipe.operators import intake
+    f = intake.checksums(td.landing_files(spark, sf_dir))
+    return f.select("path", "sha256", "manifest_ok", "manifest_sha256", "checksum_ok")
+
+
+@query
+def intake_duplicate(spark, sf_dir):
+    from lakepipe.operators import intake
+    d = intake.decide(td.landing_files(spark, sf_dir))
+    return d.where(F.col("verdict") == "DUPLICATE").select("path", "sha256", "duplicate_of_file")
+
+
+@query
+def intake_verdict(spark, sf_dir):
+    from lakepipe.operators import intake
+    d = intake.decide(td.landing_files(spark, sf_dir))
+    return d.select("path", "submission_id", "verdict", "reason")
+
+
+# ------------------------------------------------------------ ledger (E)
+
+def ledger_events(spark, sf_dir):
+    """Lifecycle events of the rule-test submissions: received, gate verdict, publish."""
+    from lakepipe.operators import ledger
+    rows = td.lcr_rules_input(spark, sf_dir)
+    subs = rows.groupBy("submission_id").agg(F.min("loaded_at").alias("loaded_at"))
+    received = ledger.status_events(subs, "RECEIVED",
+                                    F.timestamp_add("HOUR", F.lit(-1), F.col("loaded_at")))
+    verdict = quality.gate(_rules_run(spark, sf_dir)).join(subs, "submission_id")
+    gated = ledger.status_events(
+        verdict, F.col("status"), F.timestamp_add("HOUR", F.lit(1), F.col("loaded_at")),
+        reason=F.when(F.col("status") == "QUARANTINED", F.lit("blocking quality rule failed")))
+    published = ledger.status_events(verdict.where(F.col("status") == "ACCEPTED"), "PUBLISHED",
+                                     F.timestamp_add("HOUR", F.lit(2), F.col("loaded_at")))
+    return received.unionByName(gated).unionByName(published)
+
+
+@query
+def ledger_current_status(spark, sf_dir):
+    from lakepipe.operators import ledger
+    return ledger.current_status(ledger_events(spark, sf_dir)).select(
+        "submission_id", "status", "status_reason", "received_at", "updated_at", "n_events")
+
+
+@query
+def ledger_time_in_status(spark, sf_dir):
+    from lakepipe.operators import ledger
+    return ledger.time_in_status(ledger_events(spark, sf_dir)).select(
+        "submission_id", "status", "created_at", "left_at", "seconds_in_status")
+
+
+# -------------------------------------------------------- Bronze replace
+
+@query
+def bronze_replay_replace(spark, sf_dir):
+    """Clean Bronze, then every version-3 submission re-delivered (with faults)."""
+    from lakepipe.operators import bronze
+    base = _clean_bronze(spark, sf_dir)
+    replay = td.lcr_rules_input(spark, sf_dir).where(F.col("submission_version") == 3)
+    return bronze.replace_rows(base, replay)

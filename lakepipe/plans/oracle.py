@@ -291,3 +291,238 @@ SELECT count(*) AS failing_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS failin
 
 SQL["checks_ratio_plausible"] = chain_ctes() + """
 SELECT institution_id, reporting_period, lcr_ratio FROM gold WHERE NOT (lcr_ratio BETWEEN 0.5 AND 10)"""
+
+# ------------------------------------------------------ structural validation
+
+NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+CONTRACT_LIST = "['institution_id', 'reporting_period', 'line_code', 'currency', 'amount']"
+HDR_REORDERED = "['reporting_period', 'institution_id', 'line_code', 'currency', 'amount']"
+HDR_SHORT = "['institution_id', 'reporting_period', 'line_code', 'currency']"
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+STRUCT_BASE = f"""WITH files AS (
+  SELECT o.o_orderkey,
+         'FI' || lpad(CAST(o.o_custkey % 45 + 1 AS VARCHAR), 3, '0') AS inst,
+         strftime(o.o_orderdate, '%Y-%m') AS period,
+         CAST(o.o_orderkey + 1 AS INTEGER) AS version,
+         CASE WHEN o.o_orderkey % 31 = 0 THEN 1 WHEN o.o_orderkey % 37 = 0 THEN 2 ELSE 0 END AS htype
+  FROM orders o),
+files2 AS (
+  SELECT *, inst || '-LCR-' || period || '-v' || CAST(version AS VARCHAR) AS submission_id FROM files),
+cells AS (
+  SELECT f.submission_id, f.o_orderkey,
+         CAST(row_number() OVER (PARTITION BY l.l_orderkey
+              ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) + 1 AS BIGINT) AS n,
+         CASE WHEN l.l_partkey % 71 = 0 THEN 'X' || f.inst ELSE f.inst END AS v1,
+         CASE WHEN l.l_partkey % 73 = 0 THEN replace(f.period, '-', '/') ELSE f.period END AS v2,
+         ({LINE_CODES_SQL})[l.l_linenumber] AS v3,
+         CASE WHEN l.l_partkey % 67 = 0 THEN '' ELSE 'MYR' END AS v4,
+         CASE WHEN f.htype = 2 THEN '' WHEN l.l_partkey % 53 = 0 THEN 'x' WHEN l.l_partkey % 59 = 0 THEN ''
+              WHEN l.l_partkey % 61 = 0 THEN '1_000'
+              ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(20,2)) AS VARCHAR) END AS v5,
+         CAST(l.l_extendedprice AS DECIMAL(20,2)) AS true_amt
+  FROM files2 f JOIN lineitem l ON l.l_orderkey = f.o_orderkey),
+totals AS (
+  SELECT f.submission_id, f.o_orderkey, f.htype,
+         count(c.n) AS record_count,
+         coalesce(sum(TRY_CAST(c.v5 AS DECIMAL(38,6))) FILTER (WHERE regexp_matches(c.v5, '{NUM_RE}')),
+                  CAST(0 AS DECIMAL(38,6))) AS vt,
+         CASE WHEN f.o_orderkey % 53 = 0 THEN NULL
+              ELSE count(c.n) + CASE WHEN f.o_orderkey % 29 = 0 THEN 1 ELSE 0 END END AS m_count,
+         CASE WHEN f.o_orderkey % 53 = 0 THEN NULL
+              ELSE CAST(round(coalesce(sum(c.true_amt), 0), 2) AS DOUBLE) END AS m_total
+  FROM files2 f LEFT JOIN cells c ON c.o_orderkey = f.o_orderkey
+  GROUP BY f.submission_id, f.o_orderkey, f.htype),
+errs AS (
+  SELECT submission_id, 0 AS grp, 0 AS n, 0 AS p, 0 AS k,
+         'header ' || CASE htype WHEN 1 THEN '{_q(HDR_REORDERED)}' ELSE '{_q(HDR_SHORT)}' END
+         || ' != contract ' || '{_q(CONTRACT_LIST)}' AS message
+  FROM files2 WHERE htype > 0
+  UNION ALL
+  SELECT submission_id, 1, n, 1, 1, 'line ' || CAST(n AS VARCHAR) || ': institution_id is required'
+  FROM cells WHERE v1 = ''
+  UNION ALL
+  SELECT submission_id, 1, n, 1, 3, 'line ' || CAST(n AS VARCHAR) || ': institution_id=''' || v1
+         || ''' does not match ^FI[0-9]{{3}}$'
+  FROM cells WHERE v1 <> '' AND NOT regexp_matches(v1, '^FI[0-9]{{3}}$')
+  UNION ALL
+  SELECT submission_id, 1, n, 2, 1, 'line ' || CAST(n AS VARCHAR) || ': reporting_period is required'
+  FROM cells WHERE v2 = ''
+  UNION ALL
+  SELECT submission_id, 1, n, 2, 3, 'line ' || CAST(n AS VARCHAR) || ': reporting_period=''' || v2
+         || ''' does not match ^[0-9]{{4}}-[0-9]{{2}}$'
+  FROM cells WHERE v2 <> '' AND NOT regexp_matches(v2, '^[0-9]{{4}}-[0-9]{{2}}$')
+  UNION ALL
+  SELECT submission_id, 1, n, 3, 1, 'line ' || CAST(n AS VARCHAR) || ': line_code is required'
+  FROM cells WHERE v3 = ''
+  UNION ALL
+  SELECT submission_id, 1, n, 4, 1, 'line ' || CAST(n AS VARCHAR) || ': currency is required'
+  FROM cells WHERE v4 = ''
+  UNION ALL
+  SELECT submission_id, 1, n, 5, 1, 'line ' || CAST(n AS VARCHAR) || ': amount is required'
+  FROM cells WHERE v5 = ''
+  UNION ALL
+  SELECT submission_id, 1, n, 5, 2, 'line ' || CAST(n AS VARCHAR) || ': amount=''' || v5 || ''' is not a number'
+  FROM cells WHERE v5 <> '' AND NOT regexp_matches(v5, '{NUM_RE}')
+  UNION ALL
+  SELECT submission_id, 2, 0, 0, 0,
+         CASE WHEN m_count IS NULL THEN 'manifest missing'
+              ELSE 'record count ' || CAST(record_count AS VARCHAR) || ' != manifest ' || CAST(m_count AS VARCHAR) END
+  FROM totals WHERE m_count IS NULL OR m_count <> record_count
+  UNION ALL
+  SELECT submission_id, 3, 0, 0, 0,
+         'control total ' || CAST(CAST(round(vt, 2) AS DECIMAL(38,2)) AS VARCHAR) || ' != manifest '
+         || CAST(CAST(m_total AS DECIMAL(38,2)) AS VARCHAR)
+  FROM totals WHERE m_total IS NOT NULL AND abs(CAST(round(vt, 2) AS DOUBLE) - m_total) > 0.01),
+numbered AS (
+  SELECT submission_id, row_number() OVER (PARTITION BY submission_id ORDER BY grp, n, p, k) AS error_no, message
+  FROM errs),
+nerr AS (SELECT submission_id, count(*) AS n_errors FROM errs GROUP BY submission_id)"""
+
+SQL["structural_errors"] = STRUCT_BASE + """
+SELECT submission_id, CAST(error_no AS INTEGER) AS error_no, message FROM numbered WHERE error_no <= 200"""
+
+SQL["structural_counts"] = STRUCT_BASE + """
+SELECT t.submission_id,
+       CASE WHEN coalesce(e.n_errors, 0) = 0 THEN 'VALIDATED' ELSE 'REJECTED' END AS status,
+       coalesce(e.n_errors, 0) AS n_errors, t.record_count,
+       CASE WHEN coalesce(e.n_errors, 0) > 0 THEN CAST(e.n_errors AS VARCHAR) || ' structural errors' END AS reason
+FROM totals t LEFT JOIN nerr e ON t.submission_id = e.submission_id"""
+
+SQL["control_total_check"] = STRUCT_BASE + """
+SELECT submission_id, record_count, m_count AS manifest_record_count,
+       CAST(round(vt, 2) AS DECIMAL(38,2)) AS control_total, m_total AS manifest_control_total,
+       record_count = m_count AS count_ok,
+       abs(CAST(round(vt, 2) AS DOUBLE) - m_total) <= 0.01 AS total_ok
+FROM totals"""
+
+# -------------------------------------------------------------------- intake
+
+NAME_RE = r"^(FI[0-9]{3})_(LCR)_([0-9]{4}-[0-9]{2})_v([0-9]+)\.csv$"
+
+INTAKE_BASE = f"""WITH lf AS (
+  SELECT doc_id, text,
+         'FI' || lpad(CAST(doc_id % 45 + 1 AS VARCHAR), 3, '0') || '_LCR_2024-'
+           || lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') || '_v' || CAST(doc_id % 2 + 1 AS VARCHAR)
+           || '.csv' AS good
+  FROM documents),
+lf2 AS (
+  SELECT doc_id, text,
+         CASE WHEN doc_id % 17 = 0 THEN 'FI' || CAST(doc_id AS VARCHAR) || '_LCR.csv'
+              WHEN doc_id % 19 = 0 THEN lower(good) ELSE good END AS file_name,
+         sha256(text) AS sha256,
+         TIMESTAMP '2024-03-01 00:00:00' + to_minutes(CAST(doc_id AS BIGINT)) AS received_at,
+         doc_id % 23 <> 0 AS manifest_ok,
+         CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 29 = 0 THEN sha256(text || 'x')
+              ELSE sha256(text) END AS manifest_sha256
+  FROM lf),
+files AS (
+  SELECT 'landing/' || CAST(doc_id AS VARCHAR) || '/' || file_name AS path, *,
+         regexp_matches(file_name, '{NAME_RE}') AS name_ok
+  FROM lf2),
+parsed AS (
+  SELECT *,
+         CASE WHEN name_ok THEN regexp_extract(file_name, '{NAME_RE}', 1) END AS institution_id,
+         CASE WHEN name_ok THEN regexp_extract(file_name, '{NAME_RE}', 2) END AS return_type,
+         CASE WHEN name_ok THEN regexp_extract(file_name, '{NAME_RE}', 3) END AS reporting_period,
+         CASE WHEN name_ok THEN CAST(regexp_extract(file_name, '{NAME_RE}', 4) AS INTEGER) END AS version,
+         manifest_ok AND coalesce(sha256 = manifest_sha256, false) AS checksum_ok
+  FROM files),
+keyed AS (
+  SELECT *,
+         institution_id || '-' || return_type || '-' || reporting_period || '-v' || CAST(version AS VARCHAR)
+           AS submission_id,
+         institution_id || '/' || return_type || '/' || reporting_period || '/v' || CAST(version AS VARCHAR)
+           || '/' || file_name AS raw_key
+  FROM parsed),
+by_sha AS (
+  SELECT path,
+         row_number() OVER (PARTITION BY sha256 ORDER BY received_at, path, file_name) AS rn_sha,
+         first_value(file_name) OVER (PARTITION BY sha256 ORDER BY received_at, path, file_name) AS first_file
+  FROM keyed WHERE name_ok AND manifest_ok AND checksum_ok),
+by_name AS (
+  SELECT k.path,
+         row_number() OVER (PARTITION BY k.institution_id, k.return_type, k.reporting_period, k.version
+                            ORDER BY k.received_at, k.path, k.file_name) AS rn_name
+  FROM keyed k JOIN by_sha s ON k.path = s.path WHERE s.rn_sha = 1),
+verdicts AS (
+  SELECT k.*, s.rn_sha, s.first_file, n.rn_name,
+         CASE WHEN NOT k.name_ok OR NOT k.manifest_ok OR NOT k.checksum_ok THEN 'REJECTED'
+              WHEN s.rn_sha > 1 THEN 'DUPLICATE'
+              WHEN n.rn_name > 1 THEN 'VERSION_CONFLICT' ELSE 'RECEIVED' END AS verdict,
+         CASE WHEN NOT k.name_ok THEN 'file name does not match the contract pattern'
+              WHEN NOT k.manifest_ok THEN 'manifest missing'
+              WHEN NOT k.checksum_ok THEN 'SHA-256 does not match manifest'
+              WHEN s.rn_sha > 1 THEN 'identical file already received'
+              WHEN n.rn_name > 1 THEN 'version already received' END AS reason
+  FROM keyed k LEFT JOIN by_sha s ON k.path = s.path LEFT JOIN by_name n ON k.path = n.path)"""
+
+SQL["intake_name_parse"] = INTAKE_BASE + """
+SELECT path, file_name, name_ok, institution_id, return_type, reporting_period, version, submission_id, raw_key
+FROM keyed"""
+
+SQL["intake_checksum"] = INTAKE_BASE + """
+SELECT path, sha256, manifest_ok, manifest_sha256, checksum_ok FROM keyed"""
+
+SQL["intake_duplicate"] = INTAKE_BASE + """
+SELECT path, sha256, first_file AS duplicate_of_file FROM verdicts WHERE verdict = 'DUPLICATE'"""
+
+SQL["intake_verdict"] = INTAKE_BASE + """
+SELECT path, submission_id, verdict, reason FROM verdicts"""
+
+# -------------------------------------------------------------------- ledger
+
+LEDGER_BASE = RULES_BASE + """,
+gate AS (
+  SELECT submission_id,
+         CASE WHEN count(*) FILTER (WHERE severity = 'blocking' AND outcome = 'FAIL') > 0
+              THEN 'QUARANTINED' ELSE 'ACCEPTED' END AS status
+  FROM dq GROUP BY submission_id),
+subs AS (SELECT submission_id, min(loaded_at) AS loaded_at FROM rin GROUP BY submission_id),
+events AS (
+  SELECT submission_id, 'RECEIVED' AS status, loaded_at - INTERVAL 1 HOUR AS created_at, 1 AS rk FROM subs
+  UNION ALL
+  SELECT g.submission_id, g.status, s.loaded_at + INTERVAL 1 HOUR,
+         CASE WHEN g.status = 'ACCEPTED' THEN 4 ELSE 5 END
+  FROM gate g JOIN subs s ON g.submission_id = s.submission_id
+  UNION ALL
+  SELECT g.submission_id, 'PUBLISHED', s.loaded_at + INTERVAL 2 HOUR, 6
+  FROM gate g JOIN subs s ON g.submission_id = s.submission_id WHERE g.status = 'ACCEPTED')"""
+
+SQL["ledger_current_status"] = LEDGER_BASE + """
+SELECT submission_id, arg_max(status, created_at) AS status,
+       CASE WHEN arg_max(status, created_at) = 'QUARANTINED' THEN 'blocking quality rule failed' END
+         AS status_reason,
+       min(created_at) AS received_at, max(created_at) AS updated_at, count(*) AS n_events
+FROM events GROUP BY submission_id"""
+
+SQL["ledger_time_in_status"] = LEDGER_BASE + """
+SELECT submission_id, status, created_at,
+       lead(created_at) OVER (PARTITION BY submission_id ORDER BY created_at, rk) AS left_at,
+       date_diff('second', created_at,
+                 lead(created_at) OVER (PARTITION BY submission_id ORDER BY created_at, rk)) AS seconds_in_status
+FROM events"""
+
+# --------------------------------------------------------------- Bronze replay
+
+def audit_select(src: str) -> str:
+    return f"""
+SELECT institution_id, reporting_period, line_code, currency, amount, submission_id, submission_version,
+       'raw/' || institution_id || '/LCR/' || reporting_period || '/v' || CAST(submission_version AS VARCHAR)
+         || '/' || institution_id || '_LCR_' || reporting_period || '_v' || CAST(submission_version AS VARCHAR)
+         || '.csv' AS source_uri,
+       sha256(submission_id) AS source_sha256, loaded_at
+FROM {src}"""
+
+
+SQL["bronze_replay_replace"] = f"""WITH {lines_cte('clean', 45, False)},
+{lines_cte('rin', 45, True)},
+base AS ({audit_select('clean')}),
+replay AS ({audit_select('rin')} WHERE submission_version = 3)
+SELECT * FROM base WHERE submission_id NOT IN (SELECT submission_id FROM replay)
+UNION ALL
+SELECT * FROM replay"""

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepipe.functions.columns import file_name, raw_key, submission_id
+from lakepipe.functions.joins import join_dimension
 
 # LCR line codes in template order (looked up by line number 1..7),
 # and the four institution types.
@@ -126,7 +127,7 @@ def institutions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """
     s = table(spark, sf_dir, "supplier")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sn = s.join(F.broadcast(nat), s.s_nationkey == nat.n_nationkey, "left")
+    sn = join_dimension(s, nat, s.s_nationkey == nat.n_nationkey, "left")
     first = F.min(F.struct("s_suppkey", "s_name", "s_nationkey", "n_name"))
     g = (sn.groupBy(institution_id("s_suppkey", n).alias("institution_id"))
            .agg(first.alias("f"), F.sum("s_acctbal").alias("bal")))
@@ -140,3 +141,99 @@ def institutions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
          .otherwise(F.lit("LARGE")).alias("size_band"),
         F.date_add(F.lit("1995-01-01").cast("date"),
                    (F.col("f.s_suppkey") * 45).cast("int")).alias("active_from"))
+
+
+# ------------------------------------------------------- submission files
+
+CONTRACT_HEADER = "institution_id,reporting_period,line_code,currency,amount"
+REORDERED_HEADER = "reporting_period,institution_id,line_code,currency,amount"
+SHORT_HEADER = "institution_id,reporting_period,line_code,currency"
+
+
+def order_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFrame:
+    """One submission file per order, its lines from the order's lineitems.
+
+    Columns: submission_id, raw_key, file_name, content, manifest.  Injected:
+    bad institution ids / periods, empty currencies and amounts, non-numbers,
+    padded amounts, reordered or short headers, blank tail lines, wrong record
+    counts and missing manifests.  An order has a bounded number of lines, so
+    building its file text is a bounded per-group aggregate.
+    """
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    j = od.join(li, od.o_orderkey == li.l_orderkey, "left")
+    inst = institution_id("o_custkey", n)
+    period = _period("o_orderdate")
+    amount = F.col("l_extendedprice").cast("decimal(20,2)")
+    amt = amount.cast("string")
+    pk = F.col("l_partkey")
+    f_inst = F.when(pk % 71 == 0, F.concat(F.lit("X"), inst)).otherwise(inst)
+    f_period = F.when(pk % 73 == 0, F.regexp_replace(period, "-", "/")).otherwise(period)
+    f_cur = F.when(pk % 67 == 0, F.lit("")).otherwise(F.lit("MYR"))
+    f_amt = (F.when(pk % 53 == 0, F.lit("x")).when(pk % 59 == 0, F.lit(""))
+             .when(pk % 61 == 0, F.lit("1_000")).when(pk % 43 == 0, F.concat(F.lit(" "), amt, F.lit(" ")))
+             .otherwise(amt))
+    reordered = F.col("o_orderkey") % 31 == 0
+    line = F.when(reordered, F.concat_ws(",", f_period, f_inst, _line_code("l_linenumber"), f_cur, f_amt)) \
+            .otherwise(F.concat_ws(",", f_inst, f_period, _line_code("l_linenumber"), f_cur, f_amt))
+    entry = F.when(F.col("l_orderkey").isNotNull(),
+                   F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+                            line.alias("line"), amount.alias("amount")))
+    g = (j.groupBy("o_orderkey", "o_custkey", "o_orderdate")
+          .agg(F.array_sort(F.collect_list(entry)).alias("recs")))
+    ok = F.col("o_orderkey")
+    header = (F.when(ok % 31 == 0, F.lit(REORDERED_HEADER)).when(ok % 37 == 0, F.lit(SHORT_HEADER))
+              .otherwise(F.lit(CONTRACT_HEADER)))
+    recs = F.col("recs")
+    body = F.when(F.size(recs) > 0,
+                  F.concat(F.array_join(F.transform(recs, lambda r: r["line"]), "\n"), F.lit("\n"))) \
+            .otherwise(F.lit(""))
+    content = F.concat(header, F.lit("\n"), body, F.when(ok % 41 == 0, F.lit("\n")).otherwise(F.lit("")))
+    version = (ok + 1).cast("int")
+    g = g.select(inst.alias("institution_id"), period.alias("reporting_period"),
+                 version.alias("version"), content.alias("content"), recs,
+                 F.col("o_orderkey"), F.col("o_orderdate"))
+    fname = file_name("institution_id", F.lit("LCR"), "reporting_period", "version")
+    zero = F.lit(0).cast("decimal(38,2)")
+    total = F.aggregate(F.transform(recs, lambda r: r["amount"].cast("decimal(38,2)")), zero,
+                        lambda a, x: a + x)
+    manifest = F.when(ok % 53 != 0, F.struct(
+        fname.alias("file_name"), F.col("institution_id"), F.lit("LCR").alias("return_type"),
+        F.col("reporting_period"), F.col("version"),
+        (F.size(recs) + F.when(ok % 29 == 0, 1).otherwise(0)).cast("long").alias("record_count"),
+        F.round(total, 2).cast("double").alias("control_total"),
+        F.sha2(F.col("content"), 256).alias("sha256"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),
+        F.lit(True).alias("synthetic")))
+    return g.select(
+        submission_id("institution_id", F.lit("LCR"), "reporting_period", "version").alias("submission_id"),
+        raw_key("institution_id", F.lit("LCR"), "reporting_period", "version", fname).alias("raw_key"),
+        fname.alias("file_name"), "content", manifest.alias("manifest"))
+
+
+def landing_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFrame:
+    """Files arriving at the gateway, one per document (exact copies included).
+
+    Columns: path, file_name, content, sha256, received_at, manifest (NULL
+    when missing; its sha256 deliberately wrong for some files).
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    did = F.col("doc_id")
+    inst = institution_id("doc_id", n)
+    period = F.concat(F.lit("2024-"), F.lpad((did % 12 + 1).cast("string"), 2, "0"))
+    version = (did % 2 + 1).cast("string")
+    good = F.concat(inst, F.lit("_LCR_"), period, F.lit("_v"), version, F.lit(".csv"))
+    name = (F.when(did % 17 == 0, F.concat(F.lit("FI"), did.cast("string"), F.lit("_LCR.csv")))
+            .when(did % 19 == 0, F.lower(good)).otherwise(good))
+    sha = F.sha2(F.col("text"), 256)
+    manifest = F.when(did % 23 != 0, F.struct(
+        F.when(did % 29 == 0, F.sha2(F.concat(F.col("text"), F.lit("x")), 256)).otherwise(sha)
+         .alias("sha256"),
+        F.lit(1).cast("long").alias("record_count")))
+    return d.select(
+        F.concat(F.lit("landing/"), did.cast("string"), F.lit("/"), name).alias("path"),
+        name.alias("file_name"), F.col("text").alias("content"), sha.alias("sha256"),
+        F.timestamp_add("MINUTE", did, F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+         .alias("received_at"),
+        manifest.alias("manifest"))
