@@ -283,3 +283,107 @@ def bronze_replay_replace(spark, sf_dir):
     base = _clean_bronze(spark, sf_dir)
     replay = td.lcr_rules_input(spark, sf_dir).where(F.col("submission_version") == 3)
     return bronze.replace_rows(base, replay)
+
+
+# ---------------------------------------------------------- payments stream (I)
+
+EVENT_COLS = ["event_id", "institution_id", "event_ts", "payment_system", "direction", "amount",
+              "currency", "status"]
+
+
+def _parsed_events(spark, sf_dir):
+    from lakepipe.streaming import payments
+    return payments.parse_events(td.payment_events_raw(spark, sf_dir))
+
+
+@query
+def events_dedup(spark, sf_dir):
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    return payments.bronze_events(payments.deduplicate(good, "exact")).select(*EVENT_COLS)
+
+
+@query
+def minute_stats(spark, sf_dir):
+    """As the reference job runs it: windows over the raw (not deduplicated) events."""
+    from lakepipe.streaming import payments
+    return payments.minute_stats(payments.good_events(_parsed_events(spark, sf_dir)))
+
+
+@query
+def minute_stats_dedup(spark, sf_dir):
+    """As documented: windows over deduplicated events."""
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    return payments.minute_stats(payments.deduplicate(good, "exact"))
+
+
+@query
+def minute_stats_late(spark, sf_dir):
+    """Per window: events accepted, accepted-but-late, and dropped (> 5 min after event time).
+
+    Lateness of an event = its arrival (ingest) time minus its event time, the
+    contract's definition; the streaming watermark approximates it with the
+    maximum event time seen.
+    """
+    from lakepipe.functions.columns import ntz_to_epoch_millis
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    late_ms = ntz_to_epoch_millis(F.col("arrival")) - F.col("event_time")
+    g = (good.withColumn("late_ms", late_ms)
+         .groupBy(F.window("ts", payments.WINDOW), "institution_id", "payment_system")
+         .agg(F.count_if(F.col("late_ms") <= 300000).alias("event_count"),
+              F.count_if((F.col("late_ms") > 0) & (F.col("late_ms") <= 300000)).alias("late_count"),
+              F.count_if(F.col("late_ms") > 300000).alias("dropped_count")))
+    return g.select(payments._wall_clock(F.col("window.start")).alias("window_start"),
+                    "institution_id", "payment_system", "event_count", "late_count", "dropped_count")
+
+
+_STREAM_RUNS: dict = {}
+
+
+def run_payments_stream(spark, sf_dir):
+    """Replay the derived topic through the streaming job (availableNow) once per session.
+
+    Batch 1 holds every event file, batch 2 a far-future sentinel that closes
+    all windows.  Outputs live under the session's checkpoint folder.
+    """
+    key = (id(spark), sf_dir)
+    if key in _STREAM_RUNS:
+        return _STREAM_RUNS[key]
+    from lakepipe.session import scratch_path
+    from lakepipe.streaming import payments
+    base = scratch_path(spark, "payments")
+    src = f"{base}/src"
+    td.payment_events_raw(spark, sf_dir).select("value").write.text(src)
+    n_files = len(spark.read.text(src).inputFiles())
+    td.sentinel_event(spark).write.mode("append").text(src)
+    raw = payments.read_source(spark, "text", src, max_files_per_trigger=n_files)
+    qs = payments.start_payments_job(raw, f"{base}/bronze", f"{base}/stats", f"{base}/dlq",
+                                     f"{base}/checkpoints", trigger={"availableNow": True},
+                                     dq_path=f"{base}/dq")
+    for q in qs:
+        q.awaitTermination()
+    _STREAM_RUNS[key] = base
+    return base
+
+
+@query
+def stream_bronze_events(spark, sf_dir):
+    base = run_payments_stream(spark, sf_dir)
+    b = spark.read.parquet(f"{base}/bronze")
+    return b.where(F.col("institution_id") != td.SENTINEL_INST).select(*EVENT_COLS)
+
+
+@query
+def stream_minute_stats(spark, sf_dir):
+    base = run_payments_stream(spark, sf_dir)
+    s = spark.read.parquet(f"{base}/stats")
+    return s.where(F.col("institution_id") != td.SENTINEL_INST)
+
+
+@query
+def stream_dlq(spark, sf_dir):
+    base = run_payments_stream(spark, sf_dir)
+    d = spark.read.parquet(f"{base}/dlq")
+    return d.select(F.regexp_extract("value", r'"event_id":"([^"]*)"', 1).alias("source_event_id"), "error")

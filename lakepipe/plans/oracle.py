@@ -526,3 +526,54 @@ replay AS ({audit_select('rin')} WHERE submission_version = 3)
 SELECT * FROM base WHERE submission_id NOT IN (SELECT submission_id FROM replay)
 UNION ALL
 SELECT * FROM replay"""
+
+# ------------------------------------------------------------- payment events
+
+EVENTS_BASE = """WITH ev AS (
+  SELECT event_id AS eid, ts, user_id, event_type, value,
+         CASE WHEN event_id % 170 = 0 THEN 7 WHEN event_id % 50 = 0 THEN (event_id // 50) % 4 + 1 ELSE 0 END
+           AS shift
+  FROM events),
+typed AS (
+  SELECT CAST(eid AS VARCHAR) AS event_id,
+         'FI' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 3, '0') AS institution_id,
+         epoch_us(ts - to_minutes(CAST(shift AS BIGINT))) // 1000 AS event_time,
+         (['RTGS', 'INSTANT', 'CARD', 'CHEQUE'])[user_id % 4 + 1] AS payment_system,
+         CASE WHEN eid % 2 = 0 THEN 'OUT' ELSE 'IN' END AS direction,
+         value AS amount, 'MYR' AS currency,
+         CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SETTLED' END AS status,
+         eid % 250 = 0 AS malformed, ts AS arrival, eid
+  FROM ev),
+raw AS (
+  SELECT * FROM typed
+  UNION ALL
+  SELECT * REPLACE (arrival + CASE WHEN eid % 300 = 0 THEN INTERVAL 15 MINUTE ELSE INTERVAL 30 SECOND END
+                    AS arrival)
+  FROM typed WHERE eid % 100 = 0),
+good AS (
+  SELECT *, make_timestamp(event_time * 1000) AS event_ts FROM raw WHERE NOT malformed)"""
+
+EVENT_COLS_SQL = "event_id, institution_id, event_ts, payment_system, direction, amount, currency, status"
+STATS_SQL = """
+SELECT date_trunc('minute', event_ts) AS window_start,
+       date_trunc('minute', event_ts) + INTERVAL 1 MINUTE AS window_end,
+       institution_id, payment_system, count(*) AS event_count,
+       CAST(sum(CAST(amount AS DECIMAL(38,10))) AS DOUBLE) AS total_amount,
+       count(*) FILTER (WHERE status = 'FAILED') AS failed_count
+FROM {src} GROUP BY ALL"""
+
+SQL["events_dedup"] = EVENTS_BASE + f"\nSELECT DISTINCT {EVENT_COLS_SQL} FROM good"
+SQL["minute_stats"] = EVENTS_BASE + STATS_SQL.format(src="good")
+SQL["minute_stats_dedup"] = EVENTS_BASE + STATS_SQL.format(
+    src=f"(SELECT DISTINCT {EVENT_COLS_SQL} FROM good)")
+SQL["minute_stats_late"] = EVENTS_BASE + """
+SELECT date_trunc('minute', event_ts) AS window_start, institution_id, payment_system,
+       count(*) FILTER (WHERE (epoch_us(arrival) // 1000) - event_time <= 300000) AS event_count,
+       count(*) FILTER (WHERE (epoch_us(arrival) // 1000) - event_time > 0
+                          AND (epoch_us(arrival) // 1000) - event_time <= 300000) AS late_count,
+       count(*) FILTER (WHERE (epoch_us(arrival) // 1000) - event_time > 300000) AS dropped_count
+FROM good GROUP BY ALL"""
+SQL["stream_bronze_events"] = SQL["events_dedup"]
+SQL["stream_minute_stats"] = SQL["minute_stats"]
+SQL["stream_dlq"] = EVENTS_BASE + """
+SELECT event_id AS source_event_id, 'malformed JSON' AS error FROM raw WHERE malformed"""

@@ -237,3 +237,54 @@ def landing_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFra
         F.timestamp_add("MINUTE", did, F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
          .alias("received_at"),
         manifest.alias("manifest"))
+
+
+# ------------------------------------------------------------ payment events
+
+N_PAY_INST = 10
+SENTINEL_INST = "SENTINEL"
+
+
+def payment_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments topic as JSON lines: value, arrival (ingest time), copy.
+
+    One event per ``events`` row; injected: events 1-4 minutes late
+    (event_id % 50), 7 minutes late (% 170), re-sent copies (% 100) arriving
+    30 s later, or 15 min later (% 300), malformed JSON (% 250).
+    """
+    from lakepipe.functions.columns import ntz_to_epoch_millis
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    eid = F.col("event_id")
+    shift = (F.when(eid % 170 == 0, F.lit(7)).when(eid % 50 == 0, F.expr("event_id div 50") % 4 + 1)
+             .otherwise(F.lit(0)))
+    event_time = ntz_to_epoch_millis(F.timestamp_add("MINUTE", -shift, F.col("ts")))
+    systems = F.array(*[F.lit(s) for s in PAYMENT_SYSTEMS])
+    obj = F.struct(
+        eid.cast("string").alias("event_id"),
+        institution_id("user_id", N_PAY_INST).alias("institution_id"),
+        event_time.alias("event_time"),
+        F.element_at(systems, (F.col("user_id") % 4 + 1).cast("int")).alias("payment_system"),
+        F.when(eid % 2 == 0, F.lit("OUT")).otherwise(F.lit("IN")).alias("direction"),
+        F.col("value").alias("amount"),
+        F.lit("MYR").alias("currency"),
+        F.when(F.col("event_type") == "error", F.lit("FAILED"))
+         .when(F.col("event_type") == "signup", F.lit("PENDING")).otherwise(F.lit("SETTLED")).alias("status"))
+    js = F.to_json(obj)
+    broken = F.concat(F.lit('{"event_id":"'), eid.cast("string"), F.lit('","amount":'))
+    value = F.when(eid % 250 == 0, broken).otherwise(js)
+    base = e.select(value.alias("value"), F.col("ts").alias("arrival"), F.lit(0).alias("copy"), eid.alias("src_id"))
+    again = (e.where(eid % 100 == 0)
+             .select(value.alias("value"),
+                     F.when(eid % 300 == 0, F.timestamp_add("MINUTE", F.lit(15), F.col("ts")))
+                      .otherwise(F.timestamp_add("SECOND", F.lit(30), F.col("ts"))).alias("arrival"),
+                     F.lit(1).alias("copy"), eid.alias("src_id")))
+    return base.unionByName(again)
+
+
+def sentinel_event(spark: SparkSession) -> DataFrame:
+    """A far-future event that moves the watermark past every real window."""
+    return spark.range(1).select(
+        F.to_json(F.struct(F.lit("sentinel").alias("event_id"), F.lit(SENTINEL_INST).alias("institution_id"),
+                           F.lit(4102444800000).alias("event_time"), F.lit("RTGS").alias("payment_system"),
+                           F.lit("IN").alias("direction"), F.lit(0.0).alias("amount"),
+                           F.lit("MYR").alias("currency"), F.lit("SETTLED").alias("status"))).alias("value"))
