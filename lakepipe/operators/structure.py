@@ -159,13 +159,13 @@ def parse_records(validated: DataFrame, contract: Contract, content: str = "cont
         df = df.withColumn(f"__i_{p.name}", F.when(rev > 0, F.size("__header") - rev + 1).otherwise(0))
         pos[p.name] = F.col(f"__i_{p.name}")
 
-    def typed(rec):
+    def typed(rec, i):
         fields = F.split(rec, delimiter, -1)
-        vals = []
+        vals = [(i + 2).alias("line_no")]
         for p in contract.properties:
             v = F.when(pos[p.name] > 0, F.try_element_at(fields, pos[p.name]))
             if p.logical_type == "number":
-                v = _strip(v).try_cast("decimal(20,2)")
+                v = F.when(_strip(v).rlike(NUMBER_PATTERN), _strip(v).try_cast("decimal(20,2)"))
             vals.append(v.alias(p.name))
         return F.struct(*vals)
 

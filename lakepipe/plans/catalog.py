@@ -387,3 +387,163 @@ def stream_dlq(spark, sf_dir):
     base = run_payments_stream(spark, sf_dir)
     d = spark.read.parquet(f"{base}/dlq")
     return d.select(F.regexp_extract("value", r'"event_id":"([^"]*)"', 1).alias("source_event_id"), "error")
+
+
+# ----------------------------------------------------------- serving (J)
+
+def _gold(spark, sf_dir):
+    return lcr_chain(spark, sf_dir)[3]
+
+
+@query
+def serve_ratio_by_institution(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.ratio_by_institution(_gold(spark, sf_dir))
+
+
+@query
+def serve_ratio_trend(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.ratio_trend(_gold(spark, sf_dir))
+
+
+@query
+def serve_below_threshold(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.below_threshold(_gold(spark, sf_dir))
+
+
+@query
+def serve_point_lookup(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.point_lookup(_gold(spark, sf_dir), "FI001", "2000-01")
+
+
+@query
+def policy_mask(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.apply_policy(_gold(spark, sf_dir), "analyst")
+
+
+@query
+def policy_row_filter(spark, sf_dir):
+    from lakepipe.operators import serving
+    return serving.apply_policy(_gold(spark, sf_dir), "supervisor")
+
+
+@query
+def lineage_trace(spark, sf_dir):
+    from lakepipe.operators import serving
+    bronze, _, _, gld = lcr_chain(spark, sf_dir)
+    return serving.lineage(gld, bronze)
+
+
+@query
+def mixed_batch_stream(spark, sf_dir):
+    from lakepipe.operators import serving
+    from lakepipe.streaming import payments
+    stats = payments.minute_stats(payments.good_events(_parsed_events(spark, sf_dir)))
+    return serving.mixed_batch_stream(_gold(spark, sf_dir), stats)
+
+
+# ------------------------------------------------ contract capabilities (L)
+
+@query
+def codelist_violations(spark, sf_dir):
+    from lakepipe.operators import governance
+    codes = {"line_code": reference.code_list(spark, "lcr_line_codes").select("line_code"),
+             "currency": reference.code_list(spark, "currencies").select("currency_code")}
+    return governance.codelist_violations(td.lcr_rules_input(spark, sf_dir), codes, {"amount": 0})
+
+
+@query
+def schema_row_check(spark, sf_dir):
+    from lakepipe.contracts import load_contract
+    from lakepipe.operators import governance, structure
+    contract = load_contract()
+    rows = structure.parse_records(td.order_files(spark, sf_dir), contract, keep=("submission_id",))
+    enums = {"line_code": td.LINE_CODES, "currency": ["MYR", "USD", "SGD", "EUR", "GBP", "JPY", "CNY"]}
+    return governance.schema_violations(rows, contract, enums)
+
+
+@query
+def deadline_timeliness(spark, sf_dir):
+    from lakepipe.contracts import load_contract
+    from lakepipe.operators import governance
+    subs = (td.lcr_rules_input(spark, sf_dir)
+            .groupBy("submission_id", "reporting_period").agg(F.min("loaded_at").alias("received_at")))
+    return governance.timeliness(subs, load_contract().deadline_days)
+
+
+@query
+def freshness_p95(spark, sf_dir):
+    """p95 of produce -> ingest latency per institution, whole seconds (exact)."""
+    from lakepipe.functions.columns import ntz_to_epoch_millis
+    from lakepipe.operators import governance
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    lat = good.select("institution_id", F.floor((ntz_to_epoch_millis(F.col("arrival")) - F.col("event_time"))
+                                               / 1000).alias("latency_s"))
+    return governance.exact_percentile(lat, "institution_id", "latency_s", 0.95)
+
+
+RETENTION_AS_OF = "2006-01-01"
+
+
+@query
+def retention_candidates(spark, sf_dir):
+    from lakepipe.contracts import load_contract
+    from lakepipe.operators import governance
+    bronze, _, slv, _ = lcr_chain(spark, sf_dir)
+    years = {z: int(v.strip("PY")) for z, v in load_contract().retention.items()}
+    return governance.retention_candidates(bronze, "bronze", years["bronze"], RETENTION_AS_OF).unionByName(
+        governance.retention_candidates(slv, "silver", years["silver"], RETENTION_AS_OF))
+
+
+TOKEN_SALT = "lakepipe"
+
+
+@query
+def tokenise_ids(spark, sf_dir):
+    from lakepipe.operators import governance
+    return governance.tokenise_ids(lcr_chain(spark, sf_dir)[2], ["institution_id"], TOKEN_SALT)
+
+
+AS_OF_PERIOD = "2001-08"
+
+
+@query
+def expected_vs_received(spark, sf_dir):
+    from lakepipe.operators import governance
+    inst = td.institutions(spark, sf_dir, td.N_RULES)
+    onboarding = inst.select("institution_id", F.date_format("active_from", "yyyy-MM").alias("first_period"))
+    expected = governance.expected_returns(onboarding, AS_OF_PERIOD)
+    return governance.missing_returns(expected, td.lcr_rules_input(spark, sf_dir))
+
+
+@query
+def bitemporal_reference(spark, sf_dir):
+    from lakepipe.operators import governance
+    facts = td.lcr_bronze(spark, sf_dir).select("institution_id", "reporting_period").distinct()
+    return governance.as_of_reference(facts, td.institutions(spark, sf_dir, td.N_GOLD)).select(
+        "institution_id", "reporting_period", "institution_name", "peer_group", "active_from")
+
+
+@query
+def event_rules(spark, sf_dir):
+    """PAY-001..004 per daily batch of arrivals, before dedup (L13; PAY-003 sees the copies)."""
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    res = payments.evaluate_event_rules(good.drop("ts"), F.date_format("arrival", "yyyy-MM-dd"))
+    return res.select("rule_id", F.col("submission_id").alias("batch_id"), "severity",
+                      "records_tested", "records_failed", "outcome")
+
+
+@query
+def event_enum_check(spark, sf_dir):
+    """Avro enum conformance of the parsed events (L5): violations per field."""
+    from lakepipe.streaming import payments
+    bad = payments.enum_violations(payments.good_events(_parsed_events(spark, sf_dir)))
+    return bad.agg(*[F.count_if(F.col(f"bad_{c}")).alias(f"bad_{c}")
+                     for c in ("payment_system", "direction", "status")],
+                   F.count(F.lit(1)).alias("bad_rows"))

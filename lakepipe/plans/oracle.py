@@ -577,3 +577,181 @@ SQL["stream_bronze_events"] = SQL["events_dedup"]
 SQL["stream_minute_stats"] = SQL["minute_stats"]
 SQL["stream_dlq"] = EVENTS_BASE + """
 SELECT event_id AS source_event_id, 'malformed JSON' AS error FROM raw WHERE malformed"""
+
+# ------------------------------------------------------------------- serving
+
+SQL["serve_ratio_by_institution"] = chain_ctes() + """
+SELECT institution_id, reporting_period, lcr_ratio, lcr_ratio < 1.0 AS below_minimum FROM gold"""
+
+SQL["serve_ratio_trend"] = chain_ctes() + """
+SELECT reporting_period, peer_group,
+       CAST(sum(CAST(lcr_ratio AS DECIMAL(38,4))) AS DOUBLE) / CAST(nullif(count(lcr_ratio), 0) AS DOUBLE)
+         AS avg_lcr_ratio,
+       count(lcr_ratio) AS n_ratios
+FROM gold GROUP BY reporting_period, peer_group"""
+
+SQL["serve_below_threshold"] = chain_ctes() + """
+SELECT institution_id, institution_name, reporting_period, lcr_ratio FROM gold WHERE lcr_ratio < 1.2"""
+
+SQL["serve_point_lookup"] = chain_ctes() + f"""
+SELECT {GOLD_COLS} FROM gold WHERE institution_id = 'FI001' AND reporting_period = '2000-01'"""
+
+SQL["policy_mask"] = chain_ctes() + """
+SELECT institution_id, '***' AS institution_name, institution_type, peer_group, reporting_period,
+       hqla, outflows, inflows, net_outflows, lcr_ratio, submission_ids FROM gold"""
+
+SQL["policy_row_filter"] = chain_ctes() + f"""
+SELECT {GOLD_COLS} FROM gold WHERE institution_id IN ('FI001', 'FI002')"""
+
+SQL["lineage_trace"] = chain_ctes() + """,
+files AS (
+  SELECT DISTINCT submission_id,
+         'raw/' || institution_id || '/LCR/' || reporting_period || '/v' || CAST(submission_version AS VARCHAR)
+           || '/' || institution_id || '_LCR_' || reporting_period || '_v' || CAST(submission_version AS VARCHAR)
+           || '.csv' AS source_uri,
+         sha256(submission_id) AS source_sha256
+  FROM bronze_all),
+g AS (SELECT institution_id, reporting_period, lcr_ratio, unnest(string_split(submission_ids, ',')) AS submission_id
+      FROM gold)
+SELECT g.submission_id, g.institution_id, g.reporting_period, g.lcr_ratio, f.source_uri, f.source_sha256
+FROM g LEFT JOIN files f ON g.submission_id = f.submission_id"""
+
+
+def _mixed() -> str:
+    # the chain's CTE list, then the event CTEs appended to it
+    events = EVENTS_BASE[len("WITH "):]
+    return chain_ctes() + ",\n" + events + """,
+stats AS (
+  SELECT date_trunc('minute', event_ts) AS window_start, institution_id, payment_system, count(*) AS event_count,
+         CAST(sum(CAST(amount AS DECIMAL(38,10))) AS DOUBLE) AS total_amount,
+         count(*) FILTER (WHERE status = 'FAILED') AS failed_count
+  FROM good GROUP BY ALL),
+monthly AS (
+  SELECT institution_id, strftime(window_start, '%Y-%m') AS month, sum(event_count) AS event_count,
+         CAST(sum(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_amount,
+         sum(failed_count) AS failed_count
+  FROM stats GROUP BY ALL),
+latest AS (
+  SELECT institution_id, reporting_period AS latest_period, lcr_ratio AS latest_lcr_ratio
+  FROM (SELECT *, row_number() OVER (PARTITION BY institution_id ORDER BY reporting_period DESC) AS rn FROM gold)
+  WHERE rn = 1)
+SELECT m.institution_id, m.month, m.event_count, m.total_amount, m.failed_count, l.latest_period,
+       l.latest_lcr_ratio
+FROM monthly m LEFT JOIN latest l ON m.institution_id = l.institution_id"""
+
+
+SQL["mixed_batch_stream"] = _mixed()
+
+# ------------------------------------------------------ contract capabilities
+
+SQL["codelist_violations"] = f"""WITH {lines_cte('rin', 45, True)},
+bad AS (
+  SELECT submission_id, 'line_code' AS "column", line_code AS value FROM rin
+  WHERE line_code IS NOT NULL AND line_code NOT IN
+    ('HQLA_L1', 'HQLA_L2A', 'HQLA_L2B', 'OUT_RETAIL', 'OUT_WHOLESALE', 'OUT_OTHER', 'IN_TOTAL')
+  UNION ALL
+  SELECT submission_id, 'currency', currency FROM rin
+  WHERE currency IS NOT NULL AND currency NOT IN ('MYR', 'USD', 'SGD', 'EUR', 'GBP', 'JPY', 'CNY')
+  UNION ALL
+  SELECT submission_id, 'amount', CAST(amount AS VARCHAR) FROM rin WHERE amount < 0)
+SELECT submission_id, "column", value, count(*) AS rows FROM bad GROUP BY ALL"""
+
+SQL["schema_row_check"] = STRUCT_BASE + f""",
+typed AS (
+  SELECT submission_id, CAST(n AS INTEGER) AS line_no, v1, v2, v3, v4,
+         CASE WHEN regexp_matches(v5, '{NUM_RE}') THEN TRY_CAST(v5 AS DECIMAL(20,2)) END AS amount
+  FROM cells),
+v AS (
+  SELECT submission_id, line_no, 1 AS o, 'institution_id' AS property, 'missing' AS violation FROM typed
+  WHERE v1 IS NULL OR v1 = ''
+  UNION ALL SELECT submission_id, line_no, 2, 'institution_id', 'does not match pattern' FROM typed
+  WHERE v1 <> '' AND NOT regexp_matches(v1, '^FI[0-9]{{3}}$')
+  UNION ALL SELECT submission_id, line_no, 3, 'reporting_period', 'missing' FROM typed WHERE v2 IS NULL OR v2 = ''
+  UNION ALL SELECT submission_id, line_no, 4, 'reporting_period', 'does not match pattern' FROM typed
+  WHERE v2 <> '' AND NOT regexp_matches(v2, '^[0-9]{{4}}-[0-9]{{2}}$')
+  UNION ALL SELECT submission_id, line_no, 5, 'line_code', 'missing' FROM typed WHERE v3 IS NULL OR v3 = ''
+  UNION ALL SELECT submission_id, line_no, 6, 'line_code', 'not in enum' FROM typed
+  WHERE v3 <> '' AND v3 NOT IN ('HQLA_L1', 'HQLA_L2A', 'HQLA_L2B', 'OUT_RETAIL', 'OUT_WHOLESALE', 'OUT_OTHER', 'IN_TOTAL')
+  UNION ALL SELECT submission_id, line_no, 7, 'currency', 'missing' FROM typed WHERE v4 IS NULL OR v4 = ''
+  UNION ALL SELECT submission_id, line_no, 8, 'currency', 'not in enum' FROM typed
+  WHERE v4 <> '' AND v4 NOT IN ('MYR', 'USD', 'SGD', 'EUR', 'GBP', 'JPY', 'CNY')
+  UNION ALL SELECT submission_id, line_no, 9, 'amount', 'missing' FROM typed WHERE amount IS NULL
+  UNION ALL SELECT submission_id, line_no, 10, 'amount', 'below minimum' FROM typed WHERE amount < 0)
+SELECT submission_id, line_no, property, violation FROM v"""
+
+SQL["deadline_timeliness"] = f"""WITH {lines_cte('rin', 45, True)},
+subs AS (SELECT submission_id, reporting_period, min(loaded_at) AS received_at FROM rin GROUP BY ALL),
+d AS (SELECT *, CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + 15 AS DATE) AS deadline FROM subs)
+SELECT submission_id, reporting_period, deadline, received_at,
+       greatest(date_diff('day', deadline, CAST(received_at AS DATE)), 0) AS days_late,
+       CAST(received_at AS DATE) <= deadline AS on_time
+FROM d"""
+
+SQL["freshness_p95"] = EVENTS_BASE + """
+SELECT institution_id, count(*) AS n,
+       CAST(quantile_cont(floor(((epoch_us(arrival) // 1000) - event_time) / 1000), 0.95) AS DOUBLE) AS p95
+FROM good GROUP BY institution_id"""
+
+SQL["retention_candidates"] = chain_ctes() + """
+SELECT 'bronze' AS zone, reporting_period, count(*) AS row_count,
+       CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 84 MONTH AS DATE) AS expires_on
+FROM bronze_all GROUP BY reporting_period
+HAVING CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 84 MONTH AS DATE) < DATE '2006-01-01'
+UNION ALL
+SELECT 'silver', reporting_period, count(*),
+       CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 120 MONTH AS DATE)
+FROM silver GROUP BY reporting_period
+HAVING CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 120 MONTH AS DATE) < DATE '2006-01-01'"""
+
+SQL["tokenise_ids"] = chain_ctes() + """
+SELECT sha256('lakepipe' || institution_id) AS institution_id, reporting_period, line_code, currency, amount,
+       submission_id, submission_version, bronze_loaded_at
+FROM silver"""
+
+SQL["expected_vs_received"] = f"""WITH {lines_cte('rin', 45, True)},
+{institutions_cte('inst', 45)},
+onb AS (SELECT institution_id, CAST(strftime(active_from, '%Y-%m') || '-01' AS DATE) AS first_day FROM inst),
+expected AS (
+  SELECT institution_id, strftime(unnest(generate_series(first_day, DATE '2001-08-01', INTERVAL 1 MONTH)), '%Y-%m')
+           AS reporting_period
+  FROM onb WHERE first_day <= DATE '2001-08-01'),
+received AS (SELECT DISTINCT institution_id, reporting_period FROM rin)
+SELECT e.institution_id, e.reporting_period FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM received r
+                  WHERE r.institution_id = e.institution_id AND r.reporting_period = e.reporting_period)"""
+
+SQL["bitemporal_reference"] = f"""WITH {bronze_cte('b', 5)},
+{institutions_cte('inst', 5)},
+facts AS (SELECT DISTINCT institution_id, reporting_period FROM b)
+SELECT f.institution_id, f.reporting_period, i.institution_name, i.peer_group, i.active_from
+FROM facts f LEFT JOIN inst i
+  ON f.institution_id = i.institution_id
+ AND i.active_from <= last_day(CAST(f.reporting_period || '-01' AS DATE))"""
+
+SQL["event_rules"] = EVENTS_BASE + """,
+batches AS (SELECT *, strftime(arrival, '%Y-%m-%d') AS batch_id FROM good),
+u AS (SELECT batch_id, count(*) FILTER (WHERE n > 1) AS f3
+      FROM (SELECT batch_id, event_id, count(*) AS n FROM batches GROUP BY ALL) GROUP BY batch_id),
+a AS (
+  SELECT batch_id, count(*) AS tested,
+         count(*) FILTER (WHERE event_id IS NULL OR institution_id IS NULL OR event_time IS NULL
+                                OR amount IS NULL) AS f1,
+         count(*) FILTER (WHERE amount < 0) AS f2,
+         count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SETTLED', 'PENDING', 'FAILED')) AS f4
+  FROM batches GROUP BY batch_id),
+w AS (SELECT a.*, u.f3 FROM a JOIN u ON a.batch_id = u.batch_id)
+SELECT 'PAY-001' AS rule_id, batch_id, 'blocking' AS severity, tested AS records_tested, f1 AS records_failed,
+       CASE WHEN f1 = 0 THEN 'PASS' ELSE 'FAIL' END AS outcome FROM w
+UNION ALL SELECT 'PAY-002', batch_id, 'blocking', tested, f2, CASE WHEN f2 = 0 THEN 'PASS' ELSE 'FAIL' END FROM w
+UNION ALL SELECT 'PAY-003', batch_id, 'warning', tested, f3, CASE WHEN f3 = 0 THEN 'PASS' ELSE 'FAIL' END FROM w
+UNION ALL SELECT 'PAY-004', batch_id, 'blocking', tested, f4, CASE WHEN f4 = 0 THEN 'PASS' ELSE 'FAIL' END FROM w"""
+
+SQL["event_enum_check"] = EVENTS_BASE + """
+SELECT count(*) FILTER (WHERE payment_system IS NULL OR payment_system NOT IN ('RTGS', 'INSTANT', 'CARD', 'CHEQUE'))
+         AS bad_payment_system,
+       count(*) FILTER (WHERE direction IS NULL OR direction NOT IN ('OUT', 'IN')) AS bad_direction,
+       count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SETTLED', 'PENDING', 'FAILED')) AS bad_status,
+       count(*) FILTER (WHERE payment_system IS NULL OR payment_system NOT IN ('RTGS', 'INSTANT', 'CARD', 'CHEQUE')
+                          OR direction IS NULL OR direction NOT IN ('OUT', 'IN')
+                          OR status IS NULL OR status NOT IN ('SETTLED', 'PENDING', 'FAILED')) AS bad_rows
+FROM good"""
