@@ -46,9 +46,15 @@ def remove_quarantined(bronze: DataFrame, quarantined: DataFrame) -> DataFrame:
     return bronze.where(F.col(SID).isNotNull()).join(q, SID, "left_anti")
 
 
-def latest_per_line(bronze: DataFrame) -> DataFrame:
-    """Row with the highest (version, loaded_at) per (inst, period, line, currency)."""
-    payload = [c for c in bronze.columns if c not in LINE_KEY]
+SILVER_PAYLOAD = ["submission_version", "loaded_at", SID, "amount"]
+
+
+def latest_per_line(bronze: DataFrame, payload: list[str] | None = None) -> DataFrame:
+    """Row with the highest (version, loaded_at) per (inst, period, line, currency).
+
+    Only the columns Silver keeps travel through the shuffle.
+    """
+    payload = payload or SILVER_PAYLOAD
     order = ["submission_version", "loaded_at"] + [c for c in payload
                                                     if c not in ("submission_version", "loaded_at")]
     best = bronze.groupBy(*LINE_KEY).agg(F.max(F.struct(*order)).alias("b"))

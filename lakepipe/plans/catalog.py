@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakepipe.contracts import load_rules
 from lakepipe.operators import checks, gold, quality, silver
-from lakepipe.sources import reference
+from lakepipe.sources import reference, tables
 from lakepipe.sources import testdata as td
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,9 +37,11 @@ def _ts(s: str):
 def lcr_chain(spark: SparkSession, sf_dir: str, max_version: int | None = None,
               quarantine: str = "sticky", grain: str = "line"):
     """Bronze -> rules -> Silver -> Gold over the derived returns (N_GOLD institutions)."""
-    bronze = td.lcr_bronze(spark, sf_dir, td.N_GOLD)
+    # Bronze is a table: materialise the derived one once under the checkpoint
+    # folder, so rules, Silver and lineage scan it instead of re-deriving it.
+    bronze = tables.stage(spark, td.lcr_bronze(spark, sf_dir, td.N_GOLD), "lcr-bronze")
     if max_version is not None:          # as-of read (A14 / L11)
-        bronze = bronze.where(F.col("submission_version") <= max_version)
+        bronze = tables.as_of(bronze, max_version=max_version)
     dq = quality.evaluate(bronze, load_rules("lcr-monthly"), "bronze", checked_at=_ts(RUN1))
     slv = silver.build_silver(bronze, dq, quarantine=quarantine, grain=grain, build_ts=False)
     gld = gold.build_gold(slv, reference.line_codes(spark),

@@ -37,9 +37,23 @@ def _packaged_rows(name: str) -> tuple:
                      for r in csv.DictReader(fh))
 
 
+def _sql_literal(v, dtype: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST({v} AS {dtype.simpleString()})"
+    if isinstance(dtype, T.BooleanType):
+        return "true" if v else "false"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
 def code_list(spark: SparkSession, name: str) -> DataFrame:
-    """A packaged code list (a few fixed rows of configuration)."""
-    return spark.createDataFrame(list(_packaged_rows(name)), REFERENCE_SCHEMAS[name])
+    """A packaged code list (a few fixed rows of configuration) as a local relation."""
+    schema = REFERENCE_SCHEMAS[name]
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                       for r in _packaged_rows(name))
+    cols = ", ".join(f.name for f in schema.fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
 
 
 def line_codes(spark: SparkSession) -> DataFrame:
