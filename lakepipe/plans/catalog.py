@@ -83,10 +83,13 @@ def _rules_run(spark, sf_dir, *rule_ids, faults=True, checked_at=RUN1):
     return quality.evaluate(rows, rules, "bronze", checked_at=_ts(checked_at))
 
 
-def dq_history(spark, sf_dir):
+def dq_history(spark, sf_dir, clean=None):
     """Two runs of the Bronze rules: faulty delivery first, corrected re-run later."""
-    return _rules_run(spark, sf_dir).unionByName(
-        _rules_run(spark, sf_dir, faults=False, checked_at=RUN2))
+    rules = load_rules("lcr-monthly")
+    first = _rules_run(spark, sf_dir)
+    if clean is None:
+        return first.unionByName(_rules_run(spark, sf_dir, faults=False, checked_at=RUN2))
+    return first.unionByName(quality.evaluate(clean, rules, "bronze", checked_at=_ts(RUN2)))
 
 
 @query
@@ -143,16 +146,20 @@ def _clean_bronze(spark, sf_dir):
     return td.with_audit(td.lcr_lines(spark, sf_dir, td.N_RULES)).select(*td.BRONZE_COLUMNS)
 
 
+def _quarantine(spark, sf_dir, mode):
+    clean = tables.stage(spark, _clean_bronze(spark, sf_dir), "clean-bronze")   # read twice below
+    q = silver.quarantined_submissions(dq_history(spark, sf_dir, clean), mode)
+    return silver.remove_quarantined(clean, q)
+
+
 @query
 def quarantine_antijoin(spark, sf_dir):
-    q = silver.quarantined_submissions(dq_history(spark, sf_dir), "sticky")
-    return silver.remove_quarantined(_clean_bronze(spark, sf_dir), q)
+    return _quarantine(spark, sf_dir, "sticky")
 
 
 @query
 def quarantine_latest_run(spark, sf_dir):
-    q = silver.quarantined_submissions(dq_history(spark, sf_dir), "latest_run")
-    return silver.remove_quarantined(_clean_bronze(spark, sf_dir), q)
+    return _quarantine(spark, sf_dir, "latest_run")
 
 
 # ---------------------------------------------------------- model tests (H)
