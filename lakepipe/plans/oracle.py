@@ -223,7 +223,7 @@ HISTORY = f"""WITH {lines_cte('rin', 45, True)},
 hist AS (SELECT * FROM dq1 UNION ALL SELECT * FROM dq2)"""
 
 SQL["dq_failures_by_rule"] = HISTORY + """
-SELECT rule_id, submission_id, count(*) AS failed_runs, sum(records_failed) AS records_failed
+SELECT rule_id, submission_id, count(*) AS failed_runs, CAST(sum(records_failed) AS BIGINT) AS records_failed
 FROM hist WHERE outcome = 'FAIL' GROUP BY rule_id, submission_id"""
 
 BRONZE_OUT = ("institution_id, reporting_period, line_code, currency, amount, submission_id, "
@@ -627,9 +627,9 @@ stats AS (
          count(*) FILTER (WHERE status = 'FAILED') AS failed_count
   FROM good GROUP BY ALL),
 monthly AS (
-  SELECT institution_id, strftime(window_start, '%Y-%m') AS month, sum(event_count) AS event_count,
+  SELECT institution_id, strftime(window_start, '%Y-%m') AS month, CAST(sum(event_count) AS BIGINT) AS event_count,
          CAST(sum(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_amount,
-         sum(failed_count) AS failed_count
+         CAST(sum(failed_count) AS BIGINT) AS failed_count
   FROM stats GROUP BY ALL),
 latest AS (
   SELECT institution_id, reporting_period AS latest_period, lcr_ratio AS latest_lcr_ratio
@@ -683,7 +683,7 @@ SQL["deadline_timeliness"] = f"""WITH {lines_cte('rin', 45, True)},
 subs AS (SELECT submission_id, reporting_period, min(loaded_at) AS received_at FROM rin GROUP BY ALL),
 d AS (SELECT *, CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + 15 AS DATE) AS deadline FROM subs)
 SELECT submission_id, reporting_period, deadline, received_at,
-       greatest(date_diff('day', deadline, CAST(received_at AS DATE)), 0) AS days_late,
+       CAST(greatest(date_diff('day', deadline, CAST(received_at AS DATE)), 0) AS INTEGER) AS days_late,
        CAST(received_at AS DATE) <= deadline AS on_time
 FROM d"""
 
