@@ -18,6 +18,11 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from planner estimates (compressed file sizes are not a
+    # bound): AQE broadcasts a side only once its real shuffle size is known.
+    # Dimension joins broadcast explicitly behind a row-count check.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Partition columns are overwritten per partition, never table-wide.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.ansi.enabled": "true",

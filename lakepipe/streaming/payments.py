@@ -164,13 +164,16 @@ def start_payments_job(raw: DataFrame, bronze_path: str, stats_path: str, dlq_pa
     deduped = deduplicate(good, dedup)
 
     def write_bronze(batch: DataFrame, batch_id: int) -> None:
+        # Idempotent per micro-batch: a batch replayed after a failure overwrites
+        # its own folder (batch_id=N) instead of appending a second copy.
         batch = batch.persist()
-        bronze_events(good_events(batch)).write.mode("append").partitionBy("institution_id") \
-            .parquet(bronze_path)
-        dead_letters(batch).write.mode("append").parquet(dlq_path)
+        part = f"batch_id={batch_id}"
+        bronze_events(good_events(batch)).write.mode("overwrite").partitionBy("institution_id") \
+            .parquet(f"{bronze_path}/{part}")
+        dead_letters(batch).write.mode("overwrite").parquet(f"{dlq_path}/{part}")
         if dq_path:
-            evaluate_event_rules(good_events(batch).drop("ts"), batch_id).write.mode("append") \
-                .parquet(dq_path)
+            evaluate_event_rules(good_events(batch).drop("ts"), batch_id).write.mode("overwrite") \
+                .parquet(f"{dq_path}/{part}")
         batch.unpersist()
 
     # dedup runs in the streaming plan (stateful); malformed rows bypass it.
