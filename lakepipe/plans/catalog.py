@@ -556,3 +556,10 @@ def event_enum_check(spark, sf_dir):
     return bad.agg(*[F.count_if(F.col(f"bad_{c}")).alias(f"bad_{c}")
                      for c in ("payment_system", "direction", "status")],
                    F.count(F.lit(1)).alias("bad_rows"))
+
+
+@query
+def ledger_oldest_received(spark, sf_dir):
+    """The oldest RECEIVED event (ORDER BY ... LIMIT 1 as a top-k, ties by submission id)."""
+    ev = ledger_events(spark, sf_dir).where(F.col("status") == "RECEIVED")
+    return ev.orderBy("created_at", "submission_id").limit(1).select("submission_id", "created_at")

@@ -755,3 +755,7 @@ SELECT count(*) FILTER (WHERE payment_system IS NULL OR payment_system NOT IN ('
                           OR direction IS NULL OR direction NOT IN ('OUT', 'IN')
                           OR status IS NULL OR status NOT IN ('SETTLED', 'PENDING', 'FAILED')) AS bad_rows
 FROM good"""
+
+SQL["ledger_oldest_received"] = LEDGER_BASE + """
+SELECT submission_id, created_at FROM events WHERE status = 'RECEIVED'
+ORDER BY created_at, submission_id LIMIT 1"""
