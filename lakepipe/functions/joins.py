@@ -19,11 +19,18 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    ``known_rows`` is for relations whose size is fixed when they are built
+    (literal VALUES tables such as packaged code lists): no job is needed.
+    """
+    ok = known_rows <= max_rows if known_rows is not None else fits(df, max_rows)
+    return F.broadcast(df) if ok else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
     """Fact-to-dimension join with a size-checked broadcast of the dimension."""
-    return fact.join(checked_broadcast(dim, max_rows), on, how)
+    return fact.join(checked_broadcast(dim, max_rows, known_rows), on, how)

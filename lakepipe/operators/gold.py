@@ -23,10 +23,13 @@ GOLD_COLUMNS = ["institution_id", "institution_name", "institution_type", "peer_
 INFLOW_CAP = Decimal("0.75")   # fixed value: inflows count up to 75 % of outflows
 
 
-def aggregate_returns(silver: DataFrame, line_codes: DataFrame) -> DataFrame:
-    """Per (inst, period): weighted HQLA, outflows, inflows, lineage list."""
+def aggregate_returns(silver: DataFrame, line_codes: DataFrame, codes_rows: int | None = None) -> DataFrame:
+    """Per (inst, period): weighted HQLA, outflows, inflows, lineage list.
+
+    ``codes_rows``: row count of the code list when known (packaged list).
+    """
     codes = line_codes.select("line_code", "category", "weight")
-    s = join_dimension(silver, codes, "line_code")          # unknown codes drop out
+    s = join_dimension(silver, codes, "line_code", known_rows=codes_rows)   # unknown codes drop out
     cat = F.col("category")
     return (s.groupBy("institution_id", "reporting_period")
             .agg(F.sum(F.when(cat == "HQLA", F.col("amount") * F.col("weight"))).alias("hqla_d"),
@@ -52,8 +55,8 @@ def ratio_columns(agg: DataFrame) -> DataFrame:
 
 
 def build_gold(silver: DataFrame, line_codes: DataFrame, institutions: DataFrame,
-               build_ts: bool = True) -> DataFrame:
-    g = ratio_columns(aggregate_returns(silver, line_codes))
+               build_ts: bool = True, codes_rows: int | None = None) -> DataFrame:
+    g = ratio_columns(aggregate_returns(silver, line_codes, codes_rows))
     inst = institutions.select("institution_id", "institution_name", "institution_type", "peer_group")
     out = join_dimension(g, inst, "institution_id", "left")   # unknown institution keeps NULLs
     cols = [F.col(c) for c in GOLD_COLUMNS]

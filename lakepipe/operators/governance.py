@@ -17,7 +17,8 @@ from lakepipe.functions.joins import checked_broadcast
 # ----------------------------------------------------------------- L3 / L4
 
 def codelist_violations(rows: DataFrame, code_lists: dict[str, DataFrame],
-                        minimum: dict[str, float] | None = None, key: str = "submission_id") -> DataFrame:
+                        minimum: dict[str, float] | None = None, key: str = "submission_id",
+                        known_rows: dict[str, int] | None = None) -> DataFrame:
     """Values missing from their code list (anti-join) and values below a minimum.
 
     ``code_lists``: column -> one-column DataFrame of allowed codes.  NULLs are
@@ -26,7 +27,8 @@ def codelist_violations(rows: DataFrame, code_lists: dict[str, DataFrame],
     """
     parts = []
     for column, codes in code_lists.items():
-        allowed = checked_broadcast(codes.select(F.col(codes.columns[0]).alias("__code")).distinct())
+        allowed = checked_broadcast(codes.select(F.col(codes.columns[0]).alias("__code")).distinct(),
+                                    known_rows=(known_rows or {}).get(column))
         bad = (rows.where(F.col(column).isNotNull())
                .join(allowed, F.col(column) == F.col("__code"), "left_anti")
                .select(key, F.lit(column).alias("column"), F.col(column).cast("string").alias("value")))

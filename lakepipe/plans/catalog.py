@@ -44,8 +44,8 @@ def lcr_chain(spark: SparkSession, sf_dir: str, max_version: int | None = None,
         bronze = tables.as_of(bronze, max_version=max_version)
     dq = quality.evaluate(bronze, load_rules("lcr-monthly"), "bronze", checked_at=_ts(RUN1))
     slv = silver.build_silver(bronze, dq, quarantine=quarantine, grain=grain, build_ts=False)
-    gld = gold.build_gold(slv, reference.line_codes(spark),
-                          td.institutions(spark, sf_dir, td.N_GOLD), build_ts=False)
+    gld = gold.build_gold(slv, reference.line_codes(spark), td.institutions(spark, sf_dir, td.N_GOLD),
+                          build_ts=False, codes_rows=reference.code_list_rows("lcr_line_codes"))
     return bronze, dq, slv, gld
 
 
@@ -462,7 +462,10 @@ def codelist_violations(spark, sf_dir):
     from lakepipe.operators import governance
     codes = {"line_code": reference.code_list(spark, "lcr_line_codes").select("line_code"),
              "currency": reference.code_list(spark, "currencies").select("currency_code")}
-    return governance.codelist_violations(td.lcr_rules_input(spark, sf_dir), codes, {"amount": 0})
+    known = {"line_code": reference.code_list_rows("lcr_line_codes"),
+             "currency": reference.code_list_rows("currencies")}
+    return governance.codelist_violations(td.lcr_rules_input(spark, sf_dir), codes, {"amount": 0},
+                                          known_rows=known)
 
 
 @query

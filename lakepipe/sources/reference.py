@@ -60,6 +60,11 @@ def line_codes(spark: SparkSession) -> DataFrame:
     return code_list(spark, "lcr_line_codes")
 
 
+def code_list_rows(name: str) -> int:
+    """Row count of a packaged code list (known without a job)."""
+    return len(_packaged_rows(name))
+
+
 def read_reference(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One reference CSV with its explicit schema (no inference pass)."""
     return (spark.read.schema(REFERENCE_SCHEMAS[name]).option("header", True)
