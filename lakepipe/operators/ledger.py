@@ -64,3 +64,19 @@ def time_in_status(events: DataFrame) -> DataFrame:
 def orphans(events: DataFrame, submissions: DataFrame) -> DataFrame:
     """Events whose submission is unknown (the missing foreign key, reported as data)."""
     return events.join(submissions.select("submission_id").distinct(), "submission_id", "left_anti")
+
+
+def publish_lifecycle(events: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None):
+    """Lifecycle events as JSON records for downstream consumers.
+
+    A streaming ``events`` DataFrame becomes a file stream with its own
+    checkpoint (exactly-once file sink); a static one is appended.
+    Returns the StreamingQuery for streams, else None.
+    """
+    out = events.select("submission_id", F.to_json(F.struct(*events.columns)).alias("value"))
+    if events.isStreaming:
+        return (out.writeStream.format("json").option("path", path)
+                .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "60 seconds"}))
+                .start())
+    out.write.mode("append").json(path)
+    return None
