@@ -90,8 +90,9 @@ def decide(files: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     conflict = (~F.col("is_first_name")) | F.coalesce(F.col("__seen_name"), F.lit(False))
     decided = named.select("path", F.when(conflict, F.lit("VERSION_CONFLICT"))
                            .otherwise(F.lit("RECEIVED")).alias("__v2"))
+    # duplicate_of_file: the earlier copy in this batch (NULL when it is in the ledger)
     marks = cand.select("path", F.when(dup, F.lit("DUPLICATE")).alias("__v1"),
-                        F.col("first_sha_file").alias("duplicate_of_file"))
+                        F.when(~F.col("is_first_sha"), F.col("first_sha_file")).alias("duplicate_of_file"))
     out = f.join(marks, "path", "left").join(decided, "path", "left")
     verdict = (F.when(~F.col("name_ok"), F.lit("REJECTED"))
                .when(~F.col("manifest_ok"), F.lit("REJECTED"))

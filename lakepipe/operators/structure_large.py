@@ -153,3 +153,40 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     errors = ranked.withColumn("error_no", F.row_number().over(w)) \
                    .where(F.col("error_no") <= MAX_REPORT_ERRORS).select("path", "error_no", "message")
     return summary, errors
+
+
+def parse_large(spark: SparkSession, paths, contract: Contract, delimiter: str = ",",
+                max_files: int = 1_000_000) -> DataFrame:
+    """Typed rows of large files (A3 on the splittable path): path, line_no, contract columns."""
+    from lakepipe.operators.structure import _strip
+    from lakepipe.functions.columns import NUMBER_PATTERN
+    nl = numbered_lines(spark, paths)
+    first = nl.where(F.col("line") == 1).select("path", F.split("value", delimiter, -1).alias("header"),
+                                                 (F.col("value") != "").cast("long").alias("header_nonempty"))
+    hdr = F.col("header")
+    cols = ["path", "header_nonempty"]
+    for p in contract.properties:
+        rev = F.array_position(F.reverse(hdr), F.lit(p.name)).cast("int")
+        cols.append(F.when(rev > 0, F.size(hdr) - rev + 1).otherwise(F.lit(0)).alias(f"__i_{p.name}"))
+    headers = checked_broadcast(first.select(*cols), max_files)
+    data = nl.where((F.col("line") >= 2) & (F.col("value") != "")).join(headers, "path")
+    fields = F.split("value", delimiter, -1)
+    out = [F.col("path"), (F.col("nonempty") - F.col("header_nonempty") + 1).cast("int").alias("line_no")]
+    for p in contract.properties:
+        pos = F.col(f"__i_{p.name}")
+        v = F.when(pos > 0, F.try_element_at(fields, pos))
+        if p.logical_type == "number":
+            v = F.when(_strip(v).rlike(NUMBER_PATTERN), _strip(v).try_cast("decimal(20,2)"))
+        out.append(v.alias(p.name))
+    return data.select(*out)
+
+
+def report_rows(summary: DataFrame, errors: DataFrame) -> DataFrame:
+    """Large-file results in the whole-file shape: errors (<=200) and detail_errors (<=20) arrays."""
+    from lakepipe.operators.structure import MAX_LEDGER_ERRORS
+    arr = errors.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("error_no", "message"))).alias("e"))
+    msgs = F.transform(F.coalesce(F.col("e"), F.array().cast("array<struct<error_no:int,message:string>>")),
+                       lambda x: x["message"])
+    return summary.join(arr, "path", "left").select(
+        "path", "record_count", "control_total", "n_errors", "status", "reason",
+        msgs.alias("errors"), F.slice(msgs, 1, MAX_LEDGER_ERRORS).alias("detail_errors"))

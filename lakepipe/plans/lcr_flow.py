@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepipe.contracts import load_contract, load_rules
-from lakepipe.operators import bronze, checks, gold, intake, ledger, quality, silver, structure
+from lakepipe.operators import (bronze, checks, gold, intake, ledger, quality, silver, structure,
+                                structure_large)
 from lakepipe.schemas import BRONZE_LCR, DQ_RESULTS
 from lakepipe.sources import raw, reference, tables
 
@@ -38,31 +39,57 @@ def _exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
         raise
 
 
+VALIDATED_COLS = ["path", "submission_id", "raw_key", "sha256", "received_at", "large", "content",
+                  "record_count", "control_total", "n_errors", "status", "reason", "errors", "detail_errors"]
+
+
 def run_lcr_batch(spark: SparkSession, landing: str, warehouse: str, institutions: DataFrame,
-                  quarantine: str = "sticky", grain: str = "line") -> dict[str, DataFrame]:
-    """Process every file in ``landing``; returns the per-stage DataFrames (read back)."""
+                  quarantine: str = "sticky", grain: str = "line",
+                  large_bytes: int = raw.LARGE_FILE_BYTES) -> dict[str, DataFrame]:
+    """Process every file in ``landing``; returns the per-stage DataFrames (read back).
+
+    Files above ``large_bytes`` are never loaded as one row: they are hashed
+    in chunks, validated and parsed by the splittable path.
+    """
     wh = Warehouse(warehouse)
     contract = load_contract()
     rules = load_rules("lcr-monthly")
     now = F.localtimestamp()
 
     # 1. intake: one decision per file; earlier runs come from the ledger table
-    files = raw.files_with_manifests(spark, landing).withColumn("received_at", F.col("modified_at"))
+    files = raw.files_with_manifests(spark, landing, large_bytes=large_bytes) \
+               .withColumn("received_at", F.col("modified_at"))
     known = _exists(spark, f"{wh.ledger}_submissions", None)
     decided = tables.stage(spark, intake.decide(files, known), "intake")
     received = decided.where(F.col("verdict") == "RECEIVED")
 
     # 2. structural validation (invalid UTF-8 -> rejected without parsing)
-    decoded = received.withColumn("content", F.coalesce(F.col("content"), F.lit("")))
+    decoded = received.where(~F.col("large")).withColumn("content", F.coalesce(F.col("content"), F.lit("")))
     validated = structure.validate(decoded, contract)
     validated = validated.withColumn(
         "status", F.when(~F.col("utf8_ok"), F.lit("REJECTED")).otherwise(F.col("status")))
+    validated = validated.select(*VALIDATED_COLS)
+    # the large files of a batch are few (each is at least large_bytes): their paths feed the scan
+    large_paths = [r.path for r in received.where(F.col("large")).select("path").collect()]
+    if large_paths:
+        summary, errors = structure_large.validate_large(spark, large_paths,
+                                                         received.select("path", "manifest"), contract)
+        big = received.where(F.col("large")).select("path", "submission_id", "raw_key", "sha256",
+                                                   "received_at", "large", "content") \
+            .join(structure_large.report_rows(summary, errors), "path")
+        validated = validated.unionByName(big.select(*VALIDATED_COLS))
     validated = tables.stage(spark, validated, "validated")
     tables.write_reports(structure.report(validated), wh.reports)
 
     # 3. Bronze: typed rows of validated files, idempotent per submission
     ok = validated.where(F.col("status") == "VALIDATED")
-    rows = bronze.with_audit(structure.parse_records(ok, contract), now)
+    parsed = structure.parse_records(ok.where(~F.col("large")), contract)
+    ok_large = [r.path for r in ok.where(F.col("large")).select("path").collect()]
+    if ok_large:
+        keys = ok.where(F.col("large")).select("path", "submission_id", "raw_key", "sha256")
+        big_rows = structure_large.parse_large(spark, ok_large, contract).join(keys, "path")
+        parsed = parsed.unionByName(big_rows.select(*parsed.columns))
+    rows = bronze.with_audit(parsed, now)
     bronze.replace_submissions(spark, wh.bronze, rows)
     batch_sids = ok.select("submission_id")
     loaded = spark.read.schema(BRONZE_LCR).parquet(wh.bronze).join(batch_sids, "submission_id", "left_semi")

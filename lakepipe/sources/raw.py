@@ -15,10 +15,26 @@ from lakepipe.schemas import MANIFEST
 MANIFEST_SUFFIX = ".manifest.json"
 
 
-def scan_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """path, file_name, bytes, sha256, utf8_ok, content (NULL when not UTF-8), modified_at."""
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", "true").load(root))
+# Files above this size are not read as one row (a binary row is capped at 2 GB
+# and would sit in one task): they take the splittable path.
+LARGE_FILE_BYTES = 256 * 1024 * 1024
+
+
+def _binary(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(root))
+
+
+def scan_files(spark: SparkSession, root: str, glob: str = "*.csv",
+               max_bytes: int | None = None) -> DataFrame:
+    """path, file_name, bytes, sha256, utf8_ok, content (NULL when not UTF-8), modified_at.
+
+    With ``max_bytes`` only files up to that size are read (the length filter
+    is pushed into the binary-file scan, so larger files' bytes are not read).
+    """
+    raw = _binary(spark, root, glob)
+    if max_bytes is not None:
+        raw = raw.where(F.col("length") <= max_bytes)
     as_text = F.col("content").cast("string")
     return raw.select(
         F.col("path"),
@@ -30,6 +46,40 @@ def scan_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"))
 
 
+def _sha256_chunks(batches):
+    """SHA-256 of whole files read in 8 MB chunks through the Arrow file system layer."""
+    import hashlib
+
+    import pandas as pd
+    from pyarrow import fs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            filesystem, p = fs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with filesystem.open_input_stream(p) as stream:
+                while chunk := stream.read(8 << 20):
+                    h.update(chunk)
+            out.append(h.hexdigest())
+        yield pd.DataFrame({"path": pdf["path"], "sha256": out})
+
+
+def scan_large_files(spark: SparkSession, root: str, glob: str = "*.csv",
+                     min_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """Large files without loading them into rows: path, file_name, bytes, sha256, modified_at.
+
+    The checksum is one sequential read per file (inherent to SHA-256) in
+    bounded memory; files hash in parallel across tasks.
+    """
+    meta = (_binary(spark, root, glob).where(F.col("length") > min_bytes)
+            .select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                    F.col("length").alias("bytes"),
+                    F.col("modificationTime").cast("timestamp_ntz").alias("modified_at")))
+    sha = meta.select("path").repartition("path").mapInPandas(_sha256_chunks, "path string, sha256 string")
+    return meta.join(sha, "path")
+
+
 def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     """data_path (the file the manifest describes), manifest struct, manifest_text."""
     m = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
@@ -41,8 +91,18 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
         F.col("value").alias("manifest_text"))
 
 
-def files_with_manifests(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Files left-joined to their manifests (B2: missing manifest -> NULL)."""
-    files = scan_files(spark, root, glob)
+def files_with_manifests(spark: SparkSession, root: str, glob: str = "*.csv",
+                         large_bytes: int | None = None) -> DataFrame:
+    """Files left-joined to their manifests (B2: missing manifest -> NULL).
+
+    With ``large_bytes`` files above it come without ``content`` (``large`` =
+    true, ``utf8_ok`` NULL) and are validated by the splittable path.
+    """
+    files = scan_files(spark, root, glob, large_bytes).withColumn("large", F.lit(False))
+    if large_bytes is not None:
+        big = scan_large_files(spark, root, glob, large_bytes).select(
+            "path", "file_name", "bytes", "sha256", F.lit(None).cast("boolean").alias("utf8_ok"),
+            F.lit(None).cast("string").alias("content"), "modified_at", F.lit(True).alias("large"))
+        files = files.unionByName(big)
     mans = scan_manifests(spark, root)
     return files.join(mans, files.path == mans.data_path, "left").drop("data_path")

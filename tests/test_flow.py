@@ -11,8 +11,10 @@ from lakepipe.operators import bronze
 from conftest import rows
 
 
-@pytest.fixture(scope="module")
-def flow(spark):
+@pytest.fixture(scope="module", params=["whole-file", "large-file"])
+def flow(spark, request):
+    """The same landing folder through the whole-file path and through the large-file path."""
+    large_bytes = 0 if request.param == "large-file" else 256 * 1024 * 1024
     root = tempfile.mkdtemp(prefix="lakepipe-flow-")
     land = os.path.join(root, "landing")
     cases = {"FI001": None, "FI002": "negative_amount", "FI003": "missing_line",
@@ -31,8 +33,8 @@ def flow(spark):
     inst = spark.createDataFrame([(f"FI{i:03d}", f"Bank {i}", "COMMERCIAL_BANK", "PG-CB") for i in range(1, 11)],
                                  "institution_id string, institution_name string, institution_type string, "
                                  "peer_group string")
-    out = run_lcr_batch(spark, land, os.path.join(root, "wh"), inst)
-    return out, root, land, inst
+    out = run_lcr_batch(spark, land, os.path.join(root, "wh"), inst, large_bytes=large_bytes)
+    return out, root, land, inst, large_bytes
 
 
 def test_intake_verdicts(flow):
@@ -80,7 +82,7 @@ def test_replay_is_idempotent(spark, flow):
 
 
 def test_second_run_finds_duplicates(spark, flow):
-    out, root, land, inst = flow
-    again = run_lcr_batch(spark, land, os.path.join(root, "wh"), inst)
+    out, root, land, inst, large_bytes = flow
+    again = run_lcr_batch(spark, land, os.path.join(root, "wh"), inst, large_bytes=large_bytes)
     verdicts = {r.verdict for r in again["intake"].select("verdict").collect()}
     assert "RECEIVED" not in verdicts
