@@ -101,7 +101,9 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
                                                      zero, lambda acc, x: acc + F.coalesce(x, zero)))
             .withColumn("header_ok", hdr == F.array(*[F.lit(c) for c in expected])))
     m = F.col(manifest)
-    header_err = F.when(~F.col("header_ok"), F.concat(F.lit("header "), _py_list(hdr), F.lit(" != contract "),
+    # an empty file has no header row at all (rendered None); a blank first line is []
+    shown = F.when(F.col(content) == "", F.lit("None")).otherwise(_py_list(hdr))
+    header_err = F.when(~F.col("header_ok"), F.concat(F.lit("header "), shown, F.lit(" != contract "),
                                                       _py_list(F.array(*[F.lit(c) for c in expected]))))
     count_err = F.when(m.isNull(), F.lit("manifest missing")).when(
         F.col("record_count") != m["record_count"],

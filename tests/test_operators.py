@@ -53,6 +53,12 @@ def test_structure_short_header_and_missing_manifest(spark):
     assert r.errors[1:] == ["line 2: amount is required", "manifest missing"]
 
 
+def test_structure_empty_file_and_blank_header(spark):
+    assert _validate(spark, "", 0, 0.0).errors[0].startswith("header None != contract")
+    r = _validate(spark, "\nFI001,2024-01,HQLA_L1,MYR,1\n", 1, 1.0)
+    assert r.errors[0].startswith("header [] != contract") and r.record_count == 1
+
+
 def test_parse_records_by_header_name(spark):
     df = spark.createDataFrame([("s", "k", "h", "amount,institution_id,reporting_period,line_code,currency\n"
                                  "1.005,FI001,2024-01,IN_TOTAL,MYR\n")],
