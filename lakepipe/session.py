@@ -88,3 +88,22 @@ def local_path(uri: str) -> str:
 def set_pipeline_time_zone(spark: SparkSession, tz: str | None = None) -> None:
     """Day partitioning and deadline logic use the supervisor's zone."""
     spark.conf.set("spark.sql.session.timeZone", tz or "Asia/Kuala_Lumpur")
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition sizing for a given input volume and cluster.
+
+    Scan splits and shuffle partitions target ~128 MB so a task's share fits
+    in executor memory with room to spill; the initial shuffle partition
+    count covers the whole input at that size (at least 3 waves of tasks) and
+    AQE coalesces the small ones.  E.g. 100 TB on 8,000 cores: 819,200 scan
+    splits, 819,200 initial shuffle partitions, coalesced at runtime.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

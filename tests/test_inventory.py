@@ -62,3 +62,11 @@ def test_lifecycle_stream(spark):
     q.awaitTermination()
     out = spark.read.json(os.path.join(root, "out")).collect()
     assert len(out) == 1 and json.loads(out[0].value)["status"] == "RECEIVED"
+
+
+def test_sizing_conf_scales_with_input():
+    from lakepipe.session import sizing_conf
+    small = sizing_conf(10 << 30, 8)
+    big = sizing_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
