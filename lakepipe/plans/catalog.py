@@ -256,11 +256,12 @@ def intake_verdict(spark, sf_dir):
 def ledger_events(spark, sf_dir):
     """Lifecycle events of the rule-test submissions: received, gate verdict, publish."""
     from lakepipe.operators import ledger
-    rows = td.lcr_rules_input(spark, sf_dir)
+    rows = tables.stage(spark, td.lcr_rules_input(spark, sf_dir), "rules-input")   # read twice below
     subs = rows.groupBy("submission_id").agg(F.min("loaded_at").alias("loaded_at"))
     received = ledger.status_events(subs, "RECEIVED",
                                     F.timestamp_add("HOUR", F.lit(-1), F.col("loaded_at")))
-    verdict = quality.gate(_rules_run(spark, sf_dir)).join(subs, "submission_id")
+    results = quality.evaluate(rows, load_rules("lcr-monthly"), "bronze", checked_at=_ts(RUN1))
+    verdict = quality.gate(results).join(subs, "submission_id")
     gated = ledger.status_events(
         verdict, F.col("status"), F.timestamp_add("HOUR", F.lit(1), F.col("loaded_at")),
         reason=F.when(F.col("status") == "QUARANTINED", F.lit("blocking quality rule failed")))
