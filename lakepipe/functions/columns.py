@@ -27,7 +27,7 @@ def any_null(*cols: str | Column) -> Column:
 
 
 def strict_least(*cols: str | Column) -> Column:
-    """``least`` that is NULL when any argument is NULL (ANSI/Trino rule).
+    """``least`` that is NULL when any argument is NULL (standard SQL engines).
 
     Spark's own ``least`` skips NULLs: least(NULL, 1.0) = 1.0.
     """

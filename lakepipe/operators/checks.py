@@ -28,24 +28,24 @@ def _not_null_rules(model: str, columns: list[str]) -> list[Rule]:
 
 def silver_tests(line_codes: tuple[str, ...]) -> RuleSet:
     rules = _not_null_rules("silver", SILVER_NOT_NULL)
-    # dbt's accepted_values ignores NULLs (unlike the Bronze rule engine).
+    # model tests' accepted_values ignore NULLs (unlike the Bronze rule engine).
     rules.append(Rule(id="accepted_values_silver_line_code", stage="silver", dimension="validity",
                       type="accepted_values", severity="error", column="line_code",
                       values=tuple(line_codes)))
     rules.append(Rule(id="assert_one_current_version", stage="silver", dimension="uniqueness",
                       type="unique", severity="error", columns=tuple(SILVER_KEY)))
-    return RuleSet("lcr-monthly", "dbt", tuple(rules))
+    return RuleSet("lcr-monthly", "model-tests", tuple(rules))
 
 
 def gold_tests() -> RuleSet:
     rules = _not_null_rules("gold", GOLD_NOT_NULL)
     plausible = load_rules("lcr-monthly").only("LCR-101").rules
-    return RuleSet("lcr-monthly", "dbt", tuple(rules) + plausible)
+    return RuleSet("lcr-monthly", "model-tests", tuple(rules) + plausible)
 
 
 def run_model_tests(model: DataFrame, tests: RuleSet, stage: str,
                     checked_at: Column | None = None) -> DataFrame:
-    """All tests of one model in one pass; dbt accepted_values semantics for NULLs."""
+    """All tests of one model in one pass; model-test accepted_values semantics for NULLs."""
     patched = tuple(
         Rule(**{**r.__dict__, "type": "row_expression",
                 "expression": f"{r.column} IS NULL OR {r.column} IN ({', '.join(repr(v) for v in r.values)})"})

@@ -91,7 +91,7 @@ def test_model_tests_and_gate(spark):
     res = checks.run_model_tests(s, checks.silver_tests(("HQLA_L1",)), "silver")
     got = {r.rule_id: r.records_failed for r in res.collect()}
     assert got["not_null_silver_amount"] == 1
-    assert got["accepted_values_silver_line_code"] == 0      # NULL ignored (dbt semantics)
+    assert got["accepted_values_silver_line_code"] == 0      # NULL ignored (model-test semantics)
     assert got["assert_one_current_version"] == 1
     try:
         checks.enforce(res)
