@@ -14,9 +14,19 @@ from pyspark.sql import types as T
 from lakepipe.session import scratch_path
 
 
+def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Cluster rows by the partition columns before a partitioned write.
+
+    REBALANCE (not a plain hash repartition): AQE splits a partition value
+    holding a large share of the rows into advisory-size tasks and coalesces
+    small ones, so files are neither tiny nor written by one overloaded task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def create_or_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """A5: full replace of a table folder."""
-    w = df.write.mode("overwrite")
+    w = _clustered(df, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -24,19 +34,15 @@ def create_or_replace(df: DataFrame, path: str, partition_by: list[str] | None =
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append result rows (they come from a distributed aggregate)."""
-    w = df.write.mode("append")
+    w = _clustered(df, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
-
-    Rows are clustered by the partition columns first, so every partition is
-    written by few tasks (no tiny file per task and partition).
-    """
-    (df.repartition(*partition_by).write.mode("overwrite")
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
+    (_clustered(df, partition_by).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 

@@ -168,8 +168,8 @@ def start_payments_job(raw: DataFrame, bronze_path: str, stats_path: str, dlq_pa
         # its own folder (batch_id=N) instead of appending a second copy.
         batch = batch.persist()
         part = f"batch_id={batch_id}"
-        bronze_events(good_events(batch)).write.mode("overwrite").partitionBy("institution_id") \
-            .parquet(f"{bronze_path}/{part}")
+        bronze_events(good_events(batch)).hint("rebalance", "institution_id").write.mode("overwrite") \
+            .partitionBy("institution_id").parquet(f"{bronze_path}/{part}")
         dead_letters(batch).write.mode("overwrite").parquet(f"{dlq_path}/{part}")
         if dq_path:
             evaluate_event_rules(good_events(batch).drop("ts"), batch_id).write.mode("overwrite") \

@@ -70,3 +70,19 @@ def test_sizing_conf_scales_with_input():
     big = sizing_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
+
+
+def test_partitioned_write_rebalances_a_hot_partition(spark):
+    """One partition value with most rows is split over several write tasks, not one."""
+    root = tempfile.mkdtemp(prefix="lakepipe-hot-")
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 == 0, F.lit("2024-02")).otherwise(F.lit("2024-01"))
+                                     .alias("reporting_period"), "id").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        tables.create_or_replace(df, os.path.join(root, "t"), ["reporting_period"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(os.path.join(root, "t", "reporting_period=2024-01")) if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(os.path.join(root, "t")).count() == 200_000
