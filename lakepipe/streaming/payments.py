@@ -124,13 +124,12 @@ def minute_stats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 # ----------------------------------------------------------- quality
 
-def event_rules_input(parsed: DataFrame) -> DataFrame:
-    """PAY rules name ``event_time``: run them on the parsed events, before renaming."""
-    return parsed
-
-
 def evaluate_event_rules(batch: DataFrame, batch_id: int | Column, stage: str = "bronze") -> DataFrame:
-    """PAY-001..004 on one micro-batch (the batch id stands in for the submission id)."""
+    """PAY-001..004 on one micro-batch (the batch id stands in for the submission id).
+
+    The rules name ``event_time``, so they run on the parsed events before the
+    Bronze projection renames it.
+    """
     rows = batch.withColumn("submission_id", F.lit(batch_id).cast("string") if isinstance(batch_id, int)
                             else batch_id.cast("string"))
     return quality.evaluate(rows, load_rules("payments-events"), stage)

@@ -171,3 +171,11 @@ def test_schema_evolution_reads_old_rows_as_null(spark):
     spark.createDataFrame([(2, "x")], "id int, note string").write.parquet(os.path.join(root, "t", "p=2"))
     got = rows(governance.read_evolving(spark, os.path.join(root, "t")), "id", "note")
     assert got == [(1, None), (2, "x")]
+
+
+def test_extra_columns_against_contract(spark):
+    df = spark.createDataFrame([("FI001", "2024-01", "HQLA_L1", "MYR", 1.0, "x")],
+                               "institution_id string, reporting_period string, line_code string, currency string, "
+                               "amount double, comment string")
+    assert governance.extra_columns(df, load_contract()) == ["comment"]
+    assert governance.extra_columns(df, load_contract(), allowed=("comment",)) == []
