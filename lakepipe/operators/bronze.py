@@ -37,19 +37,31 @@ def replace_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(new.select(*existing.columns))
 
 
-def replace_submissions(spark: SparkSession, path: str, new: DataFrame) -> None:
+def affected_periods(new: DataFrame) -> list[str]:
+    """Periods a batch touches: its rows' periods and each submission's nominal period.
+
+    A handful of values per batch; used as a literal IN list so every Bronze,
+    Silver and Gold read of the batch is partition-pruned.  (Rows of an earlier
+    delivery filed under a period matching neither are outside this set; finding
+    them would need a scan of the whole table.)
+    """
+    nominal = F.regexp_extract("submission_id", r"-([0-9]{4}-[0-9]{2})-v[0-9]+$", 1)
+    rows = new.select(F.col(PARTITION[0]).alias("p")).unionByName(new.select(nominal.alias("p")))
+    return sorted(r.p for r in rows.where(F.col("p").isNotNull() & (F.col("p") != "")).distinct().collect())
+
+
+def replace_submissions(spark: SparkSession, path: str, new: DataFrame) -> list[str]:
     """Idempotent load of a batch of submissions into the Bronze folder.
 
     Replace-then-append as ONE partition overwrite: affected periods are read
     (pruned), merged with the new rows, staged under the checkpoint folder,
     then written with dynamic partition overwrite.  Re-running the same batch
-    gives the same table.
+    gives the same table.  Returns the affected periods.
     """
     new = new.select(*[f.name for f in BRONZE_LCR.fields])
+    periods = affected_periods(new)
     try:
-        existing = spark.read.schema(BRONZE_LCR).parquet(path)
-        periods = new.select(*PARTITION).distinct()
-        existing = existing.join(periods, PARTITION, "left_semi")
+        existing = spark.read.schema(BRONZE_LCR).parquet(path).where(F.col(PARTITION[0]).isin(periods))
         merged = replace_rows(existing, new)
     except Exception as e:  # first load: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
@@ -57,3 +69,4 @@ def replace_submissions(spark: SparkSession, path: str, new: DataFrame) -> None:
         merged = new
     staged = tables.stage(spark, merged, "bronze-merge")
     tables.overwrite_partitions(staged, path, PARTITION)
+    return periods

@@ -26,9 +26,11 @@ def submission_rows(inst: str, period: str, inject: str | None = None) -> list[l
 
 def write_submission(folder: str, inst: str, period: str, version: int, inject: str | None = None,
                      name: str | None = None, manifest: bool = True, bad_sha: bool = False,
-                     body: bytes | None = None) -> str:
+                     body: bytes | None = None, rows: list[list[str]] | None = None) -> str:
+    """``rows`` replaces the generated rows in both the file and its manifest;
+    ``body`` replaces only the file bytes (the manifest keeps the generated rows)."""
     os.makedirs(folder, exist_ok=True)
-    rows = submission_rows(inst, period, inject)
+    rows = rows if rows is not None else submission_rows(inst, period, inject)
     data = body if body is not None else (HEADER + "\n" + "\n".join(",".join(r) for r in rows) + "\n").encode()
     fname = name or f"{inst}_LCR_{period}_v{version}.csv"
     path = os.path.join(folder, fname)
