@@ -122,6 +122,17 @@ def minute_stats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "institution_id", "payment_system", "event_count", "total_amount", "failed_count")
 
 
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows the windows dropped, summed over the query's recent progress.
+
+    Spark counts rows as they reach the stateful operator, i.e. after the
+    map-side partial aggregate: late events of one window and key in one task
+    count once.  Exact per-event counts: the ``minute_stats_late`` classification.
+    """
+    return sum(op.get("numRowsDroppedByWatermark", 0) or 0
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 # ----------------------------------------------------------- quality
 
 def evaluate_event_rules(batch: DataFrame, batch_id: int | Column, stage: str = "bronze") -> DataFrame:

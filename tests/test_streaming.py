@@ -35,6 +35,7 @@ def _run(spark, files, dedup="exact"):
                                      dedup=dedup, trigger={"availableNow": True}, dq_path=f"{root}/dq")
     for q in qs:
         q.awaitTermination()
+    _run.last = qs
     return root
 
 
@@ -52,6 +53,8 @@ def test_late_rows_dropped_by_windows_kept_by_bronze(spark):
     stats = {(r.window_start.strftime("%H:%M"), r.event_count, r.failed_count)
              for r in spark.read.parquet(f"{root}/stats").where("window_start < '2024-01-01 01:00'").collect()}
     assert stats == {("00:00", 2, 0), ("00:01", 1, 1), ("00:06", 1, 0), ("00:10", 1, 0)}
+    # D2 and the late copy of A share a window: one partial-aggregate row is dropped
+    assert payments.rows_dropped_by_watermark(_run.last[1]) == 1
     bronze = sorted(r.event_id for r in spark.read.parquet(f"{root}/bronze").collect())
     assert bronze == ["A", "B", "C", "D1", "D2", "E", "Z"]   # late rows kept, duplicate A removed
     assert spark.read.parquet(f"{root}/dlq").count() == 1
