@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakepipe.contracts import Contract
 from lakepipe.functions.columns import NUMBER_PATTERN
 
+NOT_UTF8 = "file is not valid UTF-8"
 MAX_REPORT_ERRORS = 200
 MAX_LEDGER_ERRORS = 20
 _WS = r"^\s+|\s+$"
@@ -117,6 +118,9 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
     all_errors = F.concat(F.filter(F.array(header_err), lambda e: e.isNotNull()),
                           F.flatten(F.transform(cells, lambda c, i: _cell_errors(contract, c, i + 2))),
                           F.filter(F.array(count_err, total_err), lambda e: e.isNotNull()))
+    if "utf8_ok" in files.columns:
+        # bytes that are not UTF-8 are not decoded at all: one error, nothing parsed
+        all_errors = F.when(F.col("utf8_ok") == F.lit(False), F.array(F.lit(NOT_UTF8))).otherwise(all_errors)
     df = df.withColumn("all_errors", all_errors)
     n = F.size("all_errors")
     return (df.withColumn("n_errors", n.cast("long"))

@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from lakepipe.contracts import Contract
 from lakepipe.functions.joins import checked_broadcast
-from lakepipe.operators.structure import (MAX_REPORT_ERRORS, _amount_value, _cell_errors, _cells,
-                                          _py_list)
+from lakepipe.operators.structure import (MAX_REPORT_ERRORS, NOT_UTF8, _amount_value, _cell_errors,
+                                          _cells, _py_list)
 
-NUMBERED = "path string, block long, pos long, nonempty_upto long, value string"
+# The line travels as binary: Python never decodes it (invalid UTF-8 is detected JVM-side).
+NUMBERED = "path string, block long, pos long, nonempty_upto long, vb binary"
 MAX_BLOCK_ROWS = 5_000_000
 
 
@@ -44,14 +45,14 @@ def _number_partition(batches):
         new.iloc[0] = key.iloc[0] != prev_key
         seg = new.cumsum()
         pos = pdf.groupby(seg).cumcount().to_numpy(dtype="int64")
-        ne = pdf["value"].ne("").astype("int64").groupby(seg).cumsum().to_numpy(dtype="int64")
+        ne = pdf["nonempty"].astype("int64").groupby(seg).cumsum().to_numpy(dtype="int64")
         if not new.iloc[0]:                        # the first segment continues the last batch
             first = (seg == seg.iloc[0]).to_numpy()
             pos[first] += prev_pos + 1
             ne[first] += prev_ne
         prev_key, prev_pos, prev_ne = key.iloc[-1], int(pos[-1]), int(ne[-1])
         yield pd.DataFrame({"path": pdf["path"], "block": pdf["block"], "pos": pos,
-                            "nonempty_upto": ne, "value": pdf["value"]})
+                            "nonempty_upto": ne, "vb": pdf["vb"]})
 
 
 def numbered_lines(spark: SparkSession, paths) -> DataFrame:
@@ -59,7 +60,8 @@ def numbered_lines(spark: SparkSession, paths) -> DataFrame:
     def scan():
         return (spark.read.text(paths)
                 .select(F.col("_metadata.file_path").alias("path"),
-                        F.col("_metadata.file_block_start").alias("block"), "value")
+                        F.col("_metadata.file_block_start").alias("block"),
+                        (F.col("value") != "").alias("nonempty"), F.col("value").cast("binary").alias("vb"))
                 .mapInPandas(_number_partition, NUMBERED))
     blocks = scan().groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"),
                                                  F.max("nonempty_upto").alias("ne"))
@@ -69,7 +71,8 @@ def numbered_lines(spark: SparkSession, paths) -> DataFrame:
                             F.coalesce(F.sum("ne").over(before), F.lit(0)).alias("ne_before"))
     lines = scan().join(checked_broadcast(offsets, MAX_BLOCK_ROWS), ["path", "block"])
     return lines.select("path", "block", (F.col("lines_before") + F.col("pos") + 1).alias("line"),
-                        (F.col("ne_before") + F.col("nonempty_upto")).alias("nonempty"), "value")
+                        (F.col("ne_before") + F.col("nonempty_upto")).alias("nonempty"),
+                        F.col("vb").cast("string").alias("value"))
 
 
 def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: Contract,
@@ -104,12 +107,13 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
                        _amount_value(contract, F.col("c")).alias("amt"))
 
     zero = F.lit(0).cast("decimal(38,6)")
+    bad_utf8 = nl.groupBy("path").agg(F.count_if(~F.is_valid_utf8("value")).alias("bad_lines"))
     per_file = rows.groupBy("path").agg(F.count(F.lit(1)).alias("record_count"),
                                         F.coalesce(F.sum("amt"), zero).cast("decimal(38,6)").alias("control_total"),
                                         F.sum(F.size("errs")).alias("line_errors"))
     files = headers.select("path", "header", "header_ok").join(per_file, "path", "left").join(
-        manifests.select("path", "manifest"), "path", "left")
-    files = files.select("path", "header", "header_ok", "manifest",
+        manifests.select("path", "manifest"), "path", "left").join(bad_utf8, "path", "left")
+    files = files.select("path", "header", "header_ok", "manifest", (F.col("bad_lines") > 0).alias("not_utf8"),
                          F.coalesce("record_count", F.lit(0)).cast("long").alias("record_count"),
                          F.coalesce("control_total", zero).alias("control_total"),
                          F.coalesce("line_errors", F.lit(0)).cast("long").alias("line_errors"))
@@ -125,8 +129,15 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     total_err = F.when(m.isNotNull() & (F.abs(total2.cast("double") - m["control_total"]) > 0.01),
                        F.concat(F.lit("control total "), total2.cast("decimal(38,2)").cast("string"),
                                 F.lit(" != manifest "), m["control_total"].cast("decimal(38,2)").cast("string")))
-    files = files.select("path", "record_count", "control_total", "line_errors",
+    files = files.select("path", "record_count", "control_total", "not_utf8", "line_errors",
                          header_err.alias("e_header"), count_err.alias("e_count"), total_err.alias("e_total"))
+    # bytes that are not UTF-8: one error, nothing else is reported (as the whole-file path)
+    none = F.lit(None).cast("string")
+    files = files.select("path", "record_count", "control_total", "not_utf8",
+                         F.when(F.col("not_utf8"), F.lit(0)).otherwise(F.col("line_errors")).alias("line_errors"),
+                         F.when(F.col("not_utf8"), F.lit(NOT_UTF8)).otherwise(F.col("e_header")).alias("e_header"),
+                         F.when(F.col("not_utf8"), none).otherwise(F.col("e_count")).alias("e_count"),
+                         F.when(F.col("not_utf8"), none).otherwise(F.col("e_total")).alias("e_total"))
     n_err = (F.col("line_errors") + F.col("e_header").isNotNull().cast("long")
              + F.col("e_count").isNotNull().cast("long") + F.col("e_total").isNotNull().cast("long"))
     summary = files.select(
@@ -139,7 +150,9 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     useful = blk.select("path", "block", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("kb")) \
                 .where(F.col("kb") < MAX_REPORT_ERRORS).select("path", "block")
+    clean = files.where(~F.col("not_utf8")).select("path")
     line_errs = (rows.join(checked_broadcast(useful, MAX_BLOCK_ROWS), ["path", "block"], "left_semi")
+                 .join(checked_broadcast(clean, max_files), "path", "left_semi")
                  .select("path", F.lit(1).alias("grp"), "n",
                          F.inline(F.transform("errs", lambda e, i: F.struct(i.alias("k"), e.alias("message"))))))
     file_errs = files.select("path", F.inline(F.array(

@@ -68,10 +68,7 @@ def run_lcr_batch(spark: SparkSession, landing: str, warehouse: str, institution
 
     # 2. structural validation (invalid UTF-8 -> rejected without parsing)
     decoded = received.where(~F.col("large")).withColumn("content", F.coalesce(F.col("content"), F.lit("")))
-    validated = structure.validate(decoded, contract)
-    validated = validated.withColumn(
-        "status", F.when(~F.col("utf8_ok"), F.lit("REJECTED")).otherwise(F.col("status")))
-    validated = validated.select(*VALIDATED_COLS)
+    validated = structure.validate(decoded, contract).select(*VALIDATED_COLS)
     # the large files of a batch are few (each is at least large_bytes): their paths feed the scan
     large_paths = [r.path for r in received.where(F.col("large")).select("path").collect()]
     if large_paths:

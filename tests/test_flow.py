@@ -30,6 +30,8 @@ def flow(spark, request):
     write_submission(land, "FI008", "2024-01", 1, name="FI008_LCR_2024_v1.csv")   # bad name
     write_submission(land, "FI009", "2024-01", 1, manifest=False)
     write_submission(land, "FI010", "2024-01", 1, bad_sha=True)
+    bad = open(first, "rb").read().replace(b"MYR", b"MY\xff", 1)                  # not UTF-8
+    write_submission(land, "FI011", "2024-01", 1, body=bad)
     inst = spark.createDataFrame([(f"FI{i:03d}", f"Bank {i}", "COMMERCIAL_BANK", "PG-CB") for i in range(1, 11)],
                                  "institution_id string, institution_name string, institution_type string, "
                                  "peer_group string")
@@ -43,14 +45,15 @@ def test_intake_verdicts(flow):
                                          "verdict"), "i", "verdict"))
     assert got["FI007"] == "DUPLICATE"
     assert got["FI008"] == got["FI009"] == got["FI010"] == "REJECTED"
-    assert all(got[f"FI00{i}"] == "RECEIVED" for i in range(1, 7))
+    assert all(got[f"FI00{i}"] == "RECEIVED" for i in range(1, 7)) and got["FI011"] == "RECEIVED"
 
 
 def test_golden_statuses(flow):
     status = dict(rows(flow[0]["status"], "submission_id", "status"))
     assert status == {"FI001-LCR-2024-01-v1": "PUBLISHED", "FI002-LCR-2024-01-v1": "QUARANTINED",
                       "FI003-LCR-2024-01-v1": "QUARANTINED", "FI004-LCR-2024-01-v1": "QUARANTINED",
-                      "FI005-LCR-2024-01-v1": "QUARANTINED", "FI006-LCR-2024-01-v1": "REJECTED"}
+                      "FI005-LCR-2024-01-v1": "QUARANTINED", "FI006-LCR-2024-01-v1": "REJECTED",
+                      "FI011-LCR-2024-01-v1": "REJECTED"}
 
 
 def test_failing_rule_per_injection(flow):
@@ -64,6 +67,11 @@ def test_structural_reject_reason(flow):
     assert v.status == "REJECTED" and v.errors == ["record count 7 != manifest 8"]
 
 
+def test_not_utf8_rejected_with_one_error(flow):
+    v = flow[0]["validated"].where("submission_id = 'FI011-LCR-2024-01-v1'").collect()[0]
+    assert v.status == "REJECTED" and v.errors == ["file is not valid UTF-8"]
+
+
 def test_gold_only_accepted(flow):
     g = flow[0]["gold"].collect()
     assert [(r.institution_id, r.submission_ids) for r in g] == [("FI001", "FI001-LCR-2024-01-v1")]
