@@ -14,6 +14,8 @@ quoting (contract files carry no quoted fields).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,23 @@ MAX_LEDGER_ERRORS = 20
 _WS = r"^\s+|\s+$"
 
 
+def split_fields(line: Column, delimiter: str = ",") -> Column:
+    """CSV fields of one line as array<string>.
+
+    Lines without a quote character take the plain split.  Quoted lines are
+    tokenised with a regular expression (a field is a quoted run with doubled
+    quotes, or a run without the delimiter), then unquoted, as Python's csv
+    reader reads them: embedded delimiters and doubled quotes are honoured.
+    """
+    d = re.escape(delimiter)
+    token = f'(?:^|{d})("(?:[^"]|"")*"|[^{d}]*)'
+    def unquote(x):
+        return F.when(x.startswith('"') & x.endswith('"') & (F.length(x) >= 2),
+                      F.regexp_replace(x.substr(F.lit(2), F.length(x) - 2), '""', '"')).otherwise(x)
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(token), F.lit(1)), unquote)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, delimiter, -1))
+
+
 def _strip(c: Column) -> Column:
     return F.regexp_replace(c, _WS, "")
 
@@ -36,9 +55,8 @@ def _py_list(arr: Column) -> Column:
                                              ", "), F.lit("]"))
 
 
-def _cells(contract: Contract, rec: Column, delimiter: str, idx: dict[str, Column]) -> Column:
-    """One record -> struct of stripped cell values by contract property (split once)."""
-    fields = F.split(rec, delimiter, -1)
+def _cells(contract: Contract, fields: Column, idx: dict[str, Column]) -> Column:
+    """One record's fields -> struct of stripped cell values by contract property."""
     vals = []
     for p in contract.properties:
         raw = F.when(idx[p.name] > 0, F.try_element_at(fields, idx[p.name]))
@@ -86,7 +104,7 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
     lines = F.split(F.col(content), r"\r?\n", -1)
     first = F.element_at(lines, 1)
     df = files.withColumn("__header", F.when(first == "", F.array().cast("array<string>"))
-                          .otherwise(F.split(first, delimiter, -1)))
+                          .otherwise(split_fields(first, delimiter)))
     hdr = F.col("__header")
     idx = {}
     for name in expected:
@@ -94,7 +112,8 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
         df = df.withColumn(f"__i_{name}", F.when(rev > 0, F.size(hdr) - rev + 1).otherwise(F.lit(0)))
         idx[name] = F.col(f"__i_{name}")
     records = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x != "")
-    df = df.withColumn("__cells", F.transform(records, lambda r: _cells(contract, r, delimiter, idx)))
+    fields = F.transform(records, lambda r: split_fields(r, delimiter))      # split each record once
+    df = df.withColumn("__cells", F.transform(fields, lambda f: _cells(contract, f, idx)))
     cells = F.col("__cells")
     zero = F.lit(0).cast("decimal(38,6)")
     df = (df.withColumn("record_count", F.size(cells).cast("long"))
@@ -157,7 +176,7 @@ def parse_records(validated: DataFrame, contract: Contract, content: str = "cont
     become NULL and are caught by the rule engine.
     """
     lines = F.split(F.col(content), r"\r?\n", -1)
-    hdr = F.split(F.element_at(lines, 1), delimiter, -1)
+    hdr = split_fields(F.element_at(lines, 1), delimiter)
     df = validated.withColumn("__header", hdr)
     pos = {}
     for p in contract.properties:
@@ -166,7 +185,7 @@ def parse_records(validated: DataFrame, contract: Contract, content: str = "cont
         pos[p.name] = F.col(f"__i_{p.name}")
 
     def typed(rec, i):
-        fields = F.split(rec, delimiter, -1)
+        fields = split_fields(rec, delimiter)
         vals = [(i + 2).alias("line_no")]
         for p in contract.properties:
             v = F.when(pos[p.name] > 0, F.try_element_at(fields, pos[p.name]))

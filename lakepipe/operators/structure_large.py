@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lakepipe.contracts import Contract
 from lakepipe.functions.joins import checked_broadcast
 from lakepipe.operators.structure import (MAX_REPORT_ERRORS, NOT_UTF8, _amount_value, _cell_errors,
-                                          _cells, _py_list)
+                                          _cells, _py_list, split_fields)
 
 # The line travels as binary: Python never decodes it (invalid UTF-8 is detected JVM-side).
 NUMBERED = "path string, block long, pos long, nonempty_upto long, vb binary"
@@ -88,7 +88,7 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     nl = numbered_lines(spark, paths)
     first = nl.where(F.col("line") == 1).select(
         "path", F.when(F.col("value") == "", F.array().cast("array<string>"))
-                 .otherwise(F.split("value", delimiter, -1)).alias("header"),
+                 .otherwise(split_fields(F.col("value"), delimiter)).alias("header"),
         (F.col("value") != "").cast("long").alias("header_nonempty"))
     hdr = F.col("header")
     cols = ["path", "header", "header_nonempty",
@@ -101,7 +101,8 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
 
     data = nl.where((F.col("line") >= 2) & (F.col("value") != "")).join(headers, "path")
     n = (F.col("nonempty") - F.col("header_nonempty") + 1)
-    cells = _cells(contract, F.col("value"), delimiter, idx)
+    data = data.withColumn("__f", split_fields(F.col("value"), delimiter))
+    cells = _cells(contract, F.col("__f"), idx)
     rows = data.select("path", "block", n.alias("n"), cells.alias("c"))
     rows = rows.select("path", "block", "n", _cell_errors(contract, F.col("c"), F.col("n")).alias("errs"),
                        _amount_value(contract, F.col("c")).alias("amt"))
@@ -174,7 +175,7 @@ def parse_large(spark: SparkSession, paths, contract: Contract, delimiter: str =
     from lakepipe.operators.structure import _strip
     from lakepipe.functions.columns import NUMBER_PATTERN
     nl = numbered_lines(spark, paths)
-    first = nl.where(F.col("line") == 1).select("path", F.split("value", delimiter, -1).alias("header"),
+    first = nl.where(F.col("line") == 1).select("path", split_fields(F.col("value"), delimiter).alias("header"),
                                                  (F.col("value") != "").cast("long").alias("header_nonempty"))
     hdr = F.col("header")
     cols = ["path", "header_nonempty"]
@@ -183,7 +184,7 @@ def parse_large(spark: SparkSession, paths, contract: Contract, delimiter: str =
         cols.append(F.when(rev > 0, F.size(hdr) - rev + 1).otherwise(F.lit(0)).alias(f"__i_{p.name}"))
     headers = checked_broadcast(first.select(*cols), max_files)
     data = nl.where((F.col("line") >= 2) & (F.col("value") != "")).join(headers, "path")
-    fields = F.split("value", delimiter, -1)
+    fields = split_fields(F.col("value"), delimiter)
     out = [F.col("path"), (F.col("nonempty") - F.col("header_nonempty") + 1).cast("int").alias("line_no")]
     for p in contract.properties:
         pos = F.col(f"__i_{p.name}")

@@ -179,3 +179,24 @@ def test_extra_columns_against_contract(spark):
                                "amount double, comment string")
     assert governance.extra_columns(df, load_contract()) == ["comment"]
     assert governance.extra_columns(df, load_contract(), allowed=("comment",)) == []
+
+
+def test_quoted_csv_fields(spark):
+    q = '"'
+    header = ",".join(q + c + q for c in H.split(","))
+    content = (header + "\n"
+               + ",".join(q + v + q for v in ["FI001", "2024-01", "HQLA_L1", "MYR", "1000.00"]) + "\n"
+               + "FI001,2024-01," + q + "OUT_RETAIL" + q + "," + q + q + "," + q + "1,000.00" + q + "\n"
+               + "FI001,2024-01,IN_TOTAL,MYR,5\n")
+    r = _validate(spark, content, 3, 1005.0)
+    assert r.errors == ["line 3: currency is required", "line 3: amount='1,000.00' is not a number"]
+    assert r.record_count == 3
+
+
+def test_split_fields_matches_python_csv(spark):
+    import csv
+    import io
+    lines = ['a,b,c', '"a,1",b,', '"x""y",,z', ',,', '"",a']
+    got = spark.createDataFrame([(l,) for l in lines], "l string").select(
+        structure.split_fields(F.col("l")).alias("f")).collect()
+    assert [list(r.f) for r in got] == [next(csv.reader(io.StringIO(l))) for l in lines]
