@@ -97,9 +97,8 @@ def exact_percentile(values: DataFrame, group: str, value: str, p: float) -> Dat
     """
     hist = values.groupBy(group, value).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("__cum", F.sum("__c").over(w))
-    n = cum.groupBy(group).agg(F.sum("__c").alias("__n"))
-    j = cum.join(n, group)
+    whole = Window.partitionBy(group)
+    j = hist.withColumn("__cum", F.sum("__c").over(w)).withColumn("__n", F.sum("__c").over(whole))
     pos = F.lit(p) * (F.col("__n") - 1)
     lo, hi = F.floor(pos), F.ceil(pos)
     start = F.col("__cum") - F.col("__c")

@@ -53,59 +53,53 @@ def checksums(files: DataFrame) -> DataFrame:
                  .withColumn("checksum_ok", m.isNotNull() & (F.col("sha256") == m["sha256"])))
 
 
-def _first_per(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Mark rows that are not the first (received_at, path) of their key."""
-    first = (df.groupBy(*keys)
-             .agg(F.min(F.struct("received_at", "path", "file_name")).alias(f"__first_{label}")))
-    j = df.join(first, keys, "left")
-    me = F.struct("received_at", "path", "file_name")
-    return j.withColumn(f"is_first_{label}", me == F.col(f"__first_{label}")) \
-            .withColumn(f"first_{label}_file", F.col(f"__first_{label}.file_name")) \
-            .drop(f"__first_{label}")
+def _first_of(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Per key: the first file by (received_at, path) -- a partial aggregate, no window."""
+    return (df.groupBy(*keys)
+            .agg(F.min(F.struct("received_at", "path", "file_name")).alias(f"__first_{label}")))
 
 
 def decide(files: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Verdict per file: RECEIVED, REJECTED, DUPLICATE or VERSION_CONFLICT.
 
     ``files`` needs: path, file_name, sha256, received_at, manifest (struct
-    with sha256, may be NULL).
+    with sha256, may be NULL).  Two key joins attach "first file per sha" and
+    "first candidate per name" to every file; no join back by path.
     """
     f = checksums(parse_names(files))
     valid = F.col("name_ok") & F.col("manifest_ok") & F.col("checksum_ok")
-    f = f.withColumn("__valid", valid)
-    cand = _first_per(f.where("__valid"), ["sha256"], "sha")
+    me = F.struct("received_at", "path", "file_name")
+    first_sha = _first_of(f.where(valid), ["sha256"], "sha")
     if ledger is not None:
         seen = ledger.select("sha256").distinct().withColumn("__seen_sha", F.lit(True))
-        cand = cand.join(seen, "sha256", "left")
+        first_sha = first_sha.join(seen, "sha256", "full")
     else:
-        cand = cand.withColumn("__seen_sha", F.lit(None).cast("boolean"))
-    dup = (~F.col("is_first_sha")) | F.coalesce(F.col("__seen_sha"), F.lit(False))
-    uniq = cand.where(~dup)
-    named = _first_per(uniq, NAME_KEY, "name")
+        first_sha = first_sha.withColumn("__seen_sha", F.lit(None).cast("boolean"))
+    f = f.join(first_sha, "sha256", "left")
+    is_first_sha = me == F.col("__first_sha")
+    dup = valid & (~is_first_sha | F.coalesce(F.col("__seen_sha"), F.lit(False)))
+    f = f.withColumn("__dup", dup).withColumn("__cand", valid & ~dup)
+    first_name = _first_of(f.where("__cand"), NAME_KEY, "name")
     if ledger is not None:
         taken = ledger.select(*NAME_KEY).distinct().withColumn("__seen_name", F.lit(True))
-        named = named.join(taken, NAME_KEY, "left")
+        first_name = first_name.join(taken, NAME_KEY, "full")
     else:
-        named = named.withColumn("__seen_name", F.lit(None).cast("boolean"))
-    conflict = (~F.col("is_first_name")) | F.coalesce(F.col("__seen_name"), F.lit(False))
-    decided = named.select("path", F.when(conflict, F.lit("VERSION_CONFLICT"))
-                           .otherwise(F.lit("RECEIVED")).alias("__v2"))
-    # duplicate_of_file: the earlier copy in this batch (NULL when it is in the ledger)
-    marks = cand.select("path", F.when(dup, F.lit("DUPLICATE")).alias("__v1"),
-                        F.when(~F.col("is_first_sha"), F.col("first_sha_file")).alias("duplicate_of_file"))
-    out = f.join(marks, "path", "left").join(decided, "path", "left")
-    verdict = (F.when(~F.col("name_ok"), F.lit("REJECTED"))
-               .when(~F.col("manifest_ok"), F.lit("REJECTED"))
-               .when(~F.col("checksum_ok"), F.lit("REJECTED"))
-               .otherwise(F.coalesce(F.col("__v1"), F.col("__v2"))))
+        first_name = first_name.withColumn("__seen_name", F.lit(None).cast("boolean"))
+    f = f.join(first_name, NAME_KEY, "left")
+    conflict = F.col("__cand") & ((me != F.col("__first_name"))
+                                  | F.coalesce(F.col("__seen_name"), F.lit(False)))
+    verdict = (F.when(~valid, F.lit("REJECTED")).when(F.col("__dup"), F.lit("DUPLICATE"))
+               .when(conflict, F.lit("VERSION_CONFLICT")).otherwise(F.lit("RECEIVED")))
     reason = (F.when(~F.col("name_ok"), F.lit("file name does not match the contract pattern"))
               .when(~F.col("manifest_ok"), F.lit("manifest missing"))
               .when(~F.col("checksum_ok"), F.lit("SHA-256 does not match manifest"))
-              .when(F.col("__v1").isNotNull(), F.lit("identical file already received"))
-              .when(F.col("__v2") == "VERSION_CONFLICT", F.lit("version already received")))
-    return (out.withColumn("verdict", verdict).withColumn("reason", reason)
-               .withColumn("duplicate_of_file", F.when(F.col("__v1").isNotNull(), F.col("duplicate_of_file")))
-               .drop("__valid", "__v1", "__v2"))
+              .when(F.col("__dup"), F.lit("identical file already received"))
+              .when(conflict, F.lit("version already received")))
+    # duplicate_of_file: the earlier copy in this batch (NULL when it is in the ledger)
+    dup_of = F.when(F.col("__dup") & ~is_first_sha, F.col("__first_sha.file_name"))
+    return (f.withColumn("verdict", verdict).withColumn("reason", reason)
+             .withColumn("duplicate_of_file", dup_of)
+             .drop("__first_sha", "__seen_sha", "__dup", "__cand", "__first_name", "__seen_name"))
 
 
 def receipts(decided: DataFrame) -> DataFrame:

@@ -80,6 +80,9 @@ def _rules_run(spark, sf_dir, *rule_ids, faults=True, checked_at=RUN1):
     rules = load_rules("lcr-monthly")
     if rule_ids:
         rules = rules.only(*rule_ids)
+    if any(r.type == "unique" for r in rules.for_stage("bronze").rules):
+        # two aggregates read the input: stage the derived Bronze rows once
+        rows = tables.stage(spark, rows, "rules-input")
     return quality.evaluate(rows, rules, "bronze", checked_at=_ts(checked_at))
 
 
@@ -237,17 +240,22 @@ def intake_checksum(spark, sf_dir):
     return f.select("path", "sha256", "manifest_ok", "manifest_sha256", "checksum_ok")
 
 
+def _landing(spark, sf_dir):
+    """The landing zone listing with checksums, staged once (texts hashed once)."""
+    return tables.stage(spark, td.landing_files(spark, sf_dir).drop("content"), "landing")
+
+
 @query
 def intake_duplicate(spark, sf_dir):
     from lakepipe.operators import intake
-    d = intake.decide(td.landing_files(spark, sf_dir))
+    d = intake.decide(_landing(spark, sf_dir))
     return d.where(F.col("verdict") == "DUPLICATE").select("path", "sha256", "duplicate_of_file")
 
 
 @query
 def intake_verdict(spark, sf_dir):
     from lakepipe.operators import intake
-    d = intake.decide(td.landing_files(spark, sf_dir))
+    d = intake.decide(_landing(spark, sf_dir))
     return d.select("path", "submission_id", "verdict", "reason")
 
 

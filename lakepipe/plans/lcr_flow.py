@@ -60,8 +60,9 @@ def run_lcr_batch(spark: SparkSession, landing: str, warehouse: str, institution
     now = F.localtimestamp()
 
     # 1. intake: one decision per file; earlier runs come from the ledger table
-    files = raw.files_with_manifests(spark, landing, large_bytes=large_bytes) \
-               .withColumn("received_at", F.col("modified_at"))
+    # staged once: file bytes are read and hashed once; intake reads only narrow columns
+    files = tables.stage(spark, raw.files_with_manifests(spark, landing, large_bytes=large_bytes)
+                         .withColumn("received_at", F.col("modified_at")), "landing")
     known = _exists(spark, f"{wh.ledger}_submissions", None)
     decided = tables.stage(spark, intake.decide(files, known), "intake")
     received = decided.where(F.col("verdict") == "RECEIVED")
