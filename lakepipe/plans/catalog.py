@@ -74,25 +74,27 @@ def lcr_gold_asof(spark, sf_dir):
 RESULT_COLS = ["rule_id", "submission_id", "severity", "records_tested", "records_failed", "outcome"]
 
 
-def _rules_run(spark, sf_dir, *rule_ids, faults=True, checked_at=RUN1):
-    rows = td.lcr_rules_input(spark, sf_dir) if faults else \
-        td.with_audit(td.lcr_lines(spark, sf_dir, td.N_RULES)).select(*td.BRONZE_COLUMNS)
+def _base(spark, sf_dir):
+    """lineitem join orders, staged once for queries that derive several variants from it."""
+    return tables.stage(spark, td.lineitem_orders(spark, sf_dir), "lineitem-orders")
+
+
+def _rules_run(spark, sf_dir, *rule_ids, faults=True, checked_at=RUN1, base=None):
+    rows = td.lcr_rules_input(spark, sf_dir, base=base, faults=faults)
     rules = load_rules("lcr-monthly")
     if rule_ids:
         rules = rules.only(*rule_ids)
-    if any(r.type == "unique" for r in rules.for_stage("bronze").rules):
+    if base is None and any(r.type == "unique" for r in rules.for_stage("bronze").rules):
         # two aggregates read the input: stage the derived Bronze rows once
         rows = tables.stage(spark, rows, "rules-input")
     return quality.evaluate(rows, rules, "bronze", checked_at=_ts(checked_at))
 
 
-def dq_history(spark, sf_dir, clean=None):
+def dq_history(spark, sf_dir, base=None):
     """Two runs of the Bronze rules: faulty delivery first, corrected re-run later."""
-    rules = load_rules("lcr-monthly")
-    first = _rules_run(spark, sf_dir)
-    if clean is None:
-        return first.unionByName(_rules_run(spark, sf_dir, faults=False, checked_at=RUN2))
-    return first.unionByName(quality.evaluate(clean, rules, "bronze", checked_at=_ts(RUN2)))
+    base = base if base is not None else _base(spark, sf_dir)
+    return _rules_run(spark, sf_dir, base=base).unionByName(
+        _rules_run(spark, sf_dir, faults=False, checked_at=RUN2, base=base))
 
 
 @query
@@ -145,14 +147,14 @@ def dq_failures_by_rule(spark, sf_dir):
     return quality.failures_by_rule(dq_history(spark, sf_dir))
 
 
-def _clean_bronze(spark, sf_dir):
-    return td.with_audit(td.lcr_lines(spark, sf_dir, td.N_RULES)).select(*td.BRONZE_COLUMNS)
+def _clean_bronze(spark, sf_dir, base=None):
+    return td.lcr_rules_input(spark, sf_dir, base=base, faults=False)
 
 
 def _quarantine(spark, sf_dir, mode):
-    clean = tables.stage(spark, _clean_bronze(spark, sf_dir), "clean-bronze")   # read twice below
-    q = silver.quarantined_submissions(dq_history(spark, sf_dir, clean), mode)
-    return silver.remove_quarantined(clean, q)
+    base = _base(spark, sf_dir)                     # both variants below are projections of it
+    q = silver.quarantined_submissions(dq_history(spark, sf_dir, base), mode)
+    return silver.remove_quarantined(_clean_bronze(spark, sf_dir, base), q)
 
 
 @query
@@ -298,8 +300,9 @@ def ledger_time_in_status(spark, sf_dir):
 def bronze_replay_replace(spark, sf_dir):
     """Clean Bronze, then every version-3 submission re-delivered (with faults)."""
     from lakepipe.operators import bronze
-    base = _clean_bronze(spark, sf_dir)
-    replay = td.lcr_rules_input(spark, sf_dir).where(F.col("submission_version") == 3)
+    li = _base(spark, sf_dir)
+    base = _clean_bronze(spark, sf_dir, li)
+    replay = td.lcr_rules_input(spark, sf_dir, base=li).where(F.col("submission_version") == 3)
     return bronze.replace_rows(base, replay)
 
 

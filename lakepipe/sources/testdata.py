@@ -53,16 +53,22 @@ def _loaded_at(period: Column, version: Column) -> Column:
     return F.date_add(end, version * 5 + 5).cast("timestamp_ntz")
 
 
-def lcr_lines(spark: SparkSession, sf_dir: str, n: int, faults: bool = False) -> DataFrame:
+def lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join every derived LCR line comes from (lineitem join orders)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return li.join(od, li.l_orderkey == od.o_orderkey)
+
+
+def lcr_lines(spark: SparkSession, sf_dir: str, n: int, faults: bool = False,
+              base: DataFrame | None = None) -> DataFrame:
     """One LCR submission line per lineitem (lineitem join orders).
 
     With ``faults`` the rule-test variant injects NULLs, negative amounts and an
-    unknown currency.
+    unknown currency.  ``base``: an already materialised ``lineitem_orders``.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    j = base if base is not None else lineitem_orders(spark, sf_dir)
     inst = institution_id("l_suppkey", n)
     period = _period("o_orderdate")
     version = (F.floor("l_quantity").cast("int") % 3 + 1)
@@ -114,9 +120,10 @@ def lcr_bronze(spark: SparkSession, sf_dir: str, n: int = N_GOLD) -> DataFrame:
     return with_audit(presum).select(*BRONZE_COLUMNS)
 
 
-def lcr_rules_input(spark: SparkSession, sf_dir: str, n: int = N_RULES) -> DataFrame:
-    """Bronze-shaped rows with injected faults, for the rule engine."""
-    return with_audit(lcr_lines(spark, sf_dir, n, faults=True)).select(*BRONZE_COLUMNS)
+def lcr_rules_input(spark: SparkSession, sf_dir: str, n: int = N_RULES, base: DataFrame | None = None,
+                    faults: bool = True) -> DataFrame:
+    """Bronze-shaped rows (with injected faults unless ``faults=False``), for the rule engine."""
+    return with_audit(lcr_lines(spark, sf_dir, n, faults=faults, base=base)).select(*BRONZE_COLUMNS)
 
 
 def institutions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
