@@ -97,8 +97,7 @@ def test_second_run_finds_duplicates(spark, flow):
 
 
 def test_incremental_rebuild_equals_full_rebuild(spark):
-    from lakepipe.contracts import load_rules
-    from lakepipe.operators import gold, quality, silver
+    from lakepipe.operators import gold, silver
     from lakepipe.sources import reference
     from fixtures import submission_rows
     root = tempfile.mkdtemp(prefix="lakepipe-incr-")
