@@ -3,8 +3,8 @@
 Latest-version selection is an aggregate, not a window: ``max(struct(version,
 loaded_at, ...))`` per key is computed partially on the map side, so a key
 with a long history (or a hot institution) never has to be sorted in one task.
-The struct carries every payload column and the submission id as tie-breakers,
-which makes the choice deterministic.
+The struct carries only the columns Silver keeps; the submission id and the
+amount break ties, which makes the choice deterministic.
 """
 
 from __future__ import annotations
