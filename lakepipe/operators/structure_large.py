@@ -84,8 +84,10 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     n_errors, status, reason) and the first 200 errors per file (path,
     error_no, message).
     """
+    from lakepipe.sources.tables import stage
     expected = contract.column_names
-    nl = numbered_lines(spark, paths)
+    # staged: several aggregates below read the lines; scan and numbering run once
+    nl = stage(spark, numbered_lines(spark, paths), "numbered-lines")
     first = nl.where(F.col("line") == 1).select(
         "path", F.when(F.col("value") == "", F.array().cast("array<string>"))
                  .otherwise(split_fields(F.col("value"), delimiter)).alias("header"),
@@ -106,6 +108,7 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     rows = data.select("path", "block", n.alias("n"), cells.alias("c"))
     rows = rows.select("path", "block", "n", _cell_errors(contract, F.col("c"), F.col("n")).alias("errs"),
                        _amount_value(contract, F.col("c")).alias("amt"))
+    rows = stage(spark, rows, "line-checks")     # per-file totals, block counts and errors read it
 
     zero = F.lit(0).cast("decimal(38,6)")
     bad_utf8 = nl.groupBy("path").agg(F.count_if(~F.is_valid_utf8("value")).alias("bad_lines"))
