@@ -86,3 +86,17 @@ def test_partitioned_write_rebalances_a_hot_partition(spark):
     hot = [f for f in os.listdir(os.path.join(root, "t", "reporting_period=2024-01")) if f.endswith(".parquet")]
     assert len(hot) > 1
     assert spark.read.parquet(os.path.join(root, "t")).count() == 200_000
+
+
+def test_affected_periods_include_nominal_period(spark):
+    from lakepipe.operators import bronze
+    new = spark.createDataFrame([("2024-02", "FI001-LCR-2024-01-v2"), ("2024-01", "FI002-LCR-2024-01-v1")],
+                                "reporting_period string, submission_id string")
+    assert bronze.affected_periods(new) == ["2024-01", "2024-02"]
+
+
+def test_as_of_by_load_time_and_version(spark):
+    rows = [("s-v1", 1, dt.datetime(2024, 2, 1)), ("s-v2", 2, dt.datetime(2024, 3, 1)), ("s-v3", 3, dt.datetime(2024, 4, 1))]
+    b = spark.createDataFrame(rows, "submission_id string, submission_version int, loaded_at timestamp_ntz")
+    assert sorted(r.submission_id for r in tables.as_of(b, loaded_before="2024-03-01 00:00:00").collect()) == ["s-v1", "s-v2"]
+    assert sorted(r.submission_id for r in tables.as_of(b, max_version=1).collect()) == ["s-v1"]
