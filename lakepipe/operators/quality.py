@@ -94,10 +94,23 @@ def evaluate_wide(df: DataFrame, rules: RuleSet, key: str | None = KEY,
     uniques = [r for r in rules.rules if r.type == "unique"]
     aggs = [F.count(F.lit(1)).alias(_TESTED)] + [_failed_agg(df, r).alias(_fcol(r)) for r in plain]
     wide = df.groupBy(*keys).agg(*aggs)
+    dups = []
     for r in uniques:
         groups = df.groupBy(*keys, *r.columns).agg(F.count(F.lit(1)).alias("__n"))
-        dup = groups.groupBy(*keys).agg(F.count_if(F.col("__n") > 1).alias(_fcol(r)))
-        wide = wide.join(dup, keys, "left")
+        dups.append(groups.groupBy(*keys).agg(F.count_if(F.col("__n") > 1).alias(_fcol(r))))
+    if key == _ALL and dups:
+        # one row per side: stack them and take each column's value (a join on a
+        # constant key would be planned as a cross join)
+        cols = wide.columns + [d.columns[1] for d in dups]
+        parts = [x.select(*[F.col(c) if c in x.columns else F.lit(None).cast("long").alias(c) for c in cols])
+                 for x in [wide, *dups]]
+        stacked = parts[0]
+        for p in parts[1:]:
+            stacked = stacked.unionByName(p)
+        wide = stacked.groupBy(_ALL).agg(*[F.max(c).alias(c) for c in cols if c != _ALL])
+    else:
+        for dup in dups:
+            wide = wide.join(dup, keys, "left")
     if submissions is not None and key != _ALL:
         wide = _with_empty_submissions(df, rules, wide, submissions.select(key).distinct(), key)
     return wide

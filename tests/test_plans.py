@@ -1,4 +1,4 @@
-"""Plan hygiene of every registered query: JVM-only expressions, pruned scans."""
+"""Plan hygiene of every registered query: JVM-only expressions, no cross joins, pruned scans."""
 import re
 
 import pytest
@@ -7,6 +7,7 @@ from conftest import SF
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF", "FlatMapCoGroupsInPandas")
+CROSS_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 FULL_WIDTH = {"lineitem": 11, "orders": 6, "events": 6, "documents": 5}
 
 
@@ -21,6 +22,7 @@ def test_query_plan_is_jvm_only_and_pruned(spark, name):
     df = queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in PYTHON_NODES if n in plan], name
+    assert not [n for n in CROSS_JOINS if n in plan], name
     for line in plan.splitlines():
         m = re.search(r"FileScan parquet [^\[]*\[([^\]]*)\]", line)
         if not m:
