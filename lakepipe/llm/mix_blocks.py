@@ -108,7 +108,9 @@ def slots(sources: DataFrame) -> DataFrame:
     """The slots of the mix: output shard, source number, slot number in the source, block."""
     some = sources.where("slots > 0").select("number", "blocks", "slots")
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {CHUNK}")))
-    dealt = some.select("*", chunk.alias("chunk")).repartition("number", "chunk")
+    # a given number of parts: the few rows here become many, which their present size does not tell
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = some.select("*", chunk.alias("chunk")).repartition(parts, "number", "chunk")
     first = F.col("chunk") * CHUNK
     s = dealt.select("number", "blocks", F.explode(F.sequence(first, F.least(first + CHUNK, "slots") - 1)).alias("slot"))
     turn, at = F.expr("slot div blocks"), F.expr("slot % blocks")
@@ -123,7 +125,8 @@ def slots(sources: DataFrame) -> DataFrame:
 def _taken(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Each segment with the number of slots that took its block, 0 left out."""
     times = slots(sources).groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
-    return segments(rows, sources).join(times, ["number", "block"])
+    # as many rows as blocks, though made from a table of few: never broadcast on its estimated size
+    return segments(rows, sources).join(times.hint("merge"), ["number", "block"])
 
 
 def mixture(docs: DataFrame) -> DataFrame:
