@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakepipe.llm.frames import stage
+from lakepipe.llm.frames import stage, text_hash
 from lakepipe.llm.words import Words, covered, slices
 
 WINDOW = 13
@@ -218,13 +218,13 @@ def _merged(batches):
         rows = []
         for r in batch.to_pylist():
             n = r["n_words"]
-            starts = np.array([x for part in r["starts"] for x in part], dtype=np.int64)
-            ends = np.array([x for part in r["ends"] for x in part], dtype=np.int64)
+            starts = np.array([x for part in r["found"] for x in part["span_start"]], dtype=np.int64)
+            ends = np.array([x for part in r["found"] for x in part["span_end"]], dtype=np.int64)
             hit = covered(n, starts, ends - starts)
             edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
             rows.append({"doc_id": r["doc_id"], "text_hash": r["text_hash"], "n_words": n, "n_hit": int(hit.sum()),
                          "span_start": np.flatnonzero(edge > 0).tolist(), "span_end": np.flatnonzero(edge < 0).tolist(),
-                         "items": sorted({x for part in r["named"] for x in part}), "copies": r["copies"]})
+                         "items": sorted({x for part in r["found"] for x in part["items"]}), "copies": r["copies"]})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
             ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
             ("span_start", pa.list_(pa.int32())), ("span_end", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
@@ -236,7 +236,7 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = named.agg(F.sum(F.octet_length("text") + 64).alias("b")).first()["b"] or 0
     blocks = max(1, -(-size // block_bytes))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("text_hash"))
     found = []
     for i in range(blocks):
         part = named if blocks == 1 else named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
@@ -248,11 +248,9 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     for f in found[1:]:
         every = every.unionByName(f)
     merged = (every.groupBy("doc_id", "text_hash")
-              .agg(F.first("n_words").alias("n_words"), F.collect_list("span_start").alias("starts"),
-                   F.collect_list("span_end").alias("ends"), F.collect_set("items").alias("named"),
-                   F.count(F.lit(1)).alias("copies"))
-              .withColumn("copies", F.col("copies") / blocks)
-              .withColumn("copies", F.col("copies").cast("long")))
+              .agg(F.first("n_words").alias("n_words"),
+                   F.collect_set(F.struct("span_start", "span_end", "items")).alias("found"), F.count(F.lit(1)).alias("copies"))
+              .withColumn("copies", F.expr(f"copies div {blocks}")))
     # equal rows met in one group: give each its own row again
     return (merged.mapInArrow(_merged, SPANS + ", copies long")
             .select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "col"))
@@ -277,7 +275,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = stage(spark, removal_spans(docs, benchmark)
                 .where((F.col("n_hit") > 0) & (ONE_IN * F.col("n_hit") >= F.col("n_words")))
                 .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"]), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (text_hash(docs["text"]) == bad["_hash"]), "left_anti")
 
 
 def _filter(phrases: Phrases):

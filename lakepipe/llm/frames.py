@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.sources.tables import stage
+from lakepipe.session import scratch_path
 
-__all__ = ["KEY", "attach", "read", "stage", "with_text"]
 
 #: Rows with equal id and equal text get equal results, so this pair finds a row again.
 KEY = ["doc_id", "text_hash"]
@@ -15,24 +14,54 @@ KEY = ["doc_id", "text_hash"]
 BROADCAST_BYTES = 32 << 20
 
 
+#: Spark's setting to remove the shuffle files of a job when the job has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it back.
+
+    What follows reads the files, so a lost executor costs no earlier work,
+    and the shuffle files behind the table are removed at once.
+    """
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in staged:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def with_text(docs: DataFrame) -> DataFrame:
-    """Only what most operators need of a document, whatever else the table holds."""
-    return docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
+def text_hash(text: Column) -> Column:
+    """A 64-bit name of a text; null is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def attach(docs: DataFrame, side: DataFrame, payload_bytes, how: str = "left",
-           bound: int = BROADCAST_BYTES) -> DataFrame:
+           bound: int | None = None) -> DataFrame:
     """Join a staged ``side`` (one row a key) to the documents by KEY, null ids included.
 
-    ``payload_bytes`` estimates a row's size.  Below ``bound`` in total the
+    ``payload_bytes`` estimates a row's size.  Up to ``bound`` in total the
     side is broadcast and the texts stay where they are; beyond it both sides
     are shuffled by key.
     """
     total = side.agg(F.sum(payload_bytes + F.lit(64)).alias("b")).first()["b"] or 0
+    bound = BROADCAST_BYTES if bound is None else bound
     s = side.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
                     *[c for c in side.columns if c not in KEY])
     on = docs["doc_id"].eqNullSafe(s["_id"]) & (docs["text_hash"] == s["_hash"])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakepipe.llm.frames import KEY, attach, stage
+from lakepipe.llm.frames import KEY, attach, stage, text_hash
 from lakepipe.llm.words import Words, prefix, ranged, slices
 
 K = 3
@@ -157,7 +157,7 @@ def spans(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Data
 
 def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row per document: base places and labels, all labels, best template score (see the contract of op4)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("text_hash"))
     found = stage(docs.sparkSession, spans(texts, templates).groupBy(*KEY).agg(
         F.collect_set("label").alias("more"), F.max("score").alias("best")), "licenses")
     base = texts.mapInArrow(_base(phrases), "doc_id long, text_hash long, n_words long, n_base long, first_word long, "

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.llm.frames import BROADCAST_BYTES, stage
+from lakepipe.llm.frames import BROADCAST_BYTES, discard, stage, text_hash
 from lakepipe.llm.words import U, Words, mix, prefix, ranged, slices, spread
 
 SHINGLE = 5
@@ -216,7 +216,7 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     A node is a text, named by its 64-bit hash.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("node"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("node"))
     rows = stage(spark, texts.mapInArrow(_bands, "doc_id long, node long, bands array<long>"), "bands")
     keys = rows.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -287,7 +287,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     gone = stage(spark, found.where("not stays").select("doc_id", "text_hash").distinct(), "gone")
     if gone.count() * 64 <= BROADCAST_BYTES:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["text_hash"]), "left_anti")
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (text_hash(docs["text"]) == gone["text_hash"]), "left_anti")
     stay = found.where("stays")
     if stay.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])

@@ -10,11 +10,15 @@ For every symbol the parse keeps the range of words that decided it.  A window
 that holds this range has that symbol at that place wherever the window
 occurs.  Each window takes the highest symbol it decides (the last of these,
 if several), so equal windows take the same one, and no repeat is missed.
-Symbols met twice or more reveal candidate windows; these are verified by
-two independent 64-bit hashes of their 35 words.  (A window inside a run of one word decides
-no symbol and stands for itself.)
+(A window inside a run of one word decides no symbol and stands for itself.)
 
-Spark shuffles symbols, then candidate windows, then the ranges to remove, by
+Symbols met twice or more reveal candidates.  They are verified by two
+independent 64-bit hashes: first whole stretches of windows that took one
+symbol, as most repeats are longer than a window; then, one by one, the
+windows of the stretches that were not met again as a whole, against each
+other and against one occurrence of each verified stretch of their symbols.
+
+Spark shuffles symbols, stretches, windows and the ranges to remove, by
 aggregates with map-side partial results and joins that AQE can split.  No
 group is ever gathered and no pairs of occurrences are made.
 
@@ -32,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakepipe.llm.frames import KEY, attach, stage
-from lakepipe.llm.words import U, Words, covered, mix, slices, spread
+from lakepipe.llm.frames import KEY, attach, discard, stage, text_hash
+from lakepipe.llm.words import U, Words, covered, mix, prefix, ranged, slices, spread
 
 WINDOW = 35
 #: Rounds of pair naming; more only make fewer, longer symbols.
@@ -145,39 +149,71 @@ def _anchors(batches):
                 names=["symbol", *KEY, "first", "windows", "head"])
 
 
-def _ranges(part: pa.RecordBatch, words: Words, start: str, size: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word ranges (first, length) held as two list columns of each row."""
-    lists = part.column(start)
-    lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, dtype=np.int64)
+def _places(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word and number of windows of each stretch in a row's list of structs."""
+    lists = part.column("stretches")
+    lengths = np.diff(lists.offsets.to_numpy())
     if lists.null_count:
         lengths = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, lengths)
     row = np.repeat(np.arange(len(lists)), lengths)
-    return lists.flatten().to_numpy() + words.off[row], part.column(size).flatten().to_numpy()
+    every = lists.flatten()
+    return row, every.field("first").to_numpy() + words.off[row], every.field("windows").to_numpy()
+
+
+def _both_hashes(words: Words, start: np.ndarray, end: np.ndarray) -> list[pa.Array]:
+    return [pa.array(ranged(prefix(h, 11 + i), start, end, 11 + i).view(np.int64)) for i, h in enumerate(words.hashes)]
+
+
+def _whole(batches):
+    """The hashes of each candidate stretch."""
+    for batch in batches:
+        for part in slices(batch):
+            w = Words(part.column("text"), seeds=(1, 2))
+            row, first, size = _places(part, w)
+            lists = part.column("stretches").flatten()
+            yield pa.RecordBatch.from_arrays(
+                [*_both_hashes(w, first, first + size + WINDOW - 1), lists.field("symbol"), *_rows_of(part, row),
+                 lists.field("first"), lists.field("windows")], names=["one", "two", "symbol", *KEY, "first", "windows"])
 
 
-def _candidates(batches):
+def _windows(batches):
+    """The hashes of each window of a stretch."""
     for batch in batches:
         for part in slices(batch):
             w = Words(part.column("text"), seeds=(1, 2))
-            first, size = _ranges(part, w, "first", "windows")
-            at = np.flatnonzero(covered(len(w), first, size))
-            at, one = w.windows(WINDOW, at, 0)
-            at, two = w.windows(WINDOW, at, 1)
-            row = w.row[at]
+            row, first, size = _places(part, w)
+            k = np.repeat(np.arange(len(row)), size)
+            at = first[k] + np.arange(len(k)) - np.repeat(np.cumsum(size) - size, size)
+            of = w.row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), *_rows_of(part, row),
-                 pa.array((at - w.off[row]).astype(np.int32))], names=["one", "two", *KEY, "at"])
+                [*_both_hashes(w, at, at + WINDOW), *_rows_of(part, of), pa.array((at - w.off[of]).astype(np.int32)),
+                 part.column("stretches").flatten().field("whole").take(pa.array(k))],
+                names=["one", "two", *KEY, "at", "whole"])
+
+
+def _ranges(part: pa.RecordBatch, words: Words, start: str, size: str) -> tuple[np.ndarray, np.ndarray]:
+    """Word ranges (first, length) held as two list columns of each row."""
+    lists = part.column(start)
+    lengths = np.diff(lists.offsets.to_numpy())
+    if lists.null_count:
+        lengths = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, lengths)
+    row = np.repeat(np.arange(len(lists)), lengths)
+    return lists.flatten().to_numpy() + words.off[row], part.column(size).flatten().to_numpy()
 
 
-def _stretches(batches):
-    """Sorted distinct stretches of consecutive windows, from each row's list of windows."""
+def _merged(batches):
+    """Each row's stretches of windows as few, sorted ones that do not touch."""
     for batch in batches:
         starts, sizes = [], []
-        for windows in batch.column("at"):
-            w = np.unique(windows.values.to_numpy())
-            cut = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1] + 1]))
-            starts.append(w[cut])
-            sizes.append(np.diff(np.concatenate([cut, [len(w)]])).astype(np.int32))
+        for i in range(batch.num_rows):
+            held = batch.column("stretches")[i].values
+            first = held.field("first").to_numpy()
+            end = first + held.field("windows").to_numpy()
+            order = np.argsort(first, kind="stable")
+            first, reach = first[order], np.maximum.accumulate(end[order])
+            cut = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+            starts.append(first[cut])
+            sizes.append(reach[np.concatenate([cut[1:] - 1, [len(first) - 1]])] - first[cut])
         kind = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in KEY], pa.array(starts, type=kind), pa.array(sizes, type=kind)],
                                          names=[*KEY, "first", "windows"])
@@ -231,19 +267,40 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     found = stage(spark, docs.mapInArrow(
         _anchors, "symbol long, doc_id long, text_hash long, first int, windows int, head boolean"), "symbols")
     shared = found.where("head").groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("symbol")
-    candidates = stage(spark, found.join(shared, "symbol").groupBy(*KEY).agg(
-        F.collect_list("first").alias("first"), F.collect_list("windows").alias("windows")), "candidates")
-    near = attach(docs, candidates, F.size("first") * 8, "inner")
-    windows = stage(spark, near.mapInArrow(
-        _candidates, "one long, two long, doc_id long, text_hash long, at int"), "windows")
+    # sets: rows equal in id and text give the same stretches
+    listed = lambda df, *columns: df.groupBy(*KEY).agg(F.collect_set(F.struct(*columns)).alias("stretches"))
+    candidates = stage(spark, listed(found.join(shared, "symbol"), "symbol", "first", "windows"), "candidates")
+    discard(found)
+
+    # whole stretches, and of those met again one occurrence
+    whole = stage(spark, attach(docs, candidates, F.size("stretches") * 24, "inner").mapInArrow(
+        _whole, "one long, two long, symbol long, doc_id long, text_hash long, first int, windows int"), "whole")
+    discard(candidates)
+    own = F.xxhash64(*KEY, "first")
+    met = whole.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("pick"))
+    known = stage(spark, whole.join(met, ["one", "two"]).select(
+        "symbol", *KEY, "first", "windows", (F.col("n") > 1).alias("whole"), (own == F.col("pick")).alias("picked")), "known")
+    discard(whole)
+
+    # single windows
+    alone = known.where("not whole")
+    open_symbols = alone.select("symbol").distinct()
+    picked = known.where("whole and picked").join(open_symbols, "symbol", "left_semi")
+    places = stage(spark, listed(alone.unionByName(picked.select(known.columns)), "first", "windows", "whole"), "places")
+    windows = stage(spark, attach(docs, places, F.size("stretches") * 16, "inner").mapInArrow(
+        _windows, "one long, two long, doc_id long, text_hash long, at int, whole boolean"), "windows")
+    discard(places)
     again = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
-    hits = windows.join(again, ["one", "two"]).groupBy(*KEY).agg(F.collect_list("at").alias("at"))
-    return stage(spark, hits.mapInArrow(
-        _stretches, "doc_id long, text_hash long, first array<int>, windows array<int>"), "stretches")
+    single = windows.where("not whole").join(again, ["one", "two"]).select(*KEY, F.col("at").alias("first"), F.lit(1).alias("windows"))
+    every = single.unionByName(known.where("whole").select(*KEY, "first", "windows"))
+    out = stage(spark, listed(every, "first", "windows").mapInArrow(
+        _merged, "doc_id long, text_hash long, first array<int>, windows array<int>"), "stretches")
+    discard(windows, known)
+    return out
 
 
 def _with_stretches(docs: DataFrame) -> DataFrame:
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("text_hash"))
     return attach(texts, repeated_stretches(texts), F.size("first") * 8, "left")
 
 
