@@ -22,7 +22,8 @@ each of ``LEADERS`` parts.  All of this is linear in the number of documents.
 
 Defined results: null texts are empty; texts without words only join equal
 texts; of a class, the row with the smallest id (null last, ties by text hash)
-stays, once; repeated rows get one class; an empty table gives an empty result.
+stays, once; repeated rows get one class; an id that several texts carry may
+be the id of several classes; an empty table gives an empty result.
 """
 
 from __future__ import annotations

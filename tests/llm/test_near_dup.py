@@ -98,9 +98,11 @@ def test_one_of_each_class_stays(docs):
     found = near_dup.near_duplicates(docs).collect()
     kept = near_dup.keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted(
-        (i is None, i or 0) for i in {r["class_id"] for r in found if r["class_id"] is not None} | {
-            None for r in found if r["class_id"] is None})
+    staying = {(r["doc_id"], r["text_hash"]) for r in found if r["stays"]}
+    assert all(r["doc_id"] == r["class_id"] for r in found if r["stays"])
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == sorted(
+        i if i is not None else -1 for i, _ in staying)
+    assert len({r["text_hash"] for r in found if r["stays"]}) == len(staying)
 
 
 def test_chain_of_links_is_one_class(spark):
