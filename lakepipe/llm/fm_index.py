@@ -29,7 +29,7 @@ from lakepipe.llm.frames import stage, text_hash
 from lakepipe.llm.words import Words, covered, slices
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
 SAMPLE = 8
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20

@@ -10,7 +10,7 @@ from lakepipe.session import scratch_path
 
 #: Rows with equal id and equal text get equal results, so this pair finds a row again.
 KEY = ["doc_id", "text_hash"]
-#: A side may be broadcast up to this many bytes, as counted before the join; beyond it the join shuffles both sides.
+#: A staged side may be broadcast up to this many bytes, as counted before the join; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -52,17 +52,13 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def attach(docs: DataFrame, side: DataFrame, payload_bytes, how: str = "left",
-           bound: int | None = None) -> DataFrame:
+def attach(docs: DataFrame, side: DataFrame, how: str = "left") -> DataFrame:
     """Join a staged ``side`` (one row a key) to the documents by KEY, null ids included.
 
-    ``payload_bytes`` estimates a row's size.  Up to ``bound`` in total the
-    side is broadcast and the texts stay where they are; beyond it both sides
-    are shuffled by key.
+    Both sides are shuffled by key at every size, so that what is measured on
+    small tables holds for large ones.
     """
-    total = side.agg(F.sum(payload_bytes + F.lit(64)).alias("b")).first()["b"] or 0
-    bound = BROADCAST_BYTES if bound is None else bound
     s = side.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
                     *[c for c in side.columns if c not in KEY])
     on = docs["doc_id"].eqNullSafe(s["_id"]) & (docs["text_hash"] == s["_hash"])
-    return docs.join(F.broadcast(s) if total <= bound else s, on, how).drop("_id", "_hash")
+    return docs.join(s, on, how).drop("_id", "_hash")

@@ -164,6 +164,6 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
                                             "last_word long, base array<string>")
     none = F.array().cast("array<string>")
     labels = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", none))))
-    return attach(base, found, F.size("more") * 24, "left").select(
+    return attach(base, found).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
         F.array_join(labels, ",").alias("labels"), F.coalesce("best", F.lit(0.0)).alias("score"))

@@ -200,9 +200,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         jump = label.select(F.col("node").alias("label"), F.col("label").alias("further"))
         new = stage(spark, spreads.join(jump, "label", "left")
                     .select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        discard(label)
         moved = new.where("label <> old").limit(1).count()
         label = new.select("node", "label")
         if not moved:
+            discard(edges)
             return label
 
 
@@ -223,7 +225,8 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = stage(spark, keys.join(full, "key"), "buckets")
     central = met.groupBy("node").agg(F.sum("n").alias("central"))
-    met = stage(spark, met.join(central, "node"), "members")
+    buckets, met = met, stage(spark, met.join(central, "node"), "members")
+    discard(buckets)
 
     wanted = stage(spark, met.select("node").distinct(), "wanted")
     near = texts.select("text", "node")
@@ -263,6 +266,7 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     done = more.union(first)
     last = _links(spark, rest.join(done, ["a", "b"], "left_anti"), sets, "links")
     links = links.union(last)
+    discard(first, more, met, members, wanted, sets)
     return rows.select("doc_id", "node"), links, components(spark, links)
 
 

@@ -273,7 +273,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     discard(found)
 
     # whole stretches, and of those met again one occurrence
-    whole = stage(spark, attach(docs, candidates, F.size("stretches") * 24, "inner").mapInArrow(
+    whole = stage(spark, attach(docs, candidates, "inner").mapInArrow(
         _whole, "one long, two long, symbol long, doc_id long, text_hash long, first int, windows int"), "whole")
     discard(candidates)
     own = F.xxhash64(*KEY, "first")
@@ -287,7 +287,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     open_symbols = alone.select("symbol").distinct()
     picked = known.where("whole and picked").join(open_symbols, "symbol", "left_semi")
     places = stage(spark, listed(alone.unionByName(picked.select(known.columns)), "first", "windows", "whole"), "places")
-    windows = stage(spark, attach(docs, places, F.size("stretches") * 16, "inner").mapInArrow(
+    windows = stage(spark, attach(docs, places, "inner").mapInArrow(
         _windows, "one long, two long, doc_id long, text_hash long, at int, whole boolean"), "windows")
     discard(places)
     again = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
@@ -301,7 +301,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
 
 def _with_stretches(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("text_hash"))
-    return attach(texts, repeated_stretches(texts), F.size("first") * 8, "left")
+    return attach(texts, repeated_stretches(texts))
 
 
 def repeats_removed(docs: DataFrame) -> DataFrame:

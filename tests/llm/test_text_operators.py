@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lakepipe.llm import fm_index, frames, license_diagonals, recompress, repetition, subword, words
+from lakepipe.llm import fm_index, license_diagonals, recompress, repetition, subword, words
 
 
 @pytest.fixture(scope="module")
@@ -108,10 +108,7 @@ def test_without_benchmark_rows(spark, docs, rows):
     assert fm_index.keep_clean(docs, none).count() == len(rows)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_repeats_removed(docs, rows, broadcast, monkeypatch):
-    if not broadcast:
-        monkeypatch.setattr(frames, "BROADCAST_BYTES", -1)
+def test_repeats_removed(docs, rows):
     got = recompress.repeats_removed(docs).collect()
     want = brute.repeats([r["text"] for r in rows])
     assert multiset(got) == multiset([(r["doc_id"], *w) for r, w in zip(rows, want, strict=True)])
