@@ -34,6 +34,7 @@ class Rule:
     max: Any = None
     expression: str | None = None
     description: str | None = None
+    ignore_null: bool = False       # accepted_values: leave NULLs to other rules
 
     @property
     def blocking(self) -> bool:

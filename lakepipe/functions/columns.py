@@ -43,10 +43,6 @@ def safe_divide(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col(num), nullif(den, 0))
 
 
-def is_plain_number(c: str | Column) -> Column:
-    return col(c).rlike(NUMBER_PATTERN)
-
-
 def submission_id(inst, rtype, period, version) -> Column:
     return F.concat(col(inst), F.lit("-"), col(rtype), F.lit("-"), col(period),
                     F.lit("-v"), col(version).cast("string"))
@@ -63,12 +59,13 @@ def raw_key(inst, rtype, period, version, fname) -> Column:
 
 
 def version_from_sid(sid: str | Column) -> Column:
-    """Right-split on '-v' (the last one), as the loader does."""
-    return F.regexp_extract(col(sid), r"-v([0-9]+)$", 1).cast("int")
+    """Right-split on '-v' (the last one), as the loader does; NULL if it is no 32-bit number."""
+    return F.regexp_extract(col(sid), r"-v([0-9]+)$", 1).try_cast("int")
 
 
 def period_start(period: str | Column) -> Column:
-    return F.to_date(F.concat(col(period), F.lit("-01")))
+    """First day of a 'yyyy-MM' period; NULL for a month that does not exist (the contract pattern allows 13)."""
+    return F.concat(col(period), F.lit("-01")).try_cast("date")
 
 
 def period_end(period: str | Column) -> Column:

@@ -15,58 +15,62 @@ PARTITION = ["reporting_period"]
 def with_audit(parsed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Business columns + submission_id, version, source_uri, source_sha256, loaded_at.
 
-    ``parsed`` carries submission_id, raw_key and sha256 of its file.
+    ``parsed`` carries submission_id and sha256 of its file, and the file's
+    path, which lineage ends at.
     """
     ts = loaded_at if loaded_at is not None else F.localtimestamp()
     return parsed.select(
         "institution_id", "reporting_period", "line_code", "currency",
         F.col("amount").cast("decimal(20,2)").alias("amount"), "submission_id",
         version_from_sid("submission_id").alias("submission_version"),
-        F.concat(F.lit("raw/"), F.col("raw_key")).alias("source_uri"),
+        F.col("path").alias("source_uri"),
         F.col("sha256").alias("source_sha256"), ts.cast("timestamp_ntz").alias("loaded_at"))
 
 
-def replace_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
+def replace_rows(existing: DataFrame, new: DataFrame, submissions: DataFrame | None = None) -> DataFrame:
     """Rows of ``existing`` whose submission is re-delivered are replaced by ``new``.
 
-    Only the reporting periods touched by ``new`` need rewriting; the caller
-    restricts ``existing`` to them (partition pruning on the scan).
+    ``submissions`` (submission_id) are those delivered; a delivery without
+    rows replaces the earlier ones by none.  Default: those that have rows.
     """
-    sids = new.select("submission_id").distinct()
+    sids = (new if submissions is None else submissions).select("submission_id").distinct()
     kept = existing.join(sids, "submission_id", "left_anti")
     return kept.unionByName(new.select(*existing.columns))
 
 
-def affected_periods(new: DataFrame) -> list[str]:
-    """Periods a batch touches: its rows' periods and each submission's nominal period.
+def affected_periods(new: DataFrame, existing: DataFrame | None = None, submissions: DataFrame | None = None) -> list[str]:
+    """Periods a batch touches: those of its rows and those where its submissions have rows already.
 
     A handful of values per batch; used as a literal IN list so every Bronze,
-    Silver and Gold read of the batch is partition-pruned.  (Rows of an earlier
-    delivery filed under a period matching neither are outside this set; finding
-    them would need a scan of the whole table.)
+    Silver and Gold read of the batch is partition-pruned.  Earlier rows are
+    found by a scan of two narrow columns.
     """
-    nominal = F.regexp_extract("submission_id", r"-([0-9]{4}-[0-9]{2})-v[0-9]+$", 1)
-    rows = new.select(F.col(PARTITION[0]).alias("p")).unionByName(new.select(nominal.alias("p")))
-    return sorted(r.p for r in rows.where(F.col("p").isNotNull() & (F.col("p") != "")).distinct().collect())
+    found = new.select(PARTITION[0])
+    if existing is not None:
+        sids = (new if submissions is None else submissions).select("submission_id").distinct()
+        found = found.unionByName(existing.join(sids, "submission_id", "left_semi").select(PARTITION[0]))
+    p = F.col(PARTITION[0])
+    return sorted(r[0] for r in found.where(p.isNotNull() & (p != "")).distinct().collect())
 
 
-def replace_submissions(spark: SparkSession, path: str, new: DataFrame) -> list[str]:
+def replace_submissions(spark: SparkSession, path: str, new: DataFrame, submissions: DataFrame | None = None) -> list[str]:
     """Idempotent load of a batch of submissions into the Bronze folder.
 
     Replace-then-append as ONE partition overwrite: affected periods are read
     (pruned), merged with the new rows, staged under the checkpoint folder,
-    then written with dynamic partition overwrite.  Re-running the same batch
-    gives the same table.  Returns the affected periods.
+    then written with dynamic partition overwrite; a period left without rows
+    is dropped.  Re-running the same batch gives the same table.  Returns the
+    affected periods.
     """
     new = new.select(*[f.name for f in BRONZE_LCR.fields])
-    periods = affected_periods(new)
-    try:
-        existing = spark.read.schema(BRONZE_LCR).parquet(path).where(F.col(PARTITION[0]).isin(periods))
-        merged = replace_rows(existing, new)
-    except Exception as e:  # first load: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        merged = new
+    if not tables.exists(spark, path):
+        periods = affected_periods(new)
+        tables.overwrite_partitions(new, path, PARTITION)
+        return periods
+    existing = spark.read.schema(BRONZE_LCR).parquet(path)
+    periods = affected_periods(new, existing, submissions)
+    merged = replace_rows(existing.where(F.col(PARTITION[0]).isin(periods)), new, submissions)
     staged = tables.stage(spark, merged, "bronze-merge")
     tables.overwrite_partitions(staged, path, PARTITION)
+    tables.drop_empty_partitions(spark, path, PARTITION[0], periods, staged)
     return periods

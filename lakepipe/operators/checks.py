@@ -31,7 +31,7 @@ def silver_tests(line_codes: tuple[str, ...]) -> RuleSet:
     # model tests' accepted_values ignore NULLs (unlike the Bronze rule engine).
     rules.append(Rule(id="accepted_values_silver_line_code", stage="silver", dimension="validity",
                       type="accepted_values", severity="error", column="line_code",
-                      values=tuple(line_codes)))
+                      values=tuple(line_codes), ignore_null=True))
     rules.append(Rule(id="assert_one_current_version", stage="silver", dimension="uniqueness",
                       type="unique", severity="error", columns=tuple(SILVER_KEY)))
     return RuleSet("lcr-monthly", "model-tests", tuple(rules))
@@ -45,14 +45,9 @@ def gold_tests() -> RuleSet:
 
 def run_model_tests(model: DataFrame, tests: RuleSet, stage: str,
                     checked_at: Column | None = None) -> DataFrame:
-    """All tests of one model in one pass; model-test accepted_values semantics for NULLs."""
-    patched = tuple(
-        Rule(**{**r.__dict__, "type": "row_expression",
-                "expression": f"{r.column} IS NULL OR {r.column} IN ({', '.join(repr(v) for v in r.values)})"})
-        if r.type == "accepted_values" else r for r in tests.rules)
-    rs = RuleSet(tests.contract, tests.version, patched)
-    wide = quality.evaluate_wide(model, rs, key=None)
-    return quality.to_results(wide, rs, stage, key=None, checked_at=checked_at)
+    """All tests of one model in one pass."""
+    wide = quality.evaluate_wide(model, tests, key=None)
+    return quality.to_results(wide, tests, stage, key=None, checked_at=checked_at)
 
 
 def one_current_version(silver: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ per-row predicates, and aggregates with map-side partial results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakepipe.contracts import Contract
@@ -16,30 +16,21 @@ from lakepipe.functions.joins import checked_broadcast
 
 # ----------------------------------------------------------------- L3 / L4
 
-def codelist_violations(rows: DataFrame, code_lists: dict[str, DataFrame],
-                        minimum: dict[str, float] | None = None, key: str = "submission_id",
-                        known_rows: dict[str, int] | None = None) -> DataFrame:
-    """Values missing from their code list (anti-join) and values below a minimum.
+def codelist_violations(rows: DataFrame, code_lists: dict[str, list[str]],
+                        minimum: dict[str, float] | None = None, key: str = "submission_id") -> DataFrame:
+    """Values missing from their code list and values below a minimum, found in one pass over the rows.
 
-    ``code_lists``: column -> one-column DataFrame of allowed codes.  NULLs are
-    a completeness problem, not a code-list one, and are not reported here.
-    Result: key, column, value, rows.
+    ``code_lists``: column -> allowed codes (packaged lists, a handful of
+    values each).  NULLs are a completeness problem, not a code-list one, and
+    are not reported here.  Result: key, column, value, rows.
     """
-    parts = []
-    for column, codes in code_lists.items():
-        allowed = checked_broadcast(codes.select(F.col(codes.columns[0]).alias("__code")).distinct(),
-                                    known_rows=(known_rows or {}).get(column))
-        bad = (rows.where(F.col(column).isNotNull())
-               .join(allowed, F.col(column) == F.col("__code"), "left_anti")
-               .select(key, F.lit(column).alias("column"), F.col(column).cast("string").alias("value")))
-        parts.append(bad)
-    for column, lo in (minimum or {}).items():
-        parts.append(rows.where(F.col(column) < F.lit(lo))
-                     .select(key, F.lit(column).alias("column"), F.col(column).cast("string").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(key, "column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    def found(column: str, bad) -> Column:
+        return F.when(bad, F.struct(F.lit(column).alias("column"), F.col(column).cast("string").alias("value")))
+
+    flags = [found(c, ~F.col(c).isin(codes)) for c, codes in code_lists.items()]
+    flags += [found(c, F.col(c) < F.lit(lo)) for c, lo in (minimum or {}).items()]
+    bad = rows.select(key, F.inline(F.filter(F.array(*flags), lambda x: x.isNotNull())))
+    return bad.groupBy(key, "column", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def schema_violations(rows: DataFrame, contract: Contract, enums: dict[str, list[str]],
@@ -77,12 +68,15 @@ def extra_columns(df: DataFrame, contract: Contract, allowed: tuple[str, ...] =
 # ------------------------------------------------------------ L6 timeliness
 
 def timeliness(submissions: DataFrame, days_after_period_end: int) -> DataFrame:
-    """Deadline = period end + N calendar days; late when received after that day."""
+    """Deadline = period end + N calendar days; late when received after that day.
+
+    A period that is no month has no deadline: deadline, days_late and on_time are NULL.
+    """
     deadline = submission_deadline("reporting_period", days_after_period_end)
     received_day = F.to_date("received_at")
     return submissions.select(
         "submission_id", "reporting_period", deadline.alias("deadline"), "received_at",
-        F.greatest(F.datediff(received_day, deadline), F.lit(0)).alias("days_late"),
+        F.when(deadline.isNotNull(), F.greatest(F.datediff(received_day, deadline), F.lit(0))).alias("days_late"),
         (received_day <= deadline).alias("on_time"))
 
 
@@ -133,11 +127,16 @@ def retention_candidates(table: DataFrame, zone: str, years: int, as_of: str,
 
 # -------------------------------------------------------------- L9 tokenise
 
-def tokenise_ids(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
-    out = df
-    for c in columns:
-        out = out.withColumn(c, tokenise(c, salt))
-    return out
+def tokenise_ids(df: DataFrame, columns: list[str], salt: str, derived: dict[str, str] | None = None) -> DataFrame:
+    """Replace ids by keyed tokens, also where another column starts with one.
+
+    ``derived``: column -> the id column that its values start with (such as
+    submission_id -> institution_id); that part becomes the token too.
+    """
+    tokens = {c: tokenise(c, salt) for c in columns}
+    rest = {d: F.when(F.startswith(F.col(d), F.col(c)), F.concat(tokens[c], F.substr(F.col(d), F.length(c) + 1)))
+            .otherwise(tokenise(d, salt)) for d, c in (derived or {}).items()}
+    return df.withColumns(tokens | rest)
 
 
 # -------------------------------------------------------- L10 completeness
@@ -163,11 +162,15 @@ def missing_returns(expected: DataFrame, received: DataFrame) -> DataFrame:
 # ----------------------------------------------------- L12 bitemporal join
 
 def as_of_reference(facts: DataFrame, institutions: DataFrame, period_col: str = "reporting_period") -> DataFrame:
-    """Attach institution attributes valid at the period end (valid-from join)."""
+    """Attach the institution attributes valid at the period end: of several versions, the newest by then."""
+    versions = Window.partitionBy("institution_id").orderBy("active_from")      # an institution's few versions
     inst = checked_broadcast(institutions.select(
-        F.col("institution_id").alias("__iid"), "institution_name", "peer_group", "active_from"))
-    cond = (F.col("institution_id") == F.col("__iid")) & (F.col("active_from") <= period_end(period_col))
-    return facts.join(inst, cond, "left").drop("__iid")
+        F.col("institution_id").alias("__iid"), "institution_name", "peer_group", "active_from",
+        F.lead("active_from").over(versions).alias("__until")))
+    end = period_end(period_col)
+    cond = ((F.col("institution_id") == F.col("__iid")) & (F.col("active_from") <= end)
+            & (F.col("__until").isNull() | (F.col("__until") > end)))
+    return facts.join(inst, cond, "left").drop("__iid", "__until")
 
 
 # ------------------------------------------------------- L15 schema evolution

@@ -32,13 +32,14 @@ NAME_KEY = ["institution_id", "return_type", "reporting_period", "version"]
 def parse_names(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     """B1 + B6: name contract and derived keys (NULL keys when the name is invalid)."""
     n = F.col(name_col)
-    ok = n.rlike(NAME_RE)
+    # a version beyond 32 bits is no version: that file is rejected, the others go on
+    ok = n.rlike(NAME_RE) & F.regexp_extract(n, NAME_RE, 4).try_cast("int").isNotNull()
     g = lambda i: F.when(ok, F.regexp_extract(n, NAME_RE, i))
     out = (files.withColumn("name_ok", ok)
            .withColumn("institution_id", g(1))
            .withColumn("return_type", g(2))
            .withColumn("reporting_period", g(3))
-           .withColumn("version", g(4).cast("int")))
+           .withColumn("version", g(4).try_cast("int")))
     return (out.withColumn("submission_id", F.when(ok, submission_id(
                 "institution_id", "return_type", "reporting_period", "version")))
                .withColumn("raw_key", F.when(ok, raw_key(

@@ -18,6 +18,10 @@ evaluated on the empty input, as a plain aggregate over zero rows would be.
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,43 +34,54 @@ _TESTED = "__tested"
 _ALL = "__all"
 
 
-def _typed_bound(df: DataFrame, column: str, bound) -> tuple[Column, Column]:
-    """Column and literal for a range comparison that cannot raise under ANSI."""
-    c = F.col(column)
-    dtype = df.schema[column].dataType if column in df.columns else None
-    if isinstance(bound, (int, float)) and isinstance(dtype, T.StringType):
-        c = (c).try_cast(T.DecimalType(38, 10) if isinstance(bound, int) else T.DoubleType())
-    return c, F.lit(bound)
-
-
-def failing_row(df: DataFrame, rule: Rule, null_fails: bool = True) -> Column:
-    """Boolean column: TRUE for a row that fails a row-level rule."""
-    t = rule.type
-    if t == "not_null":
-        return any_null(*rule.columns)
-    if t == "accepted_values":
-        c = F.col(rule.column)
-        bad = ~c.isin(list(rule.values))
-        return (bad | c.isNull()) if null_fails else (bad & c.isNotNull())
-    if t == "range":
-        cond = F.lit(False)
-        if rule.min is not None:
-            c, lo = _typed_bound(df, rule.column, rule.min)
-            cond = cond | (c < lo)
-        if rule.max is not None:
-            c, hi = _typed_bound(df, rule.column, rule.max)
-            cond = cond | (c > hi)
-        return cond
-    if t == "row_expression":
-        return ~F.expr(rule.expression)
-    raise ValueError(f"Unknown row rule type: {t}")
-
-
-def _failed_agg(df: DataFrame, rule: Rule) -> Column:
-    if rule.type == "aggregate_expression":
-        ok = F.expr(rule.expression)
-        return F.when(F.coalesce(ok, F.lit(False)), F.lit(0)).otherwise(F.lit(1)).cast("long")
-    return F.count_if(failing_row(df, rule))
+#: Compilers of rules that judge single rows: type -> (table, rule) -> TRUE for a failing row.
+ROW_RULES: dict[str, Callable[[DataFrame, Rule], Column]] = {}
+
+
+def _compiles(rule_type: str):
+    def register(compile_rule):
+        ROW_RULES[rule_type] = compile_rule
+        return compile_rule
+    return register
+
+
+@_compiles("not_null")
+def _missing(df: DataFrame, rule: Rule) -> Column:
+    return any_null(*rule.columns)
+
+
+@_compiles("accepted_values")
+def _unlisted(df: DataFrame, rule: Rule) -> Column:
+    value = F.col(rule.column)
+    # a NULL is not in the list either, unless the rule leaves NULLs to other rules
+    return F.coalesce(~value.isin(*rule.values), F.lit(not rule.ignore_null))
+
+
+@_compiles("range")
+def _outside(df: DataFrame, rule: Rule) -> Column:
+    value = F.col(rule.column)
+    text = isinstance(df.schema[rule.column].dataType, T.StringType) if rule.column in df.columns else False
+
+    def comparable(bound) -> Column:
+        """The value in a type that the bound can be compared with, whatever the text holds (ANSI)."""
+        return value.try_cast("decimal(38,10)" if isinstance(bound, int) else "double") if text else value
+
+    broken = [beyond(comparable(bound), F.lit(bound))
+              for bound, beyond in ((rule.min, operator.lt), (rule.max, operator.gt)) if bound is not None]
+    return reduce(operator.or_, broken, F.lit(False))
+
+
+@_compiles("row_expression")
+def _untrue(df: DataFrame, rule: Rule) -> Column:
+    return ~F.expr(rule.expression)
+
+
+def _failed_count(df: DataFrame, rule: Rule) -> Column:
+    """Aggregate that counts what a rule finds in a submission (an aggregate rule counts 1 or 0)."""
+    if rule.type in ROW_RULES:
+        return F.count_if(ROW_RULES[rule.type](df, rule))
+    holds = F.coalesce(F.expr(rule.expression), F.lit(False))
+    return (~holds).cast("long")
 
 
 def _fcol(rule: Rule) -> str:
@@ -75,9 +90,8 @@ def _fcol(rule: Rule) -> str:
 
 def _check(rules: RuleSet) -> None:
     # Unknown types fail at compile time, before any job runs.
-    from lakepipe.contracts import RULE_TYPES
     for r in rules.rules:
-        if r.type not in RULE_TYPES:
+        if r.type not in {*ROW_RULES, "unique", "aggregate_expression"}:
             raise ValueError(f"Unknown rule type: {r.type}")
 
 
@@ -92,7 +106,7 @@ def evaluate_wide(df: DataFrame, rules: RuleSet, key: str | None = KEY,
     keys = [key]
     plain = [r for r in rules.rules if r.type != "unique"]
     uniques = [r for r in rules.rules if r.type == "unique"]
-    aggs = [F.count(F.lit(1)).alias(_TESTED)] + [_failed_agg(df, r).alias(_fcol(r)) for r in plain]
+    aggs = [F.count(F.lit(1)).alias(_TESTED)] + [_failed_count(df, r).alias(_fcol(r)) for r in plain]
     wide = df.groupBy(*keys).agg(*aggs)
     dups = []
     for r in uniques:
@@ -122,7 +136,7 @@ def _with_empty_submissions(df, rules, wide, subs, key):
     empty = {}
     if agg_rules:
         # A global aggregate over zero rows returns exactly one row of constants.
-        row = df.limit(0).agg(*[_failed_agg(df, r).alias(_fcol(r)) for r in agg_rules]).first()
+        row = df.limit(0).agg(*[_failed_count(df, r).alias(_fcol(r)) for r in agg_rules]).first()
         empty = {c: row[c] for c in row.asDict()}
     out = subs.join(wide, key, "left")
     fill = {_TESTED: 0}

@@ -7,13 +7,16 @@ results are comparable with the oracle SQL in ``lakepipe.plans.oracle``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepipe.contracts import load_rules
 from lakepipe.operators import checks, gold, quality, silver
+from lakepipe.session import ensure_checkpoint_dir
 from lakepipe.sources import reference, tables
 from lakepipe.sources import testdata as td
 
@@ -261,6 +264,12 @@ def intake_verdict(spark, sf_dir):
     return d.select("path", "submission_id", "verdict", "reason")
 
 
+@query
+def intake_receipts(spark, sf_dir):
+    from lakepipe.operators import intake
+    return intake.receipts(intake.decide(_landing(spark, sf_dir)))
+
+
 # ------------------------------------------------------------ ledger (E)
 
 def ledger_events(spark, sf_dir):
@@ -306,6 +315,48 @@ def bronze_replay_replace(spark, sf_dir):
     return bronze.replace_rows(base, replay)
 
 
+@query
+def bronze_moved_emptied(spark, sf_dir):
+    """The Bronze sink after a re-delivery that moves submissions to another year and empties others."""
+    from lakepipe.operators import bronze
+    from lakepipe.schemas import BRONZE_LCR
+    from lakepipe.session import scratch_path
+    path = scratch_path(spark, "bronze")
+    base = tables.stage(spark, _clean_bronze(spark, sf_dir), "clean")
+    bronze.replace_submissions(spark, path, base)
+    year = F.substring("reporting_period", 1, 4).cast("int") + 1
+    moved = base.where(F.col("submission_version") == 3).withColumn(
+        "reporting_period", F.concat(year.cast("string"), F.substring("reporting_period", 5, 3)))
+    emptied = base.where((F.col("submission_version") == 2) & F.col("institution_id").endswith("7"))
+    bronze.replace_submissions(spark, path, moved, moved.select("submission_id").union(emptied.select("submission_id")))
+    return spark.read.schema(BRONZE_LCR).parquet(path)
+
+
+# ----------------------------------------------------------- table sinks
+
+@query
+def dq_results_by_day(spark, sf_dir):
+    """Two runs appended to the results table, partitioned by day, and read back."""
+    from lakepipe.session import scratch_path
+    path, base = scratch_path(spark, "dq-results"), _base(spark, sf_dir)
+    for faults, run in ((True, RUN1), (False, RUN2)):
+        results = _rules_run(spark, sf_dir, base=base, faults=faults, checked_at=run)
+        tables.append(results.withColumn("checked_day", F.to_date("checked_at")), path, ["checked_day"])
+    return spark.read.parquet(path).groupBy("checked_day", "rule_id", "outcome").agg(F.count(F.lit(1)).alias("results"))
+
+
+@query
+def orders_evolving(spark, sf_dir):
+    """A table whose later files have one more column; the older rows read NULL there."""
+    from lakepipe.operators import governance
+    from lakepipe.session import scratch_path
+    path, orders = scratch_path(spark, "evolving"), td.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    old = F.col("o_orderkey") % 2 == 0
+    tables.append(orders.where(old).drop("o_totalprice"), path)
+    tables.append(orders.where(~old), path)
+    return governance.read_evolving(spark, path).select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
 # ---------------------------------------------------------- payments stream (I)
 
 EVENT_COLS = ["event_id", "institution_id", "event_ts", "payment_system", "direction", "amount",
@@ -360,21 +411,30 @@ def minute_stats_late(spark, sf_dir):
                     "institution_id", "payment_system", "event_count", "late_count", "dropped_count")
 
 
+STREAM_BATCHES, FILES_PER_BATCH = 3, 4
+
+
 def run_payments_stream(spark, sf_dir):
     """Replay the derived topic through the streaming job (availableNow).
 
-    Batch 1 holds every event file, batch 2 a far-future sentinel that closes
-    all windows.  Outputs live under the session's checkpoint folder.  Each
-    stream query runs its own replay, so its timing includes the stream.
+    The events arrive in STREAM_BATCHES micro-batches, by arrival time, so
+    copies and late events meet state of earlier batches; a far-future sentinel
+    then closes all windows.  Outputs live under the session's checkpoint
+    folder.  Each stream query runs its own replay, so its timing includes the
+    stream.
     """
     from lakepipe.session import scratch_path
     from lakepipe.streaming import payments
     base = scratch_path(spark, "payments")
     src = f"{base}/src"
-    td.payment_events_raw(spark, sf_dir).select("value").write.text(src)
-    n_files = len(spark.read.text(src).inputFiles())
+    events = tables.stage(spark, td.payment_events_raw(spark, sf_dir).select("value", "arrival"), "topic")
+    ends = events.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
+    for k in range(STREAM_BATCHES if ends["lo"] is not None else 0):
+        lo, hi = (ends["lo"] + (ends["hi"] - ends["lo"]) * i / STREAM_BATCHES for i in (k, k + 1))
+        part = events.where((F.col("arrival") >= F.lit(lo)) & ((F.col("arrival") < F.lit(hi)) | F.lit(k == STREAM_BATCHES - 1)))
+        part.select("value").repartition(FILES_PER_BATCH).write.mode("append").text(src)
     td.sentinel_event(spark).write.mode("append").text(src)
-    raw = payments.read_source(spark, "text", src, max_files_per_trigger=n_files)
+    raw = payments.read_source(spark, "text", src, max_files_per_trigger=FILES_PER_BATCH)
     qs = payments.start_payments_job(raw, f"{base}/bronze", f"{base}/stats", f"{base}/dlq",
                                      f"{base}/checkpoints", trigger={"availableNow": True},
                                      dq_path=f"{base}/dq")
@@ -406,8 +466,25 @@ def stream_dlq(spark, sf_dir):
 
 # ----------------------------------------------------------- serving (J)
 
+def served_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Bronze and Gold as the flow leaves them: tables of this application, Gold partitioned by period.
+
+    The first serving query builds them; the others read them, with partition pruning.
+    """
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakepipe-served-{spark.sparkContext.applicationId}"
+    root += "-" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    if not tables.exists(spark, f"{root}/gold/_SUCCESS"):
+        bronze, _, _, gld = lcr_chain(spark, sf_dir)
+        tables.create_or_replace(bronze, f"{root}/bronze")
+        tables.create_or_replace(gld, f"{root}/gold", ["reporting_period"])
+    gold_schema = spark.read.parquet(f"{root}/gold").schema
+    fixed = T.StructType([T.StructField(f.name, T.StringType() if f.name == "reporting_period" else f.dataType)
+                          for f in gold_schema.fields])
+    return spark.read.parquet(f"{root}/bronze"), spark.read.schema(fixed).parquet(f"{root}/gold")
+
+
 def _gold(spark, sf_dir):
-    return lcr_chain(spark, sf_dir)[3]
+    return served_tables(spark, sf_dir)[1]
 
 
 @query
@@ -449,7 +526,7 @@ def policy_row_filter(spark, sf_dir):
 @query
 def lineage_trace(spark, sf_dir):
     from lakepipe.operators import serving
-    bronze, _, _, gld = lcr_chain(spark, sf_dir)
+    bronze, gld = served_tables(spark, sf_dir)
     return serving.lineage(gld, bronze)
 
 
@@ -466,12 +543,8 @@ def mixed_batch_stream(spark, sf_dir):
 @query
 def codelist_violations(spark, sf_dir):
     from lakepipe.operators import governance
-    codes = {"line_code": reference.code_list(spark, "lcr_line_codes").select("line_code"),
-             "currency": reference.code_list(spark, "currencies").select("currency_code")}
-    known = {"line_code": reference.code_list_rows("lcr_line_codes"),
-             "currency": reference.code_list_rows("currencies")}
-    return governance.codelist_violations(td.lcr_rules_input(spark, sf_dir), codes, {"amount": 0},
-                                          known_rows=known)
+    codes = {"line_code": reference.codes("lcr_line_codes"), "currency": reference.codes("currencies")}
+    return governance.codelist_violations(td.lcr_rules_input(spark, sf_dir), codes, {"amount": 0})
 
 
 @query
@@ -480,7 +553,7 @@ def schema_row_check(spark, sf_dir):
     from lakepipe.operators import governance, structure
     contract = load_contract()
     rows = structure.parse_records(td.order_files(spark, sf_dir), contract, keep=("submission_id",))
-    enums = {"line_code": td.LINE_CODES, "currency": ["MYR", "USD", "SGD", "EUR", "GBP", "JPY", "CNY"]}
+    enums = {"line_code": reference.codes("lcr_line_codes"), "currency": reference.codes("currencies")}
     return governance.schema_violations(rows, contract, enums)
 
 
@@ -524,7 +597,8 @@ TOKEN_SALT = "lakepipe"
 @query
 def tokenise_ids(spark, sf_dir):
     from lakepipe.operators import governance
-    return governance.tokenise_ids(lcr_chain(spark, sf_dir)[2], ["institution_id"], TOKEN_SALT)
+    return governance.tokenise_ids(lcr_chain(spark, sf_dir)[2], ["institution_id"], TOKEN_SALT,
+                                   derived={"submission_id": "institution_id"})
 
 
 AS_OF_PERIOD = "2001-08"
@@ -543,7 +617,7 @@ def expected_vs_received(spark, sf_dir):
 def bitemporal_reference(spark, sf_dir):
     from lakepipe.operators import governance
     facts = td.lcr_bronze(spark, sf_dir).select("institution_id", "reporting_period").distinct()
-    return governance.as_of_reference(facts, td.institutions(spark, sf_dir, td.N_GOLD)).select(
+    return governance.as_of_reference(facts, td.institution_versions(spark, sf_dir, td.N_GOLD)).select(
         "institution_id", "reporting_period", "institution_name", "peer_group", "active_from")
 
 

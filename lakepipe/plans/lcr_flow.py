@@ -3,8 +3,8 @@
 intake -> validate -> load_bronze -> evaluate_rules -> build_silver ->
 build_gold -> run_checks -> publish.  Each step is a DataFrame function of the
 operators package; tables are Parquet folders under ``warehouse``.  Nothing is
-parsed or looped over on the driver; the only driver-side values are table
-paths and the list of failed model tests.
+parsed or looped over on the driver; the only driver-side values are paths of
+the batch's files, its reporting periods and the list of failed model tests.
 """
 
 from __future__ import annotations
@@ -29,123 +29,161 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
-    except Exception as e:  # noqa: BLE001 - missing table on first run
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+def _table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    if not tables.exists(spark, path):
+        return None
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-VALIDATED_COLS = ["path", "submission_id", "raw_key", "sha256", "received_at", "large", "content",
+VALIDATED_COLS = ["file_path", "submission_id", "raw_key", "path", "sha256", "received_at", "large", "content",
                   "record_count", "control_total", "n_errors", "status", "reason", "errors", "detail_errors"]
+#: Tables that the flow declares in the session's catalog, with their partition columns.
+DECLARED = {"bronze": ["reporting_period"], "silver": ["reporting_period"], "gold": ["reporting_period"],
+            "dq_results": ["checked_day"], "ledger": []}
+
+
+def declare_tables(spark: SparkSession, warehouse: str, database: str) -> None:
+    """CREATE TABLE IF NOT EXISTS for every table that has been written; partitions are found again."""
+    wh = Warehouse(warehouse)
+    for name, partition_by in DECLARED.items():
+        path = getattr(wh, name)
+        if tables.exists(spark, path):
+            tables.ensure_table(spark, f"{database}.{name}", spark.read.parquet(path).schema, path, partition_by)
+            if partition_by:
+                spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
+            spark.catalog.refreshTable(f"{database}.{name}")
+
+
+def new_files(spark: SparkSession, landing: str, decided: DataFrame | None) -> list[str]:
+    """Paths in the landing folder that no earlier run decided (same path, size and time)."""
+    listed = raw.list_files(spark, landing).select("path", "bytes", "modified_at")
+    if decided is not None:
+        listed = listed.join(decided.select("path", "bytes", "modified_at"), ["path", "bytes", "modified_at"], "left_anti")
+    return [r.path for r in listed.select("path").collect()]          # the paths of one batch feed its scan
 
 
 def run_lcr_batch(spark: SparkSession, landing: str, warehouse: str, institutions: DataFrame,
                   quarantine: str = "sticky", grain: str = "line",
-                  large_bytes: int = raw.LARGE_FILE_BYTES, rebuild: str = "periods") -> dict[str, DataFrame]:
-    """Process every file in ``landing``; returns the per-stage DataFrames (read back).
+                  large_bytes: int = raw.LARGE_FILE_BYTES, rebuild: str = "periods",
+                  database: str | None = None, file_system=None) -> dict[str, DataFrame]:
+    """Process every new file in ``landing``; returns the per-stage DataFrames (read back).
 
     Files above ``large_bytes`` are never loaded as one row: they are hashed
     in chunks, validated and parsed by the splittable path.  ``rebuild``:
     ``"periods"`` rebuilds only the reporting periods the batch touched (Silver
     and Gold are keyed within a period, so this equals a full rebuild);
-    ``"full"`` rebuilds everything, as the reference's models do.
+    ``"full"`` rebuilds everything, as the reference's models do.  With
+    ``database`` the tables are declared in the catalog.
+
+    Each stage's ledger events are appended when the stage is done, so a batch
+    that stops later (a failed model test) has its earlier history recorded.
+    Gold is tested before it is swapped in.
     """
     wh = Warehouse(warehouse)
     contract = load_contract()
     rules = load_rules("lcr-monthly")
-    now = F.localtimestamp()
-
-    # 1. intake: one decision per file; earlier runs come from the ledger table
-    # staged once: file bytes are read and hashed once; intake reads only narrow columns
-    files = tables.stage(spark, raw.files_with_manifests(spark, landing, large_bytes=large_bytes)
-                         .withColumn("received_at", F.col("modified_at")), "landing")
-    known = _exists(spark, f"{wh.ledger}_submissions", None)
-    decided = tables.stage(spark, intake.decide(files, known), "intake")
+    now = F.lit(spark.sql("SELECT localtimestamp() AS t").first()["t"]).cast("timestamp_ntz")     # one run, one time
+
+    # 1. intake: one decision per file; bodies are read and hashed once and stay out of the joins
+    paths = new_files(spark, landing, _table(spark, f"{wh.ledger}_files"))
+    read = raw.files_with_manifests(spark, landing, large_bytes, paths, file_system) if paths else \
+        raw.files_with_manifests(spark, landing, large_bytes, None, file_system).where(F.lit(False))
+    files = tables.stage(spark, read.withColumn("received_at", F.col("modified_at")), "landing")
+    known = _table(spark, f"{wh.ledger}_submissions")
+    decided = tables.stage(spark, intake.decide(files.drop("content", "manifest_text"), known), "intake")
     received = decided.where(F.col("verdict") == "RECEIVED")
+    # registration comes first: what is received is known and has its receipt, whatever happens later
+    tables.append(received.select("submission_id", "sha256", "institution_id", "return_type",
+                                  "reporting_period", "version"), f"{wh.ledger}_submissions")
+    intake.receipts(received).write.mode("append").json(wh.receipts)
+    ledger.append_events(ledger.status_events(received, "RECEIVED", F.col("received_at")), wh.ledger)
+    tables.append(decided.select("path", "bytes", "modified_at", "verdict", "reason"), f"{wh.ledger}_files")
 
     # 2. structural validation (invalid UTF-8 -> rejected without parsing)
-    decoded = received.where(~F.col("large")).withColumn("content", F.coalesce(F.col("content"), F.lit("")))
-    validated = structure.validate(decoded, contract).select(*VALIDATED_COLS)
+    bodies = files.where(~F.col("large")).select("file_path", F.coalesce("content", F.lit("")).alias("content"))
+    decoded = received.where(~F.col("large")).join(bodies, "file_path")
+    checked = tables.stage(spark, structure.validate(decoded, contract).select(*VALIDATED_COLS, "all_errors"), "checked")
+    validated, error_rows = checked.drop("all_errors"), structure.error_rows(checked)
     # the large files of a batch are few (each is at least large_bytes): their paths feed the scan
-    large_paths = [r.path for r in received.where(F.col("large")).select("path").collect()]
+    big = received.where(F.col("large"))
+    large_paths = [r.path for r in big.select("path").collect()]
     if large_paths:
-        summary, errors = structure_large.validate_large(spark, large_paths,
-                                                         received.select("path", "manifest"), contract)
-        big = received.where(F.col("large")).select("path", "submission_id", "raw_key", "sha256",
-                                                   "received_at", "large", "content") \
-            .join(structure_large.report_rows(summary, errors), "path")
+        records = tables.stage(spark, structure_large.numbered_records(spark, large_paths), "records")
+        summary, errors = structure_large.validate_large(
+            spark, large_paths, big.select(F.col("file_path").alias("path"), "manifest", "bom"), contract, records=records)
+        errors = tables.stage(spark, errors, "large-errors")
+        report = structure_large.report_rows(summary, errors).withColumnRenamed("path", "file_path")
+        big = big.withColumn("content", F.lit(None).cast("string")).join(report.withColumnRenamed("reason", "r"), "file_path") \
+            .drop("reason").withColumnRenamed("r", "reason")
         validated = validated.unionByName(big.select(*VALIDATED_COLS))
+        ids = big.select(F.col("file_path").alias("path"), "submission_id")
+        error_rows = error_rows.unionByName(errors.join(ids, "path").select(*error_rows.columns))
     validated = tables.stage(spark, validated, "validated")
     tables.write_reports(structure.report(validated), wh.reports)
+    tables.append(error_rows, wh.structural_errors)
+    ledger.append_events(ledger.status_events(
+        validated, F.col("status"), now, detail=F.struct(F.col("detail_errors").alias("errors")),
+        reason=F.col("reason")), wh.ledger)
 
     # 3. Bronze: typed rows of validated files, idempotent per submission
     ok = validated.where(F.col("status") == "VALIDATED")
-    parsed = structure.parse_records(ok.where(~F.col("large")), contract)
-    ok_large = [r.path for r in ok.where(F.col("large")).select("path").collect()]
-    if ok_large:
-        keys = ok.where(F.col("large")).select("path", "submission_id", "raw_key", "sha256")
-        big_rows = structure_large.parse_large(spark, ok_large, contract).join(keys, "path")
-        parsed = parsed.unionByName(big_rows.select(*parsed.columns))
+    parsed = structure.parse_records(ok.where(~F.col("large")), contract, keep=("submission_id", "path", "sha256"))
+    if large_paths:
+        keys = ok.where(F.col("large")).select("file_path", "submission_id", "path", "sha256")
+        lines = structure_large.parse_large(spark, large_paths, contract, records=records).withColumnRenamed("path", "file_path")
+        parsed = parsed.unionByName(lines.join(keys, "file_path").select(*parsed.columns))
     rows = bronze.with_audit(parsed, now)
-    periods = bronze.replace_submissions(spark, wh.bronze, rows)
     batch_sids = ok.select("submission_id")
+    periods = bronze.replace_submissions(spark, wh.bronze, rows, batch_sids)
     # the batch's reporting periods (a handful of values) prune every Bronze read below
     in_batch = F.col("reporting_period").isin(periods)
     loaded = spark.read.schema(BRONZE_LCR).parquet(wh.bronze).where(in_batch) \
         .join(batch_sids, "submission_id", "left_semi")
 
-    # 4. Bronze rules for the whole batch in one pass; empty submissions included
-    dq = quality.evaluate(loaded, rules, "bronze", submissions=batch_sids, checked_at=now)
+    # 4. Bronze rules for the whole batch in one pass; empty submissions included; the gate sees this run only
+    dq = tables.stage(spark, quality.evaluate(loaded, rules, "bronze", submissions=batch_sids, checked_at=now), "dq")
     tables.append(dq.withColumn("checked_day", F.to_date("checked_at")), wh.dq_results, ["checked_day"])
-    gate = quality.gate(spark.read.parquet(wh.dq_results).where(F.col("stage") == "bronze")
-                        .join(batch_sids, "submission_id", "left_semi"))
-
-    # 5./6. Silver and Gold (affected periods or full), model tests after each
+    gate = tables.stage(spark, quality.gate(dq), "gate")
+    ledger.append_events(ledger.status_events(
+        gate, F.col("status"), now,
+        reason=F.when(F.col("status") == "QUARANTINED", F.lit("blocking quality rule failed"))), wh.ledger)
+
+    def record(tests: DataFrame) -> None:
+        """Results of model tests are kept before a failed one stops the build."""
+        tables.append(tests.withColumn("checked_day", F.to_date("checked_at")), wh.dq_results, ["checked_day"])
+        checks.enforce(tests)
+
+    def swap(model: DataFrame, path: str) -> DataFrame:
+        """Put a staged model in place: the batch's periods, or all; returns its rows."""
+        if rebuild == "periods":
+            tables.overwrite_partitions(model, path, ["reporting_period"])
+            tables.drop_empty_partitions(spark, path, "reporting_period", periods, model)
+        else:
+            tables.create_or_replace(model, path, ["reporting_period"])
+        return spark.read.schema(model.schema).parquet(path)
+
+    # 5./6. Silver and Gold (affected periods or full), each tested on its staged form and then swapped in
     all_dq = spark.read.schema(DQ_RESULTS).parquet(wh.dq_results)
     source = spark.read.schema(BRONZE_LCR).parquet(wh.bronze)
     if rebuild == "periods":
         source = source.where(in_batch)
-    slv = silver.build_silver(source, all_dq, quarantine, grain)
-    if rebuild == "periods":
-        tables.overwrite_partitions(slv, wh.silver, ["reporting_period"])
-    else:
-        tables.create_or_replace(slv, wh.silver, ["reporting_period"])
-    slv = spark.read.parquet(wh.silver)
-    slv_batch = slv.where(in_batch) if rebuild == "periods" else slv
-    s_tests = checks.run_model_tests(slv_batch, checks.silver_tests(tuple(
-        r.line_code for r in reference.line_codes(spark).select("line_code").collect())), "silver", now)
-    checks.enforce(s_tests)
-    gld = gold.build_gold(slv_batch, reference.line_codes(spark), institutions,
-                          codes_rows=reference.code_list_rows("lcr_line_codes"))
-    if rebuild == "periods":
-        tables.overwrite_partitions(gld, wh.gold, ["reporting_period"])
-    else:
-        tables.create_or_replace(gld, wh.gold, ["reporting_period"])
-    gld = spark.read.parquet(wh.gold)
-    gld_batch = gld.where(in_batch) if rebuild == "periods" else gld
-    g_tests = checks.run_model_tests(gld_batch, checks.gold_tests(), "gold", now)
-    tests = s_tests.unionByName(g_tests)
-    tables.append(tests.withColumn("checked_day", F.to_date("checked_at")), wh.dq_results, ["checked_day"])
-    checks.enforce(g_tests)
-
-    # 7. ledger: lifecycle events of this batch, PUBLISHED for sids in Gold lineage
-    in_gold = gld_batch.select(F.explode(F.split("submission_ids", ",")).alias("submission_id")).distinct()
+    slv = tables.stage(spark, silver.build_silver(source, all_dq, quarantine, grain), "silver")
+    s_tests = tables.stage(spark, checks.run_model_tests(
+        slv, checks.silver_tests(tuple(reference.codes("lcr_line_codes"))), "silver", now), "silver-tests")
+    record(s_tests)
+    gld = tables.stage(spark, gold.build_gold(slv, reference.line_codes(spark), institutions,
+                                              codes_rows=reference.code_list_rows("lcr_line_codes")), "gold")
+    silver_now = swap(slv, wh.silver)
+    g_tests = tables.stage(spark, checks.run_model_tests(gld, checks.gold_tests(), "gold", now), "gold-tests")
+    record(g_tests)
+    gold_now = swap(gld, wh.gold)
+
+    # 7. PUBLISHED for accepted submissions in Gold lineage
+    in_gold = gld.select(F.explode(F.split("submission_ids", ",")).alias("submission_id")).distinct()
     accepted = gate.where(F.col("status") == "ACCEPTED").join(in_gold, "submission_id", "left_semi")
-    events = (ledger.status_events(received, "RECEIVED", F.col("received_at"))
-              .unionByName(ledger.status_events(
-                  validated, F.col("status"), now, detail=F.struct(F.col("detail_errors").alias("errors")),
-                  reason=F.col("reason")))
-              .unionByName(ledger.status_events(
-                  gate, F.col("status"), now,
-                  reason=F.when(F.col("status") == "QUARANTINED", F.lit("blocking quality rule failed"))))
-              .unionByName(ledger.status_events(accepted, "PUBLISHED", now)))
-    ledger.append_events(events, wh.ledger)
-    tables.append(received.select("submission_id", "sha256", "institution_id", "return_type",
-                                  "reporting_period", "version"), f"{wh.ledger}_submissions")
+    ledger.append_events(ledger.status_events(accepted, "PUBLISHED", now), wh.ledger)
+    if database:
+        declare_tables(spark, warehouse, database)
     return {"intake": decided, "validated": validated, "bronze": loaded, "dq": dq, "gate": gate,
-            "silver": slv, "gold": gld, "tests": tests,
+            "silver": silver_now, "gold": gold_now, "tests": s_tests.unionByName(g_tests),
             "status": ledger.current_status(spark.read.parquet(wh.ledger))}

@@ -8,6 +8,7 @@ views by the checker.
 
 from __future__ import annotations
 
+# The code lists of the contract, spelled out for SQL.
 LINE_CODES_SQL = "['HQLA_L1', 'HQLA_L2A', 'HQLA_L2B', 'OUT_RETAIL', 'OUT_WHOLESALE', 'OUT_OTHER', 'IN_TOTAL']"
 RUN1 = "TIMESTAMP '2024-01-01 06:00:00'"
 RUN2 = "TIMESTAMP '2024-02-01 06:00:00'"
@@ -24,7 +25,7 @@ CODES = """codes AS (
 
 
 def inst_id(expr: str, n: int) -> str:
-    return f"'FI' || lpad(CAST({expr} % {n} + 1 AS VARCHAR), 3, '0')"
+    return f"'FI' || lpad(CAST(({expr}) % {n} + 1 AS VARCHAR), 3, '0')"
 
 
 def lines_cte(name: str, n: int, faults: bool) -> str:
@@ -32,29 +33,30 @@ def lines_cte(name: str, n: int, faults: bool) -> str:
     currency = "'MYR'"
     amount = "CAST(l.l_extendedprice AS DECIMAL(20,2))"
     if faults:
-        line_code = f"CASE WHEN l.l_orderkey % 71 = 0 THEN NULL ELSE {line_code} END"
+        line_code = f"CASE WHEN l.l_orderkey % 71 = 0 THEN NULL WHEN l.l_orderkey % 73 = 0 THEN 'HQLA_X' ELSE {line_code} END"
         currency = ("CASE WHEN l.l_partkey % 97 = 0 THEN 'XXX' WHEN l.l_partkey % 89 = 0 THEN NULL "
                     "ELSE 'MYR' END")
         amount = (f"CASE WHEN l.l_partkey % 79 = 0 THEN NULL WHEN l.l_orderkey % 83 = 0 THEN -{amount} "
                   f"ELSE {amount} END")
     return f"""{name}_0 AS (
-  SELECT {inst_id('l.l_suppkey', n)} AS institution_id,
+  SELECT {inst_id('CASE WHEN l.l_orderkey % 3 = 0 THEN l.l_orderkey ELSE l.l_suppkey END', n)} AS institution_id,
          strftime(o.o_orderdate, '%Y-%m') AS reporting_period,
          {line_code} AS line_code,
          {currency} AS currency,
          {amount} AS amount,
-         CAST(floor(l.l_quantity) AS INTEGER) % 3 + 1 AS submission_version,
+         CASE WHEN l.l_orderkey % 3 = 0 THEN CAST(l.l_orderkey % 1000000000 AS INTEGER) + 4
+              ELSE CAST(floor(l.l_quantity) AS INTEGER) % 3 + 1 END AS submission_version,
          l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 {name} AS (
   SELECT *, institution_id || '-LCR-' || reporting_period || '-v' || CAST(submission_version AS VARCHAR)
             AS submission_id,
-         CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + (submission_version * 5 + 5) AS TIMESTAMP)
+         CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + (((submission_version - 1) % 3 + 1) * 5 + 5) AS TIMESTAMP)
             AS loaded_at
   FROM {name}_0)"""
 
 
-def bronze_cte(name: str = "bronze", n: int = 5) -> str:
+def bronze_cte(name: str = "bronze", n: int = 999) -> str:
     """Pre-summed Bronze (one row per submission, line, currency)."""
     return lines_cte(f"{name}_lines", n, False) + f""",
 {name} AS (
@@ -75,7 +77,7 @@ def institutions_cte(name: str, n: int) -> str:
          arg_min(nt.n_name, s.s_suppkey) AS peer_group,
          CASE WHEN sum(s.s_acctbal) < 0 THEN 'SMALL' WHEN sum(s.s_acctbal) < 20000 THEN 'MEDIUM'
               ELSE 'LARGE' END AS size_band,
-         DATE '1995-01-01' + CAST(min(s.s_suppkey) * 45 AS INTEGER) AS active_from
+         DATE '1995-01-01' + CAST(min(s.s_suppkey) % 80 * 45 AS INTEGER) AS active_from
   FROM supplier s LEFT JOIN nation nt ON s.s_nationkey = nt.n_nationkey
   GROUP BY 1)"""
 
@@ -154,7 +156,7 @@ gold AS (
 
 
 def chain_ctes(max_version: int | None = None, grain: str = "line") -> str:
-    bronze = bronze_cte("bronze_all", 5)
+    bronze = bronze_cte("bronze_all", 999)
     filt = f"WHERE submission_version <= {max_version}" if max_version else ""
     silver = silver_cte("silver", "eligible_bronze", "quarantined")
     if grain == "submission":
@@ -171,7 +173,7 @@ eligible_bronze AS (SELECT * FROM bronze_all {filt}),
 {rule_results_cte('dq', 'fails', RUN1)},
 {quarantine_cte('quarantined', 'dq')},
 {silver},
-{institutions_cte('inst', 5)},
+{institutions_cte('inst', 999)},
 {CODES},
 {gold_select('silver', 'inst')}"""
 
@@ -188,7 +190,7 @@ SQL["lcr_gold_asof"] = chain_ctes(max_version=2) + f"\nSELECT {GOLD_COLS} FROM g
 
 # --------------------------------------------------------------- rules engine
 
-RULES_BASE = f"""WITH {lines_cte('rin', 45, True)},
+RULES_BASE = f"""WITH {lines_cte('rin', 999, True)},
 {rule_failures_cte('fails', 'rin')},
 {rule_results_cte('dq', 'fails', RUN1)}"""
 
@@ -214,8 +216,8 @@ SELECT 'LCR-101' AS rule_id, institution_id, 'warning' AS severity, count(*) AS
          AS outcome
 FROM gold GROUP BY institution_id"""
 
-HISTORY = f"""WITH {lines_cte('rin', 45, True)},
-{lines_cte('clean', 45, False)},
+HISTORY = f"""WITH {lines_cte('rin', 999, True)},
+{lines_cte('clean', 999, False)},
 {rule_failures_cte('fails1', 'rin')},
 {rule_results_cte('dq1', 'fails1', RUN1)},
 {rule_failures_cte('fails2', 'clean')},
@@ -283,7 +285,7 @@ SELECT * FROM (
          CASE WHEN count(*) FILTER (WHERE NOT (lcr_ratio BETWEEN 0.5 AND 10)) = 0 THEN 'PASS' ELSE 'FAIL' END
   FROM gold)"""
 
-SQL["checks_one_current_version"] = f"""WITH {lines_cte('clean', 45, False)},
+SQL["checks_one_current_version"] = f"""WITH {lines_cte('clean', 999, False)},
 {silver_cte('silver', 'clean', None)},
 dup AS (SELECT institution_id, reporting_period, line_code, currency, count(*) AS n
         FROM silver GROUP BY ALL HAVING count(*) > 1)
@@ -306,7 +308,7 @@ def _q(s: str) -> str:
 
 STRUCT_BASE = f"""WITH files AS (
   SELECT o.o_orderkey,
-         'FI' || lpad(CAST(o.o_custkey % 45 + 1 AS VARCHAR), 3, '0') AS inst,
+         'FI' || lpad(CAST(o.o_custkey % 999 + 1 AS VARCHAR), 3, '0') AS inst,
          strftime(o.o_orderdate, '%Y-%m') AS period,
          CAST(o.o_orderkey + 1 AS INTEGER) AS version,
          CASE WHEN o.o_orderkey % 31 = 0 THEN 1 WHEN o.o_orderkey % 37 = 0 THEN 2 ELSE 0 END AS htype
@@ -406,7 +408,7 @@ NAME_RE = r"^(FI[0-9]{3})_(LCR)_([0-9]{4}-[0-9]{2})_v([0-9]+)\.csv$"
 
 INTAKE_BASE = f"""WITH lf AS (
   SELECT doc_id, text,
-         'FI' || lpad(CAST(doc_id % 45 + 1 AS VARCHAR), 3, '0') || '_LCR_2024-'
+         'FI' || lpad(CAST(doc_id % 999 + 1 AS VARCHAR), 3, '0') || '_LCR_2024-'
            || lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') || '_v' || CAST(doc_id % 2 + 1 AS VARCHAR)
            || '.csv' AS good
   FROM documents),
@@ -461,6 +463,11 @@ verdicts AS (
               WHEN n.rn_name > 1 THEN 'version already received' END AS reason
   FROM keyed k LEFT JOIN by_sha s ON k.path = s.path LEFT JOIN by_name n ON k.path = n.path)"""
 
+SQL["intake_receipts"] = INTAKE_BASE + """
+SELECT submission_id, '{"submission_id":"' || submission_id || '","status":"RECEIVED","raw_uri":"raw/' || raw_key
+       || '","sha256":"' || sha256 || '","received_at":"' || CAST(received_at AS VARCHAR) || '"}' AS receipt
+FROM verdicts WHERE verdict = 'RECEIVED'"""
+
 SQL["intake_name_parse"] = INTAKE_BASE + """
 SELECT path, file_name, name_ok, institution_id, return_type, reporting_period, version, submission_id, raw_key
 FROM keyed"""
@@ -519,14 +526,27 @@ SELECT institution_id, reporting_period, line_code, currency, amount, submission
 FROM {src}"""
 
 
-SQL["bronze_replay_replace"] = f"""WITH {lines_cte('clean', 45, False)},
-{lines_cte('rin', 45, True)},
+SQL["bronze_replay_replace"] = f"""WITH {lines_cte('clean', 999, False)},
+{lines_cte('rin', 999, True)},
 base AS ({audit_select('clean')}),
 replay AS ({audit_select('rin')} WHERE submission_version = 3)
 SELECT * FROM base WHERE submission_id NOT IN (SELECT submission_id FROM replay)
 UNION ALL
 SELECT * FROM replay"""
 
+SQL["bronze_moved_emptied"] = f"""WITH {lines_cte('clean', 999, False)},
+base AS ({audit_select('clean')})
+SELECT * FROM base WHERE submission_version <> 3 AND NOT (submission_version = 2 AND institution_id LIKE '%7')
+UNION ALL
+SELECT * REPLACE (CAST(CAST(reporting_period[1:4] AS INTEGER) + 1 AS VARCHAR) || reporting_period[5:7] AS reporting_period)
+FROM base WHERE submission_version = 3"""
+
+SQL["dq_results_by_day"] = HISTORY + """
+SELECT CAST(checked_at AS DATE) AS checked_day, rule_id, outcome, count(*) AS results FROM hist GROUP BY ALL"""
+
+SQL["orders_evolving"] = """SELECT o_orderkey, o_orderdate,
+       CASE WHEN o_orderkey % 2 <> 0 THEN o_totalprice END AS o_totalprice FROM orders"""
+
 # ------------------------------------------------------------- payment events
 
 EVENTS_BASE = """WITH ev AS (
@@ -536,10 +556,10 @@ EVENTS_BASE = """WITH ev AS (
   FROM events),
 typed AS (
   SELECT CAST(eid AS VARCHAR) AS event_id,
-         'FI' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 3, '0') AS institution_id,
+         'FI' || lpad(CAST(user_id % 999 + 1 AS VARCHAR), 3, '0') AS institution_id,
          epoch_us(ts - to_minutes(CAST(shift AS BIGINT))) // 1000 AS event_time,
          (['RTGS', 'INSTANT', 'CARD', 'CHEQUE'])[user_id % 4 + 1] AS payment_system,
-         CASE WHEN eid % 2 = 0 THEN 'OUT' ELSE 'IN' END AS direction,
+         CASE WHEN eid % 140 = 7 THEN 'BOTH' WHEN eid % 2 = 0 THEN 'OUT' ELSE 'IN' END AS direction,
          value AS amount, 'MYR' AS currency,
          CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SETTLED' END AS status,
          eid % 250 = 0 AS malformed, ts AS arrival, eid
@@ -644,7 +664,7 @@ SQL["mixed_batch_stream"] = _mixed()
 
 # ------------------------------------------------------ contract capabilities
 
-SQL["codelist_violations"] = f"""WITH {lines_cte('rin', 45, True)},
+SQL["codelist_violations"] = f"""WITH {lines_cte('rin', 999, True)},
 bad AS (
   SELECT submission_id, 'line_code' AS "column", line_code AS value FROM rin
   WHERE line_code IS NOT NULL AND line_code NOT IN
@@ -679,7 +699,7 @@ v AS (
   UNION ALL SELECT submission_id, line_no, 10, 'amount', 'below minimum' FROM typed WHERE amount < 0)
 SELECT submission_id, line_no, property, violation FROM v"""
 
-SQL["deadline_timeliness"] = f"""WITH {lines_cte('rin', 45, True)},
+SQL["deadline_timeliness"] = f"""WITH {lines_cte('rin', 999, True)},
 subs AS (SELECT submission_id, reporting_period, min(loaded_at) AS received_at FROM rin GROUP BY ALL),
 d AS (SELECT *, CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + 15 AS DATE) AS deadline FROM subs)
 SELECT submission_id, reporting_period, deadline, received_at,
@@ -705,11 +725,12 @@ HAVING CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 120 MON
 
 SQL["tokenise_ids"] = chain_ctes() + """
 SELECT sha256('lakepipe' || institution_id) AS institution_id, reporting_period, line_code, currency, amount,
-       submission_id, submission_version, bronze_loaded_at
+       sha256('lakepipe' || institution_id) || substr(submission_id, length(institution_id) + 1) AS submission_id,
+       submission_version, bronze_loaded_at
 FROM silver"""
 
-SQL["expected_vs_received"] = f"""WITH {lines_cte('rin', 45, True)},
-{institutions_cte('inst', 45)},
+SQL["expected_vs_received"] = f"""WITH {lines_cte('rin', 999, True)},
+{institutions_cte('inst', 999)},
 onb AS (SELECT institution_id, CAST(strftime(active_from, '%Y-%m') || '-01' AS DATE) AS first_day FROM inst),
 expected AS (
   SELECT institution_id, strftime(unnest(generate_series(first_day, DATE '2001-08-01', INTERVAL 1 MONTH)), '%Y-%m')
@@ -720,13 +741,18 @@ SELECT e.institution_id, e.reporting_period FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM received r
                   WHERE r.institution_id = e.institution_id AND r.reporting_period = e.reporting_period)"""
 
-SQL["bitemporal_reference"] = f"""WITH {bronze_cte('b', 5)},
-{institutions_cte('inst', 5)},
+SQL["bitemporal_reference"] = f"""WITH {bronze_cte('b', 999)},
+{institutions_cte('one', 999)},
+inst AS (
+  SELECT institution_id, institution_name, peer_group, active_from FROM one
+  UNION ALL
+  SELECT institution_id, institution_name || ' II', peer_group, active_from + 1826 FROM one),
 facts AS (SELECT DISTINCT institution_id, reporting_period FROM b)
 SELECT f.institution_id, f.reporting_period, i.institution_name, i.peer_group, i.active_from
 FROM facts f LEFT JOIN inst i
   ON f.institution_id = i.institution_id
- AND i.active_from <= last_day(CAST(f.reporting_period || '-01' AS DATE))"""
+ AND i.active_from <= last_day(CAST(f.reporting_period || '-01' AS DATE))
+QUALIFY row_number() OVER (PARTITION BY f.institution_id, f.reporting_period ORDER BY i.active_from DESC) = 1"""
 
 SQL["event_rules"] = EVENTS_BASE + """,
 batches AS (SELECT *, strftime(arrival, '%Y-%m-%d') AS batch_id FROM good),

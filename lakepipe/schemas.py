@@ -59,7 +59,8 @@ SUBMISSION_EVENT = T.StructType([
     T.StructField("created_at", T.TimestampNTZType()),
 ])
 
-# Payment event as produced on the topic (event_time is epoch milliseconds).
+# The payment event as produced on the topic, names in the producer's order
+# (event_time is epoch milliseconds).
 PAYMENT_EVENT = T.StructType([
     T.StructField("event_id", S),
     T.StructField("institution_id", S),

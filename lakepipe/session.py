@@ -33,18 +33,22 @@ ENGINE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Fixed value: the supervisor's time zone.
+SUPERVISOR_ZONE = "Asia/Kuala_Lumpur"
+
 
 def build_session(master: str | None = None, app: str = "lakepipe",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, time_zone: str = SUPERVISOR_ZONE) -> SparkSession:
     """Build (or fetch) a session with the engine's settings.
 
     ``master`` is only for local runs; on a cluster the submitter sets it.
+    ``time_zone``: the zone that days and deadlines are counted in.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in ENGINE_CONF.items():
+    for k, v in (ENGINE_CONF | {"spark.sql.session.timeZone": time_zone}).items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -64,8 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset: local/test session only.
-        conf_dir = tempfile.mkdtemp(prefix="lakepipe-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="lakepipe-ckpt-")      # local sessions and tests
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -76,30 +81,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/lakepipe-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need a plain path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def set_pipeline_time_zone(spark: SparkSession, tz: str | None = None) -> None:
-    """Day partitioning and deadline logic use the supervisor's zone."""
-    spark.conf.set("spark.sql.session.timeZone", tz or "Asia/Kuala_Lumpur")
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Partition sizing for a given input volume and cluster.
 
-    Scan splits and shuffle partitions target ~128 MB so a task's share fits
-    in executor memory with room to spill; the initial shuffle partition
-    count covers the whole input at that size (at least 3 waves of tasks) and
-    AQE coalesces the small ones.  E.g. 100 TB on 8,000 cores: 819,200 scan
-    splits, 819,200 initial shuffle partitions, coalesced at runtime.
+    Scan splits target ~128 MB so a task's share fits in executor memory with
+    room to spill.  Shuffle partitions cover the input at that size, but not
+    more than MAX_SHUFFLE_PARTITIONS, as every map task reports a size for each
+    of them: beyond that they grow larger (AQE coalesces the small ones, and
+    operators shuffle columns, not whole inputs).  E.g. 100 TB on 8,000 cores:
+    512 MB splits, 32,768 shuffle partitions.
     """
-    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    if input_bytes // target_partition_bytes > 8 * MAX_SHUFFLE_PARTITIONS:
+        target_partition_bytes *= 4
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(3 * total_cores, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

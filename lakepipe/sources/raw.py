@@ -20,68 +20,84 @@ MANIFEST_SUFFIX = ".manifest.json"
 LARGE_FILE_BYTES = 256 * 1024 * 1024
 
 
-def _binary(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root))
+# Hadoop's names of object-store schemes, by those of the Arrow file systems that hash large files.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
-def scan_files(spark: SparkSession, root: str, glob: str = "*.csv",
-               max_bytes: int | None = None) -> DataFrame:
-    """path, file_name, bytes, sha256, utf8_ok, content (NULL when not UTF-8), modified_at.
+def _binary(spark: SparkSession, root) -> DataFrame:
+    """All files but manifests, whatever their names: what is no submission needs a verdict too (B1)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .where(~F.col("path").endswith(MANIFEST_SUFFIX)))
+
+
+def _described(files: DataFrame) -> list:
+    """``file_path`` is the path as Spark's metadata encodes it, the same for every reader."""
+    return [F.col("path"), F.col("_metadata.file_path").alias("file_path"),
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("bytes"),
+            F.col("modificationTime").cast("timestamp_ntz").alias("modified_at")]
+
+
+def list_files(spark: SparkSession, root) -> DataFrame:
+    """Listing of a folder without its manifests; no file is opened."""
+    files = _binary(spark, root)
+    return files.select(*_described(files))
+
+
+def scan_files(spark: SparkSession, root, max_bytes: int | None = None) -> DataFrame:
+    """list_files plus sha256, utf8_ok, content (NULL when not UTF-8).
 
     With ``max_bytes`` only files up to that size are read (the length filter
     is pushed into the binary-file scan, so larger files' bytes are not read).
     """
-    raw = _binary(spark, root, glob)
+    raw = _binary(spark, root)
     if max_bytes is not None:
         raw = raw.where(F.col("length") <= max_bytes)
     as_text = F.col("content").cast("string")
     return raw.select(
-        F.col("path"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("bytes"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-        F.is_valid_utf8(as_text).alias("utf8_ok"),
-        F.when(F.is_valid_utf8(as_text), as_text).alias("content"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"))
-
-
-def _sha256_chunks(batches):
-    """SHA-256 of whole files read in 8 MB chunks through the Arrow file system layer."""
-    import hashlib
-
-    import pandas as pd
-    from pyarrow import fs
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            filesystem, p = fs.FileSystem.from_uri(path)
-            h = hashlib.sha256()
-            with filesystem.open_input_stream(p) as stream:
-                while chunk := stream.read(8 << 20):
-                    h.update(chunk)
-            out.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "sha256": out})
-
-
-def scan_large_files(spark: SparkSession, root: str, glob: str = "*.csv",
-                     min_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """Large files without loading them into rows: path, file_name, bytes, sha256, modified_at.
+        *_described(raw), F.sha2(F.col("content"), 256).alias("sha256"), F.is_valid_utf8(as_text).alias("utf8_ok"),
+        F.when(F.is_valid_utf8(as_text), as_text).alias("content"))
+
+
+def _sha256_chunks(file_system, schemes):
+    def run(batches):
+        """SHA-256 of whole files read in 8 MB chunks, and whether they begin with a byte-order mark."""
+        import hashlib
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for pdf in batches:
+            sums, marks = [], []
+            for path in pdf["file_path"]:
+                scheme, _, rest = path.partition(":")
+                found, p = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+                h, mark = hashlib.sha256(), None
+                with (file_system or found).open_input_stream(p) as stream:
+                    while chunk := stream.read(8 << 20):
+                        mark = chunk[:3] == b"\xef\xbb\xbf" if mark is None else mark
+                        h.update(chunk)
+                sums.append(h.hexdigest())
+                marks.append(bool(mark))
+            yield pd.DataFrame({"file_path": pdf["file_path"], "sha256": sums, "bom": marks})
+    return run
+
+
+def scan_large_files(spark: SparkSession, root, min_bytes: int = LARGE_FILE_BYTES, file_system=None) -> DataFrame:
+    """list_files of large files plus sha256 and bom, without loading them into rows.
 
     The checksum is one sequential read per file (inherent to SHA-256) in
-    bounded memory; files hash in parallel across tasks.
+    bounded memory; files hash in parallel across tasks.  ``file_system``: an
+    Arrow file system to read with, where the address alone is not enough
+    (credentials, endpoints).
     """
-    meta = (_binary(spark, root, glob).where(F.col("length") > min_bytes)
-            .select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                    F.col("length").alias("bytes"),
-                    F.col("modificationTime").cast("timestamp_ntz").alias("modified_at")))
-    sha = meta.select("path").repartition("path").mapInPandas(_sha256_chunks, "path string, sha256 string")
-    return meta.join(sha, "path")
+    meta = list_files(spark, root).where(F.col("bytes") > min_bytes)
+    sha = meta.select("file_path").repartition("file_path").mapInPandas(
+        _sha256_chunks(file_system, ARROW_SCHEMES), "file_path string, sha256 string, bom boolean")
+    return meta.join(sha, "file_path")
 
 
 def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """data_path (the file the manifest describes), manifest struct, manifest_text."""
+    """data_path (the encoded path of the file the manifest describes), manifest struct, manifest_text."""
     m = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", f"*{MANIFEST_SUFFIX}").text(root)
          .withColumn("mpath", F.col("_metadata.file_path")))
@@ -91,18 +107,19 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
         F.col("value").alias("manifest_text"))
 
 
-def files_with_manifests(spark: SparkSession, root: str, glob: str = "*.csv",
-                         large_bytes: int | None = None) -> DataFrame:
+def files_with_manifests(spark: SparkSession, root: str, large_bytes: int | None = None, paths: list[str] | None = None,
+                         file_system=None) -> DataFrame:
     """Files left-joined to their manifests (B2: missing manifest -> NULL).
 
-    With ``large_bytes`` files above it come without ``content`` (``large`` =
-    true, ``utf8_ok`` NULL) and are validated by the splittable path.
+    ``paths``: only these files of the folder.  With ``large_bytes`` files
+    above it come without ``content`` (``large`` = true, ``utf8_ok`` NULL) and
+    are validated by the splittable path.
     """
-    files = scan_files(spark, root, glob, large_bytes).withColumn("large", F.lit(False))
+    where = root if paths is None else paths
+    files = scan_files(spark, where, large_bytes).withColumns({"large": F.lit(False), "bom": F.lit(None).cast("boolean")})
     if large_bytes is not None:
-        big = scan_large_files(spark, root, glob, large_bytes).select(
-            "path", "file_name", "bytes", "sha256", F.lit(None).cast("boolean").alias("utf8_ok"),
-            F.lit(None).cast("string").alias("content"), "modified_at", F.lit(True).alias("large"))
+        big = scan_large_files(spark, where, large_bytes, file_system).withColumns({
+            "utf8_ok": F.lit(None).cast("boolean"), "content": F.lit(None).cast("string"), "large": F.lit(True)})
         files = files.unionByName(big)
     mans = scan_manifests(spark, root)
-    return files.join(mans, files.path == mans.data_path, "left").drop("data_path")
+    return files.join(mans, files.file_path == mans.data_path, "left").drop("data_path")

@@ -65,6 +65,11 @@ def code_list_rows(name: str) -> int:
     return len(_packaged_rows(name))
 
 
+def codes(name: str) -> list[str]:
+    """The codes of a packaged code list (its first column)."""
+    return [r[0] for r in _packaged_rows(name)]
+
+
 def read_reference(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One reference CSV with its explicit schema (no inference pass)."""
     return (spark.read.schema(REFERENCE_SCHEMAS[name]).option("header", True)

@@ -25,9 +25,10 @@ LINE_CODES = ["HQLA_L1", "HQLA_L2A", "HQLA_L2B", "OUT_RETAIL", "OUT_WHOLESALE",
 INSTITUTION_TYPES = ["COMMERCIAL_BANK", "ISLAMIC_BANK", "INVESTMENT_BANK", "DFI"]
 PAYMENT_SYSTEMS = ["RTGS", "INSTANT", "CARD", "CHEQUE"]
 
-N_GOLD = 5        # institutions in the Silver/Gold relations
-N_RULES = 45      # institutions in the rule-test relations
-N_FILES = 45      # institutions of the order-derived submission files
+# Institution ids have three digits, so there are as many institutions as source keys up to 999.
+N_GOLD = N_RULES = N_FILES = 999
+# Versions of submissions made from a whole order start here, those of lines dealt out by supplier are 1 to 3.
+ORDER_VERSION = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +49,9 @@ def _line_code(linenumber: str) -> Column:
 
 
 def _loaded_at(period: Column, version: Column) -> Column:
-    """Load time of a version: 5 days per version after the period's end + 5 days."""
+    """Load time of a version: 5 days per version (they repeat after three) after the period's end + 5 days."""
     end = F.last_day(F.to_date(F.concat(period, F.lit("-01"))))
-    return F.date_add(end, version * 5 + 5).cast("timestamp_ntz")
+    return F.date_add(end, ((version - 1) % 3 + 1) * 5 + 5).cast("timestamp_ntz")
 
 
 def lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,18 +66,23 @@ def lcr_lines(spark: SparkSession, sf_dir: str, n: int, faults: bool = False,
               base: DataFrame | None = None) -> DataFrame:
     """One LCR submission line per lineitem (lineitem join orders).
 
-    With ``faults`` the rule-test variant injects NULLs, negative amounts and an
+    Every third order is a submission of its own: with seven lines it is a
+    complete return, whatever the scale.  The other lines are dealt out by
+    supplier, month and quantity.  With ``faults`` the rule-test variant injects NULLs, negative amounts and an
     unknown currency.  ``base``: an already materialised ``lineitem_orders``.
     """
     j = base if base is not None else lineitem_orders(spark, sf_dir)
-    inst = institution_id("l_suppkey", n)
+    own = F.col("l_orderkey") % 3 == 0
+    inst = institution_id(F.when(own, F.col("l_orderkey")).otherwise(F.col("l_suppkey")), n)
     period = _period("o_orderdate")
-    version = (F.floor("l_quantity").cast("int") % 3 + 1)
+    version = F.when(own, (F.col("l_orderkey") % 1000000000).cast("int") + ORDER_VERSION).otherwise(
+        F.floor("l_quantity").cast("int") % 3 + 1)
     line_code = _line_code("l_linenumber")
     currency = F.lit("MYR")
     amount = F.col("l_extendedprice").cast("decimal(20,2)")
     if faults:
-        line_code = F.when(F.col("l_orderkey") % 71 == 0, F.lit(None).cast("string")).otherwise(line_code)
+        line_code = (F.when(F.col("l_orderkey") % 71 == 0, F.lit(None).cast("string"))
+                     .when(F.col("l_orderkey") % 73 == 0, F.lit("HQLA_X")).otherwise(line_code))
         currency = (F.when(F.col("l_partkey") % 97 == 0, F.lit("XXX"))
                     .when(F.col("l_partkey") % 89 == 0, F.lit(None).cast("string"))
                     .otherwise(currency))
@@ -147,7 +153,15 @@ def institutions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
         F.when(F.col("bal") < 0, F.lit("SMALL")).when(F.col("bal") < 20000, F.lit("MEDIUM"))
          .otherwise(F.lit("LARGE")).alias("size_band"),
         F.date_add(F.lit("1995-01-01").cast("date"),
-                   (F.col("f.s_suppkey") * 45).cast("int")).alias("active_from"))
+                   (F.col("f.s_suppkey") % 80 * 45).cast("int")).alias("active_from"))
+
+
+def institution_versions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Institutions with a second version five years after the first."""
+    first = institutions(spark, sf_dir, n)
+    second = first.withColumns({"institution_name": F.concat("institution_name", F.lit(" II")),
+                                "active_from": F.date_add("active_from", 1826)})
+    return first.unionByName(second)
 
 
 # ------------------------------------------------------- submission files
@@ -246,7 +260,7 @@ def landing_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFra
 
 # ------------------------------------------------------------ payment events
 
-N_PAY_INST = 10
+N_PAY_INST = 999
 SENTINEL_INST = "SENTINEL"
 
 
@@ -254,7 +268,7 @@ def payment_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payments topic as JSON lines: value, arrival (ingest time), copy.
 
     One event per ``events`` row; injected: events 1-4 minutes late
-    (event_id % 50), 7 minutes late (% 170), re-sent copies (% 100) arriving
+    (event_id % 50), 7 minutes late (% 170), an unknown direction (% 140), re-sent copies (% 100) arriving
     30 s later, or 15 min later (% 300), malformed JSON (% 250).
     """
     from lakepipe.functions.columns import ntz_to_epoch_millis
@@ -269,7 +283,7 @@ def payment_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         institution_id("user_id", N_PAY_INST).alias("institution_id"),
         event_time.alias("event_time"),
         F.element_at(systems, (F.col("user_id") % 4 + 1).cast("int")).alias("payment_system"),
-        F.when(eid % 2 == 0, F.lit("OUT")).otherwise(F.lit("IN")).alias("direction"),
+        F.when(eid % 140 == 7, F.lit("BOTH")).when(eid % 2 == 0, F.lit("OUT")).otherwise(F.lit("IN")).alias("direction"),
         F.col("value").alias("amount"),
         F.lit("MYR").alias("currency"),
         F.when(F.col("event_type") == "error", F.lit("FAILED"))

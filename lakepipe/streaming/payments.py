@@ -11,9 +11,13 @@ computed from epoch milliseconds, independent of the session time zone.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from lakepipe.contracts import load_event_contract, load_rules
 from lakepipe.functions.columns import epoch_millis_to_ntz
@@ -21,9 +25,13 @@ from lakepipe.operators import quality
 from lakepipe.schemas import PAYMENT_EVENT
 
 CORRUPT = "_corrupt_record"
+# The contract's allowed lateness, dedup horizon and window.
 LATENESS = "5 minutes"
 DEDUP_HORIZON = "10 minutes"
 WINDOW = "1 minute"
+# Totals add up amounts exactly in this type; an amount beyond it goes to the dead letters.
+TOTAL_TYPE = "decimal(38,10)"
+MALFORMED, OUT_OF_RANGE = "malformed JSON", "amount out of range"
 
 
 def _wall_clock(ts: Column) -> Column:
@@ -65,30 +73,37 @@ def parse_events(raw: DataFrame, on_error: str = "dlq") -> DataFrame:
     extra = [c for c in raw.columns if c not in [f.name for f in PAYMENT_EVENT.fields]]
     p = raw.select(*extra, F.from_json("value", schema, opts).alias("e"))
     cols = [F.col(f"e.{f.name}").alias(f.name) for f in PAYMENT_EVENT.fields]
-    bad = F.col(f"e.{CORRUPT}").isNotNull() | F.col("e").isNull()
-    return p.select(*extra, *cols, bad.alias("parse_error")).withColumn(
+    amount = F.col("e.amount")
+    error = (F.when(F.col(f"e.{CORRUPT}").isNotNull() | F.col("e").isNull(), F.lit(MALFORMED))
+             .when(amount.isNotNull() & amount.try_cast(TOTAL_TYPE).isNull(), F.lit(OUT_OF_RANGE)))
+    return p.select(*extra, *cols, error.isNotNull().alias("parse_error"), error.alias("error")).withColumn(
         "ts", F.timestamp_millis(F.col("event_time")))
 
 
 def good_events(parsed: DataFrame) -> DataFrame:
-    return parsed.where(~F.col("parse_error")).drop("parse_error")
+    return parsed.where(~F.col("parse_error")).drop("parse_error", "error")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
-    """Malformed records with the reason, for the dead-letter sink (L1)."""
-    return parsed.where(F.col("parse_error")).select(
-        F.col("value"), F.lit("malformed JSON").alias("error"))
+    """Records that cannot be processed, with the reason, for the dead-letter sink (L1)."""
+    return parsed.where(F.col("parse_error")).select("value", "error")
 
 
 # --------------------------------------------------------------------- dedup
 
-def deduplicate(events: DataFrame, mode: str = "exact") -> DataFrame:
+def deduplicate(events: DataFrame, mode: str = "exact", order: str | None = "arrival") -> DataFrame:
     """Keep the first occurrence per event_id.
 
     ``exact``: no expiry, late copies are still removed (unbounded state; use
     the RocksDB state store).  ``bounded``: the contract's 10-minute horizon
-    (L2); state expires with the watermark, copies further apart pass.
+    (L2); state expires with the watermark, copies further apart pass.  A
+    static table keeps the copy that is first by the column ``order``, if it
+    has one; a stream keeps the one it meets first.
     """
+    if mode == "exact" and not events.isStreaming and order in events.columns:
+        rest = [c for c in events.columns if c not in (order, "event_id")]
+        first = events.groupBy("event_id").agg(F.min(F.struct(order, *rest)).alias("e"))
+        return first.select(*[F.col(c) if c == "event_id" else F.col(f"e.{c}") for c in events.columns])
     if mode == "exact":
         return events.dropDuplicates(["event_id"])
     if mode == "bounded":
@@ -115,7 +130,7 @@ def minute_stats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
          .groupBy(F.window("ts", WINDOW), "institution_id", "payment_system")
          .agg(F.count(F.lit(1)).alias("event_count"),
               # exact (order-free) accumulation, reported as double
-              F.sum(F.col("amount").cast("decimal(38,10)")).cast("double").alias("total_amount"),
+              F.sum(F.col("amount").cast(TOTAL_TYPE)).cast("double").alias("total_amount"),
               F.count_if(F.col("status") == "FAILED").alias("failed_count")))
     return w.select(_wall_clock(F.col("window.start")).alias("window_start"),
                     _wall_clock(F.col("window.end")).alias("window_end"),
@@ -159,40 +174,66 @@ def enum_violations(events: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- the job
 
+def sink_run(spark: SparkSession, checkpoint_root: str) -> str:
+    """A name for the runs that share a checkpoint, kept beside it.
+
+    Micro-batches are numbered from 0 under each checkpoint, so sink folders
+    carry this name too: a new checkpoint never overwrites older batches.
+    """
+    path = f"{checkpoint_root}/sink-run"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = uuid.uuid4().hex[:12]
+    spark.range(1).select(F.lit(name).alias("value")).coalesce(1).write.text(path)
+    return name
+
+
 def start_payments_job(raw: DataFrame, bronze_path: str, stats_path: str, dlq_path: str,
                        checkpoint_root: str, dedup: str = "exact", stats_dedup: bool = False,
                        trigger: dict | None = None, dq_path: str | None = None):
-    """Both sinks of the payments job, each with its own checkpoint.
+    """The sinks of the payments job, each with its own checkpoint.
 
-    Bronze goes through ``foreachBatch`` so that good rows, dead letters and
-    the per-batch PAY rule results are written together (L1, L13).
-    Returns the two StreamingQuery handles.
+    Bronze goes through ``foreachBatch`` so that good rows and dead letters are
+    written together (L1).  The PAY rules (L13) run on the events as they
+    arrive, copies included, in a query of their own.  Returns the
+    StreamingQuery handles: Bronze, statistics and, with ``dq_path``, rules.
     """
     trig = trigger or {"processingTime": "60 seconds"}
+    run = sink_run(raw.sparkSession, checkpoint_root)
     parsed = parse_events(raw)
     good = good_events(parsed)
     deduped = deduplicate(good, dedup)
 
+    def folder(root: str, batch_id: int) -> str:
+        # A batch replayed after a failure overwrites its own folder instead of adding a second copy.
+        return f"{root}/run={run}/batch_id={batch_id}"
+
     def write_bronze(batch: DataFrame, batch_id: int) -> None:
-        # Idempotent per micro-batch: a batch replayed after a failure overwrites
-        # its own folder (batch_id=N) instead of appending a second copy.
         batch = batch.persist()
-        part = f"batch_id={batch_id}"
         bronze_events(good_events(batch)).hint("rebalance", "institution_id").write.mode("overwrite") \
-            .partitionBy("institution_id").parquet(f"{bronze_path}/{part}")
-        dead_letters(batch).write.mode("overwrite").parquet(f"{dlq_path}/{part}")
-        if dq_path:
-            evaluate_event_rules(good_events(batch).drop("ts"), batch_id).write.mode("overwrite") \
-                .parquet(f"{dq_path}/{part}")
+            .partitionBy("institution_id").parquet(folder(bronze_path, batch_id))
+        dead_letters(batch).write.mode("overwrite").parquet(folder(dlq_path, batch_id))
         batch.unpersist()
 
+    def write_rules(batch: DataFrame, batch_id: int) -> None:
+        evaluate_event_rules(batch.drop("ts"), batch_id).write.mode("overwrite").parquet(folder(dq_path, batch_id))
+
+    def start(df: DataFrame, name: str, write) -> StreamingQuery:
+        return (df.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_root}/{name}")
+                .trigger(**trig).start())
+
     # dedup runs in the streaming plan (stateful); malformed rows bypass it.
-    to_bronze = deduped.withColumn("parse_error", F.lit(False)).unionByName(
+    none = F.lit(None).cast("string")
+    to_bronze = deduped.withColumns({"parse_error": F.lit(False), "error": none}).unionByName(
         parsed.where(F.col("parse_error")))
-    q1 = (to_bronze.writeStream.foreachBatch(write_bronze)
-          .option("checkpointLocation", f"{checkpoint_root}/bronze").trigger(**trig).start())
+    queries = [start(to_bronze, "bronze", write_bronze)]
     stats_in = deduped if stats_dedup else good
-    q2 = (minute_stats(stats_in).writeStream.format("parquet").outputMode("append")
-          .option("path", stats_path).option("checkpointLocation", f"{checkpoint_root}/stats")
-          .trigger(**trig).start())
-    return q1, q2
+    queries.append(minute_stats(stats_in).writeStream.format("parquet").outputMode("append")
+                   .option("path", stats_path).option("checkpointLocation", f"{checkpoint_root}/stats")
+                   .trigger(**trig).start())
+    if dq_path:
+        queries.append(start(good, "rules", write_rules))
+    return tuple(queries)

@@ -1,47 +1,83 @@
-"""Small submission files with the generator's injected error kinds (test helper)."""
+"""Submission files for tests: a clean return from the contract, changed cell by cell.
+
+A fault is a list of edits of the clean rows.  An edit is (row, column, value)
+for a cell, ("drop", row), ("repeat", row) or ("manifest", field, change).
+"""
 from __future__ import annotations
 
 import hashlib
 import json
-import os
-from decimal import Decimal
+from pathlib import Path
+
+from lakepipe.contracts import load_contract
+from lakepipe.sources.reference import codes
+
+CODES = codes("lcr_line_codes")
+COLUMNS = load_contract().column_names
+HEADER = ",".join(COLUMNS)
+HQLA, LAST = 0, len(CODES) - 1
 
-CODES = ["HQLA_L1", "HQLA_L2A", "HQLA_L2B", "OUT_RETAIL", "OUT_WHOLESALE", "OUT_OTHER", "IN_TOTAL"]
-HEADER = "institution_id,reporting_period,line_code,currency,amount"
+FAULTS: dict[str, list[tuple]] = {
+    "negative_amount": [(HQLA, "amount", "-12.25")],
+    "missing_line": [("drop", LAST)],
+    "bad_currency": [(2, "currency", "XXX")],
+    "duplicate_row": [("repeat", 4)],
+    "manifest_mismatch": [("manifest", "record_count", lambda n: n + 1)],
+    "zero_amounts": [(i, "amount", "0.00") for i in range(len(CODES))],
+    "unknown_code": [(3, "line_code", "OUT_UNKNOWN")],
+    "wrong_total": [("manifest", "control_total", lambda t: t + 5)],
+    "blank_currency": [(1, "currency", "")],
+    "text_amount": [(5, "amount", "ten")],
+}
 
 
 def submission_rows(inst: str, period: str, inject: str | None = None) -> list[list[str]]:
-    rows = [[inst, period, c, "MYR", f"{Decimal(1000) + Decimal(i) * Decimal('10.50'):.2f}"]
-            for i, c in enumerate(CODES)]
-    if inject == "negative_amount":
-        rows[0][4] = "-" + rows[0][4]
-    elif inject == "missing_line":
-        rows = rows[:-1]
-    elif inject == "bad_currency":
-        rows[1][3] = "XXX"
-    elif inject == "duplicate_row":
-        rows.append(list(rows[2]))
+    rows = []
+    for place, code in enumerate(CODES):
+        cells = {"institution_id": inst, "reporting_period": period, "line_code": code, "currency": "MYR",
+                 "amount": f"{2500 + 125 * place}.75"}
+        rows.append([cells[c] for c in COLUMNS])
+    for edit in FAULTS.get(inject, []):
+        if edit[0] == "drop":
+            del rows[edit[1]]
+        elif edit[0] == "repeat":
+            rows.append(list(rows[edit[1]]))
+        elif edit[0] != "manifest":
+            rows[edit[0]][COLUMNS.index(edit[1])] = edit[2]
     return rows
 
 
-def write_submission(folder: str, inst: str, period: str, version: int, inject: str | None = None,
+def _total(rows: list[list[str]]) -> float:
+    total = 0.0
+    for row in rows:
+        try:
+            total += float(row[COLUMNS.index("amount")])
+        except ValueError:
+            pass
+    return round(total, 2)
+
+
+def write_submission(folder, inst: str, period: str, version, inject: str | None = None,
                      name: str | None = None, manifest: bool = True, bad_sha: bool = False,
                      body: bytes | None = None, rows: list[list[str]] | None = None) -> str:
-    """``rows`` replaces the generated rows in both the file and its manifest;
-    ``body`` replaces only the file bytes (the manifest keeps the generated rows)."""
-    os.makedirs(folder, exist_ok=True)
-    rows = rows if rows is not None else submission_rows(inst, period, inject)
-    data = body if body is not None else (HEADER + "\n" + "\n".join(",".join(r) for r in rows) + "\n").encode()
-    fname = name or f"{inst}_LCR_{period}_v{version}.csv"
-    path = os.path.join(folder, fname)
-    with open(path, "wb") as fh:
-        fh.write(data)
+    """Write a file and its manifest; returns the file's path.
+
+    ``rows`` replaces the rows of the file and of its manifest's counts;
+    ``body`` only the bytes of the file.
+    """
+    rows = submission_rows(inst, period, inject) if rows is None else rows
+    text = "".join(line + "\n" for line in [HEADER, *map(",".join, rows)])
+    data = text.encode() if body is None else body
+    path = Path(folder) / (name or f"{inst}_LCR_{period}_v{version}.csv")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(data)
     if manifest:
-        m = {"file_name": fname, "institution_id": inst, "return_type": "LCR", "reporting_period": period,
-             "version": version, "record_count": len(rows) + (1 if inject == "manifest_mismatch" else 0),
-             "control_total": float(round(sum(Decimal(r[4]) for r in rows), 2)),
-             "sha256": hashlib.sha256(data + (b"x" if bad_sha else b"")).hexdigest(),
-             "generated_at": "2024-02-05T00:00:00+00:00", "synthetic": True}
-        with open(path + ".manifest.json", "w") as fh:
-            json.dump(m, fh)
-    return path
+        says = {"sha256": hashlib.sha256(b"other" if bad_sha else data).hexdigest(), "record_count": len(rows),
+                "control_total": _total(rows), "file_name": path.name, "institution_id": inst,
+                "reporting_period": period, "return_type": "LCR", "synthetic": True, "version": version,
+                "generated_at": f"{period}-28T09:30:00+00:00"}
+        for edit in FAULTS.get(inject, []):
+            if edit[0] == "manifest":
+                says[edit[1]] = edit[2](says[edit[1]])
+        path.with_name(path.name + ".manifest.json").write_text(json.dumps(says))
+    return str(path)

@@ -12,14 +12,14 @@ FULL_WIDTH = {"lineitem": 11, "orders": 6, "events": 6, "documents": 5}
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from lakepipe.plans.catalog import QUERIES
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())
 def test_query_plan_is_jvm_only_and_pruned(spark, name):
-    from __spark_entry__ import queries
-    df = queries()[name](spark, SF)
+    from lakepipe.plans.catalog import QUERIES
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in PYTHON_NODES if n in plan], name
     assert not [n for n in CROSS_JOINS if n in plan], name

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import HEADER, write_submission
 from lakepipe.contracts import load_contract
 from lakepipe.operators import structure
-from lakepipe.operators.structure_large import validate_large
+from lakepipe.operators.structure_large import report_rows, validate_large
 from lakepipe.sources import raw
 
 
@@ -30,7 +30,7 @@ def test_large_path_matches_whole_file_path(spark):
 
     whole = structure.validate(raw.files_with_manifests(spark, land), load_contract())
     w_sum = {r.path: (r.record_count, r.control_total, r.n_errors, r.status) for r in whole.collect()}
-    w_err = {r.path: list(r.errors) for r in whole.collect()}
+    w_err = {r.path: list(r.all_errors) for r in whole.collect()}
 
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")      # many blocks per file
@@ -48,4 +48,7 @@ def test_large_path_matches_whole_file_path(spark):
     messy = [p for p in w_err if "FI001" in p][0]
     # rows[250] is record 250 (one blank line before it is skipped) -> line 251, not 252
     assert "line 251: amount='1_000' is not a number" in w_err[messy]
-    assert max(len(v) for v in l_err.values()) == 200
+    # the error table holds all errors (450 lines, the count and the total), the report the first 200
+    assert max(len(v) for v in l_err.values()) == 452
+    reported = report_rows(summary, errors).collect()
+    assert max(len(r.errors) for r in reported) == 200 and max(len(r.detail_errors) for r in reported) == 20
