@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakepipe.llm.frames import discard, stage
 from lakepipe.llm.words import U, Words, prefix, powers, slices, spread
 
 BUCKET_BITS = 16
@@ -69,13 +70,13 @@ def _averages(words: Words, value: np.ndarray) -> np.ndarray:
 
 
 def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of one text and their weights, which add up to 1."""
+    """Buckets of one text and their weights, which add up to 1, in 6 bytes a bucket."""
     got = [bucket[a[0]: b[0]] for bucket, a, b in features(Words(pa.array([text])))]
     got = [x for x in got if len(x)]
     every = np.concatenate(got) if got else np.zeros(0, dtype=np.int64)
     weight = np.concatenate([np.full(len(x), 1 / (len(x) * len(got))) for x in got]) if got else np.zeros(0)
     ids, at = np.unique(every, return_inverse=True)
-    return ids, np.bincount(at, weights=weight, minlength=len(ids))
+    return ids.astype(np.uint16), np.bincount(at, weights=weight, minlength=len(ids)).astype(np.float32)
 
 
 class Model:
@@ -125,10 +126,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "quality")
     text = F.coalesce("text", F.lit(""))
     one = (docs.select("doc_id", text.alias("text")).where(F.octet_length("text") <= TRAIN_TEXT)
            .join(F.broadcast(voted), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
-    got = one.orderBy(F.xxhash64("doc_id"), "doc_id").withColumn("held", F.octet_length("text"))
-    sizes = [r["held"] for r in got.select("held").collect()]
-    fits = int(np.searchsorted(np.cumsum(sizes), TRAIN_BYTES, side="right")) if sizes else 0
-    return [(r["text"], r["label"]) for r in got.limit(fits).select("text", "label").collect()]
+    place = Window.orderBy(F.xxhash64("doc_id"), "doc_id")             # at most TRAIN_ROWS rows
+    got = stage(docs.sparkSession, one.withColumn("reach", F.sum(F.octet_length("text")).over(place))
+                .where(F.col("reach") <= TRAIN_BYTES), "train")
+    sample = [(r["text"], r["label"]) for r in got.orderBy("reach", "doc_id").select("text", "label").toLocalIterator()]
+    discard(got)
+    return sample
 
 
 def _scored(model: Model):
