@@ -234,23 +234,20 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     near = near.join(F.broadcast(wanted) if small else wanted, "node", "left_semi")
     sets = stage(spark, near.mapInArrow(_sets, SETS).dropDuplicates(["node"]), "shingles")
 
-    def leaders(members: DataFrame, *part) -> DataFrame:
-        return members.groupBy("key", *part).agg(F.max(F.struct("central", "node"))["node"].alias("leader"))
-
-    def pairs(members: DataFrame, others: DataFrame, label: DataFrame | None) -> DataFrame:
-        """Distinct pairs of members and leaders of a bucket that are not known to be of one class."""
-        p = members.join(others, "key").where("node <> leader").select(
-            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if label is not None:
-            p = _with_class(_with_class(p, label, "a", "class_a"), label, "b", "class_b").where("class_a <> class_b").select("a", "b")
-        return p
-
-    # a few of the buckets first: their links settle most members of large groups
-    early = F.pmod(F.xxhash64("key"), F.lit(12)) == 0
-    first = stage(spark, pairs(met.where(early), leaders(met.where(early)), None), "pairs")
+    def pairs(members: DataFrame, *part) -> DataFrame:
+        """Distinct pairs of each bucket's members and its most central member (of each part), if of different classes."""
+        best = F.max(F.struct("central", "node", "class"))
+        leaders = members.groupBy("key", *part).agg(best.alias("leader")).select(
+            F.col("key").alias("_key"), F.col("leader.node").alias("leader"), F.col("leader.class").alias("other"))
+        apart = members.join(leaders, (F.col("key") == F.col("_key")) & (F.col("class") != F.col("other")))
+        return apart.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+    # a sixth of the buckets first: their links settle most members of large groups
+    early = F.pmod(F.xxhash64("key"), F.lit(6)) == 0
+    first = stage(spark, pairs(met.where(early).withColumn("class", F.col("node"))), "pairs")
     links = _links(spark, first, sets, "links")
     label = components(spark, links)
-    more = stage(spark, pairs(met.where(~early), leaders(met.where(~early)), label).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = stage(spark, pairs(_with_class(met.where(~early), label, "node", "class")).join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_links(spark, more, sets, "links"))
     label = components(spark, links)
 
@@ -259,10 +256,10 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     split = members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
     members = stage(spark, members.join(split, "key"), "split")
     few, many = members.where(F.col("n") <= SMALL_BUCKET), members.where(F.col("n") > SMALL_BUCKET)
-    other = few.select("key", F.col("node").alias("leader"), F.col("class").alias("other"))
-    rest = (few.join(other, "key").where("class < other")
+    other = few.select(F.col("key").alias("_key"), F.col("node").alias("leader"), F.col("class").alias("other"))
+    rest = (few.join(other, (F.col("key") == F.col("_key")) & (F.col("class") < F.col("other")))
             .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-            .union(pairs(many, leaders(many, F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")), label)).distinct())
+            .union(pairs(many.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(LEADERS))), "part")).distinct())
     done = more.union(first)
     last = _links(spark, rest.join(done, ["a", "b"], "left_anti"), sets, "links")
     links = links.union(last)
