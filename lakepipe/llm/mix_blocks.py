@@ -155,16 +155,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     d = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_doc"), F.col("doc_id").alias("_doc_id"),
                     text_key(F.col("text")).alias("_text_key"))
     both = d.join(parts, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    most = F.array_max(F.transform("_parts", lambda p: p["times"]))
-    both = both.select("_doc", "_size", "_parts", F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("_time"))
-    chosen = F.filter("_parts", lambda p: p["times"] >= F.col("_time"))
-    both = both.withColumn("_chosen", chosen)
-    held = F.aggregate("_chosen", F.lit(0).cast("long"), lambda n, p: n + p["words"])
-    words = F.filter(F.split(F.col("_doc.text"), GAPS), lambda w: w != "")
+    # split once, before rows are made for each time, and only texts that are not always taken whole
+    times = F.transform("_parts", lambda p: p["times"])
+    total = lambda parts: F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    always = (total(F.col("_parts")) == F.col("_size")) & (F.array_min(times) == F.array_max(times))
+    words = F.split(F.regexp_replace(F.col("_doc.text"), f"^{GAPS}", ""), GAPS)
+    both = both.withColumn("_words", F.when(~always, words)).withColumn("_most", F.array_max(times))
+    both = both.select("_doc", "_size", "_parts", "_words", F.explode(F.sequence(F.lit(1).cast("long"), "_most")).alias("_time"))
+    both = both.withColumn("_chosen", F.filter("_parts", lambda p: p["times"] >= F.col("_time")))
+    whole = total(F.col("_chosen")) == F.col("_size")
     piece = F.array_join(F.flatten(F.transform(
         "_chosen", lambda p: F.slice(F.col("_words"), (p["from"] + 1).cast("int"), p["words"].cast("int")))), " ")
-    whole = held == F.col("_size")
-    both = both.withColumn("_words", F.when(~whole, words)).withColumn("_text", F.when(whole, F.col("_doc.text")).otherwise(piece))
+    both = both.withColumn("_text", F.when(whole, F.col("_doc.text")).otherwise(piece))
     kinds = dict(docs.dtypes)
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast(kinds.get("n_chars", "long"))}
     return both.select(*[new.get(n, F.col("_doc").getField(n)).alias(n) for n in names])
