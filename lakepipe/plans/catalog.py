@@ -69,7 +69,7 @@ def lcr_silver_by_submission(spark, sf_dir):
 
 @query
 def lcr_gold_asof(spark, sf_dir):
-    return lcr_chain(spark, sf_dir, max_version=2)[3]
+    return lcr_chain(spark, sf_dir, max_version=300)[3]
 
 
 # ------------------------------------------------------------ rules engine
@@ -411,7 +411,7 @@ def minute_stats_late(spark, sf_dir):
                     "institution_id", "payment_system", "event_count", "late_count", "dropped_count")
 
 
-STREAM_BATCHES, FILES_PER_BATCH = 3, 4
+STREAM_BATCHES, FILES_PER_BATCH = 2, 4
 
 
 def run_payments_stream(spark, sf_dir):
@@ -430,8 +430,9 @@ def run_payments_stream(spark, sf_dir):
     events = tables.stage(spark, td.payment_events_raw(spark, sf_dir).select("value", "arrival"), "topic")
     ends = events.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
     for k in range(STREAM_BATCHES if ends["lo"] is not None else 0):
-        lo, hi = (ends["lo"] + (ends["hi"] - ends["lo"]) * i / STREAM_BATCHES for i in (k, k + 1))
-        part = events.where((F.col("arrival") >= F.lit(lo)) & ((F.col("arrival") < F.lit(hi)) | F.lit(k == STREAM_BATCHES - 1)))
+        # as text: wall-clock times, whatever the zones of the session and of Python
+        lo, hi = (_ts(str(ends["lo"] + (ends["hi"] - ends["lo"]) * i / STREAM_BATCHES)) for i in (k, k + 1))
+        part = events.where((F.col("arrival") >= lo) & ((F.col("arrival") < hi) | F.lit(k == STREAM_BATCHES - 1)))
         part.select("value").repartition(FILES_PER_BATCH).write.mode("append").text(src)
     td.sentinel_event(spark).write.mode("append").text(src)
     raw = payments.read_source(spark, "text", src, max_files_per_trigger=FILES_PER_BATCH)
@@ -473,10 +474,11 @@ def served_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakepipe-served-{spark.sparkContext.applicationId}"
     root += "-" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-    if not tables.exists(spark, f"{root}/gold/_SUCCESS"):
+    if not tables.exists(spark, f"{root}/complete"):
         bronze, _, _, gld = lcr_chain(spark, sf_dir)
         tables.create_or_replace(bronze, f"{root}/bronze")
         tables.create_or_replace(gld, f"{root}/gold", ["reporting_period"])
+        tables.create_or_replace(spark.range(1), f"{root}/complete")       # written last
     gold_schema = spark.read.parquet(f"{root}/gold").schema
     fixed = T.StructType([T.StructField(f.name, T.StringType() if f.name == "reporting_period" else f.dataType)
                           for f in gold_schema.fields])
@@ -508,7 +510,7 @@ def serve_below_threshold(spark, sf_dir):
 @query
 def serve_point_lookup(spark, sf_dir):
     from lakepipe.operators import serving
-    return serving.point_lookup(_gold(spark, sf_dir), "FI001", "2000-01")
+    return serving.point_lookup(_gold(spark, sf_dir), "FI001", "1993-01")
 
 
 @query

@@ -29,6 +29,7 @@ def inst_id(expr: str, n: int) -> str:
 
 
 def lines_cte(name: str, n: int, faults: bool) -> str:
+    own = "l.l_orderkey // 8 % 3 = 0"
     line_code = f"({LINE_CODES_SQL})[l.l_linenumber]"
     currency = "'MYR'"
     amount = "CAST(l.l_extendedprice AS DECIMAL(20,2))"
@@ -39,21 +40,28 @@ def lines_cte(name: str, n: int, faults: bool) -> str:
         amount = (f"CASE WHEN l.l_partkey % 79 = 0 THEN NULL WHEN l.l_orderkey % 83 = 0 THEN -{amount} "
                   f"ELSE {amount} END")
     return f"""{name}_0 AS (
-  SELECT {inst_id('CASE WHEN l.l_orderkey % 3 = 0 THEN l.l_orderkey ELSE l.l_suppkey END', n)} AS institution_id,
-         strftime(o.o_orderdate, '%Y-%m') AS reporting_period,
+  SELECT {inst_id(f'CASE WHEN {own} THEN l.l_orderkey // 8 ELSE l.l_suppkey END', n)} AS institution_id,
+         CASE WHEN {own} THEN CAST(l.l_orderkey // 8 // 12 % 6 + 1993 AS VARCHAR) || '-'
+                || lpad(CAST(l.l_orderkey // 8 % 12 + 1 AS VARCHAR), 2, '0')
+              ELSE strftime(o.o_orderdate, '%Y-%m') END AS reporting_period,
          {line_code} AS line_code,
          {currency} AS currency,
          {amount} AS amount,
-         CASE WHEN l.l_orderkey % 3 = 0 THEN CAST(l.l_orderkey % 1000000000 AS INTEGER) + 4
+         CASE WHEN {own} THEN CAST(l.l_orderkey // 8 % 1000000000 AS INTEGER) + 4
               ELSE CAST(floor(l.l_quantity) AS INTEGER) % 3 + 1 END AS submission_version,
-         l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber
+         {own} AS own
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+{name}_1 AS (
+  SELECT * EXCLUDE (own) FROM {name}_0 WHERE NOT own
+  UNION ALL BY NAME
+  SELECT institution_id, reporting_period, line_code, currency, CAST(sum(amount) AS DECIMAL(20,2)) AS amount, submission_version
+  FROM {name}_0 WHERE own GROUP BY ALL),
 {name} AS (
   SELECT *, institution_id || '-LCR-' || reporting_period || '-v' || CAST(submission_version AS VARCHAR)
             AS submission_id,
          CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + (((submission_version - 1) % 3 + 1) * 5 + 5) AS TIMESTAMP)
             AS loaded_at
-  FROM {name}_0)"""
+  FROM {name}_1)"""
 
 
 def bronze_cte(name: str = "bronze", n: int = 999) -> str:
@@ -186,7 +194,7 @@ SQL: dict[str, str] = {}
 SQL["lcr_gold_ratio"] = chain_ctes() + f"\nSELECT {GOLD_COLS} FROM gold"
 SQL["lcr_silver_current"] = chain_ctes() + "\nSELECT * FROM silver"
 SQL["lcr_silver_by_submission"] = chain_ctes(grain="submission") + "\nSELECT * FROM silver"
-SQL["lcr_gold_asof"] = chain_ctes(max_version=2) + f"\nSELECT {GOLD_COLS} FROM gold"
+SQL["lcr_gold_asof"] = chain_ctes(max_version=300) + f"\nSELECT {GOLD_COLS} FROM gold"
 
 # --------------------------------------------------------------- rules engine
 
@@ -614,7 +622,7 @@ SQL["serve_below_threshold"] = chain_ctes() + """
 SELECT institution_id, institution_name, reporting_period, lcr_ratio FROM gold WHERE lcr_ratio < 1.2"""
 
 SQL["serve_point_lookup"] = chain_ctes() + f"""
-SELECT {GOLD_COLS} FROM gold WHERE institution_id = 'FI001' AND reporting_period = '2000-01'"""
+SELECT {GOLD_COLS} FROM gold WHERE institution_id = 'FI001' AND reporting_period = '1993-01'"""
 
 SQL["policy_mask"] = chain_ctes() + """
 SELECT institution_id, '***' AS institution_name, institution_type, peer_group, reporting_period,

@@ -27,7 +27,7 @@ PAYMENT_SYSTEMS = ["RTGS", "INSTANT", "CARD", "CHEQUE"]
 
 # Institution ids have three digits, so there are as many institutions as source keys up to 999.
 N_GOLD = N_RULES = N_FILES = 999
-# Versions of submissions made from a whole order start here, those of lines dealt out by supplier are 1 to 3.
+# Versions of submissions made from a group of orders start here, those of lines dealt out by supplier are 1 to 3.
 ORDER_VERSION = 4
 
 
@@ -66,16 +66,18 @@ def lcr_lines(spark: SparkSession, sf_dir: str, n: int, faults: bool = False,
               base: DataFrame | None = None) -> DataFrame:
     """One LCR submission line per lineitem (lineitem join orders).
 
-    Every third order is a submission of its own: with seven lines it is a
-    complete return, whatever the scale.  The other lines are dealt out by
-    supplier, month and quantity.  With ``faults`` the rule-test variant injects NULLs, negative amounts and an
+    Every third group of eight orders is a submission of its own: its lines
+    nearly always hold all seven codes, whatever the scale.  The other lines
+    are dealt out by supplier, month and quantity.  With ``faults`` the rule-test variant injects NULLs, negative amounts and an
     unknown currency.  ``base``: an already materialised ``lineitem_orders``.
     """
     j = base if base is not None else lineitem_orders(spark, sf_dir)
-    own = F.col("l_orderkey") % 3 == 0
-    inst = institution_id(F.when(own, F.col("l_orderkey")).otherwise(F.col("l_suppkey")), n)
-    period = _period("o_orderdate")
-    version = F.when(own, (F.col("l_orderkey") % 1000000000).cast("int") + ORDER_VERSION).otherwise(
+    group = F.expr("l_orderkey div 8")
+    own = group % 3 == 0
+    inst = institution_id(F.when(own, group).otherwise(F.col("l_suppkey")), n)
+    month = F.concat((F.floor(group / 12) % 6 + 1993).cast("string"), F.lit("-"), F.lpad((group % 12 + 1).cast("string"), 2, "0"))
+    period = F.when(own, month).otherwise(_period("o_orderdate"))
+    version = F.when(own, (group % 1000000000).cast("int") + ORDER_VERSION).otherwise(
         F.floor("l_quantity").cast("int") % 3 + 1)
     line_code = _line_code("l_linenumber")
     currency = F.lit("MYR")
@@ -91,8 +93,7 @@ def lcr_lines(spark: SparkSession, sf_dir: str, n: int, faults: bool = False,
                   .otherwise(amount))
     rows = j.select(inst.alias("institution_id"), period.alias("reporting_period"),
                     line_code.alias("line_code"), currency.alias("currency"),
-                    amount.alias("amount"), version.alias("submission_version"),
-                    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+                    amount.alias("amount"), version.alias("submission_version"), own.alias("own"))
     return rows.withColumn(
         "submission_id", submission_id("institution_id", F.lit("LCR"), "reporting_period",
                                        "submission_version"))
@@ -128,8 +129,15 @@ def lcr_bronze(spark: SparkSession, sf_dir: str, n: int = N_GOLD) -> DataFrame:
 
 def lcr_rules_input(spark: SparkSession, sf_dir: str, n: int = N_RULES, base: DataFrame | None = None,
                     faults: bool = True) -> DataFrame:
-    """Bronze-shaped rows (with injected faults unless ``faults=False``), for the rule engine."""
-    return with_audit(lcr_lines(spark, sf_dir, n, faults=faults, base=base)).select(*BRONZE_COLUMNS)
+    """Bronze-shaped rows (with injected faults unless ``faults=False``), for the rule engine.
+
+    Groups of orders are well-formed returns, one row a line and currency (but
+    for faults); the other submissions repeat their lines.
+    """
+    lines = lcr_lines(spark, sf_dir, n, faults=faults, base=base)
+    keys = ["institution_id", "reporting_period", "line_code", "currency", "submission_id", "submission_version"]
+    formed = lines.where("own").groupBy(*keys).agg(F.sum("amount").cast("decimal(20,2)").alias("amount"))
+    return with_audit(lines.where("not own").drop("own").unionByName(formed)).select(*BRONZE_COLUMNS)
 
 
 def institutions(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
