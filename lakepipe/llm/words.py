@@ -15,7 +15,15 @@ U = np.uint64
 #: Texts are worked on in slices of whole rows of about this many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
-_POWERS: dict = {}
+
+class _Tables(dict):
+    """Tables that each process makes for itself: they stay behind when a function that uses them is sent to workers."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+_POWERS = _Tables()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
