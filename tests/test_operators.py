@@ -141,7 +141,7 @@ def test_strict_least_and_epoch(spark):
                               strict_least(F.lit(2.0), F.lit(1.0)).alias("b"),
                               epoch_millis_to_ntz(F.lit(1704067210123)).alias("t")).collect()[0]
     assert r.a is None and r.b == 1.0 and r.t == dt.datetime(2024, 1, 1, 0, 0, 10, 123000)
-    back = spark.range(1).select(ntz_to_epoch_millis(F.lit(dt.datetime(2024, 1, 1, 0, 0, 10, 123456))
+    back = spark.range(1).select(ntz_to_epoch_millis(F.lit("2024-01-01 00:00:10.123456")
                                                      .cast("timestamp_ntz")).alias("m")).collect()[0]
     assert back.m == 1704067210123
 
