@@ -18,7 +18,10 @@ all compared with one another: they are compared with the most central member
 (the one that meets most others, in a group of edited copies the original);
 then, in buckets whose members are still in different classes, small buckets
 in all pairs of different classes, large ones with the most central member of
-each of ``LEADERS`` parts.  All of this is linear in the number of documents.
+each of ``LEADERS`` parts.  The texts of large buckets that are still in
+different classes are then joined exactly (``open_pairs``): their shingles are
+put in one order, rarest first, and a pair meets at the first shingle that both
+have, if what either text has from there on can still make a link.
 
 Defined results: null texts are empty; texts without words only join equal
 texts; of a class, the row with the smallest id (null last, ties by text hash)
@@ -30,7 +33,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakepipe.llm.frames import BROADCAST_BYTES, discard, stage, text_hash
@@ -43,6 +47,8 @@ REGISTERS = BANDS * ROWS_PER_BAND
 #: Buckets of up to this many members may be compared in all pairs.
 SMALL_BUCKET = 12
 LEADERS = 8
+#: What rounding may take from a bound.
+EPSILON = 1e-9
 #: P(at most k arrivals in a time of 1 at rate 1)
 _POISSON = np.cumsum(np.exp(-1) / np.concatenate([[1.0], np.cumprod(np.arange(1, 18, dtype=float))]))
 
@@ -189,6 +195,55 @@ def _links(spark: SparkSession, pairs: DataFrame, sets: DataFrame, name: str) ->
     return stage(spark, both.mapInArrow(_verified, "a long, b long, similarity double"), name)
 
 
+def _entries(batches):
+    """A row for each shingle of a text: its share of the text's weight, and the number of the text's shingles."""
+    for batch in batches:
+        n = pa.compute.list_value_length(batch.column("shingles")).to_numpy()
+        off = np.concatenate([[0], np.cumsum(n)])
+        text = np.repeat(np.arange(len(n)), n)
+        count = np.ones(off[-1])
+        many = batch.column("many").flatten().to_numpy()
+        count[many + np.repeat(off[:-1], pa.compute.list_value_length(batch.column("many")).to_numpy())] = batch.column("counts").flatten()
+        weight = _weights(count)
+        share = weight / np.bincount(text, weights=weight, minlength=len(n))[text]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(batch.column("node").to_numpy()[text]), batch.column("shingles").flatten(), pa.array(share),
+             pa.array(n[text].astype(np.int32))], names=["node", "shingle", "share", "size"])
+
+
+def open_pairs(spark: SparkSession, sets: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (a, b) of texts of different classes that can be similar enough: none that is can be missing.
+
+    If the shingles that two texts share weigh shares p and q of them, plain
+    Jaccard (weights 1) is 1 / (1/p + 1/q - 1), and J_P is at most that: each
+    term of J_P is at most a harmonic mean, which is concave.  From the first
+    shared shingle on, in one order of all shingles, a text has at least its
+    shared ones, so what it has bounds p and q.  Of two texts one has to keep
+    8/9 there, the other 0.8.
+    """
+    each = stage(spark, sets.mapInArrow(_entries, "node long, shingle long, share double, size int"), "entries")
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # what a text has from a shingle on: the shingles as frequent or more, of those that any two texts share
+    onward = Window.partitionBy("node").orderBy(F.col("often").desc(), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = (each.join(often, "shingle").withColumn("rest", F.count(F.lit(1)).over(onward))
+            .withColumn("mass", F.sum("share").over(onward))
+            .where((F.col("rest") >= F.col("size") * (SIMILARITY - EPSILON)) | (F.col("mass") >= SIMILARITY - EPSILON)))
+    kept = stage(spark, _with_class(kept.select("node", "shingle", "size", "rest", "mass"), label, "node", "class"), "kept")
+    # of two classes at a shingle, one is not the largest there
+    classes = kept.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(
+        F.max(F.struct("n", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    some = kept.join(classes.select("shingle", "largest"), "shingle")
+    side = some.where("class <> largest").select(
+        F.col("shingle").alias("_shingle"), *[F.col(c).alias(f"_{c}") for c in ("node", "size", "rest", "mass", "class")])
+    most = 1 + 1 / SIMILARITY + EPSILON
+    plain = F.col("size") + F.col("_size") <= F.least("rest", "_rest") * most
+    weighted = 1 / F.col("mass") + 1 / F.col("_mass") <= most
+    met = some.join(side, (F.col("shingle") == F.col("_shingle")) & (F.col("class") != F.col("_class")) & (plain | weighted))
+    found = stage(spark, met.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct(), "open-pairs")
+    discard(each, kept)
+    return found
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """The smallest node of each linked node's component: smallest labels spread over links and jump ahead, staged a round."""
     edges = stage(spark, links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
@@ -261,10 +316,21 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
             .union(pairs(many.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(LEADERS))), "part")).distinct())
     done = more.union(first)
-    last = _links(spark, rest.join(done, ["a", "b"], "left_anti"), sets, "links")
-    links = links.union(last)
-    discard(first, more, met, members, wanted, sets)
-    return rows.select("doc_id", "node"), links, components(spark, links)
+    tried = stage(spark, rest.join(done, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(_links(spark, tried, sets, "links"))
+    label = components(spark, links)
+
+    # large buckets whose members are still of different classes
+    large = _with_class(members.where(F.col("n") > SMALL_BUCKET).drop("class"), label, "node", "class")
+    split = large.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
+    unsettled = stage(spark, large.join(split, "key").select("node").distinct(), "unsettled")
+    if unsettled.limit(1).count():
+        rest = open_pairs(spark, sets.join(unsettled, "node", "left_semi"), label)
+        links = links.union(_links(spark, rest.join(done.union(tried), ["a", "b"], "left_anti"), sets, "links"))
+        label = components(spark, links)
+        discard(rest)
+    discard(first, more, tried, met, members, wanted, unsettled, sets)
+    return rows.select("doc_id", "node"), links, label
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

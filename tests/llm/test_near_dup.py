@@ -121,3 +121,34 @@ def test_empty_table(docs):
 def test_shingles_of_short_texts():
     row, h, n = near_dup.shingles(words.Words(pa.array(["a b", "A, b", "", "a b c d e a b c d e"]), lower=True))
     assert row.tolist()[:2] == [0, 1] and h[0] == h[1] and n[row == 3].max() == 2
+
+
+def test_link_inside_a_large_family(spark):
+    """Pages that share a passage, none similar enough to another, but for one pair in each family."""
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 2**40, n)]
+    texts = []
+    for _ in range(3):
+        passage = word(104)
+        texts += [" ".join(passage + word(tail)) for tail in [14] * 300 + [12] * 2]
+    x, y, page = (shingle_counts(texts[i]) for i in (300, 301, 0))
+    assert sim(x, y) >= 0.8 and max(sim(x, page), sim(y, page)) < 0.8
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    assert {i: c for i, c in got.items() if i != c} == {301: 300, 603: 602, 905: 904}
+
+
+def test_open_pairs_miss_no_link(spark):
+    """Texts of a few common lines, repeated or not, with own words: every similar pair is among the pairs."""
+    rng = np.random.default_rng(6)
+    lines = [" ".join(f"l{i}w{j}" for j in range(9)) for i in range(12)]
+    texts = []
+    for i in range(120):
+        own = " ".join(f"t{i}w{j}" for j in range(rng.integers(0, 10)))
+        texts.append(" ".join([lines[k] for k in np.sort(rng.choice(12, 10, replace=False)) for _ in range(1 + 3 * (rng.random() < 0.1))] + [own]))
+    _, links = brute_classes(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sets = df.mapInArrow(near_dup._sets, near_dup.SETS).localCheckpoint()
+    label = df.select("node", F.col("node").alias("label")).where("false")
+    got = {(texts[r["a"]], texts[r["b"]]) for r in near_dup.open_pairs(spark, sets, label).collect()}
+    assert len(links) > 20 and links <= got and len(got) < 120 * 119 / 2
