@@ -8,7 +8,9 @@ Arrivals are made up to a time by which all registers are very likely filled
 and stop there; texts with an empty register go on to twice that time.  Two
 texts agree in a register with the probability Jaccard similarity J_P.
 
-Registers are joined to bands; texts that share a band key meet in a bucket.
+Registers are joined to bands; texts that share a band key meet in a bucket.  A
+text that repeats shingles has the bands of its plain set (all weights 1) too,
+as links by plain Jaccard similarity can have a lower J_P.
 Links are verified on the full shingle sets: two texts are linked if J_P, or
 the plain Jaccard similarity of the two sets, is 0.8 or more.  Classes are the
 connected components of the links.
@@ -110,17 +112,32 @@ def _weights(count: np.ndarray) -> np.ndarray:
     return 1 + np.log(count)
 
 
+def _all_bands(n_rows: int, row: np.ndarray, h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of each row, and which of them count: those by weight, and the others of the plain set.
+
+    A text that repeats no shingle has the same arrivals either way.
+    """
+    first = band_keys(signatures(n_rows, row, h, _weights(count)))
+    keys, use = np.concatenate([first, first], axis=1), np.zeros((n_rows, 2 * BANDS), dtype=bool)
+    use[row, :BANDS] = True
+    some = np.unique(row[count > 1])
+    own = np.isin(row, some)
+    plain = band_keys(signatures(len(some), np.searchsorted(some, row[own]), h[own], np.ones(own.sum())))
+    keys[some, BANDS:] = plain
+    use[some, BANDS:] = plain != first[some]
+    return keys, use
+
+
 def _bands(batches):
     for batch in batches:
         for part in slices(batch):
             w = Words(part.column("text"), lower=True)
             row, h, count = shingles(w)
-            keys = band_keys(signatures(w.n_rows, row, h, _weights(count)))
-            some = w.count > 0
-            off = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
+            keys, use = _all_bands(w.n_rows, row, h, count)
+            off = np.concatenate([[0], np.cumsum(use.sum(axis=1))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("node"),
-                 pa.ListArray.from_arrays(pa.array(off), pa.array(keys[some].reshape(-1).view(np.int64)))],
+                 pa.ListArray.from_arrays(pa.array(off), pa.array(keys[use].view(np.int64)))],
                 names=["doc_id", "node", "bands"])
 
 

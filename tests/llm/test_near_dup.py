@@ -152,3 +152,19 @@ def test_open_pairs_miss_no_link(spark):
     label = df.select("node", F.col("node").alias("label")).where("false")
     got = {(texts[r["a"]], texts[r["b"]]) for r in near_dup.open_pairs(spark, sets, label).collect()}
     assert len(links) > 20 and links <= got and len(got) < 120 * 119 / 2
+
+
+def test_repeated_shingles_hide_no_plain_link():
+    """A page with a repeated menu and the clean page share a band, whatever the words."""
+    rng = np.random.default_rng(7)
+    lost = 0
+    for _ in range(100):
+        shared, one, two = ([f"w{i}" for i in rng.integers(0, 2**40, n)] for n in (104, 4, 12))
+        clean, menu = " ".join(shared + two), " ".join(shared + (shared[:54] * 20)[:-4] + one)
+        x, y = shingle_counts(clean), shingle_counts(menu)
+        assert len({*x} & {*y}) / len({*x} | {*y}) >= 0.8 > weighted(x, y)
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "node": [1, 2], "text": [clean, menu]})
+        a, b = next(near_dup._bands([batch])).column("bands").to_pylist()
+        assert len(a) == near_dup.BANDS and len(b) == len({*b}) > near_dup.BANDS
+        lost += not {*a} & {*b}
+    assert not lost
