@@ -10,7 +10,9 @@ path (``structure_large``), which gives the same verdicts.
 What both paths hold to: records end at a line feed, with or without a
 carriage return before it; a quoted field may hold delimiters, doubled quotes
 and line feeds; a byte-order mark is part of the first header name; blank
-records are not counted.
+records are not counted.  A quote that is never closed makes the rest of the
+file one record, counted, with one error that tells its place and no cells (a
+header that does not close has no names).
 
 Deviations from a Python ``float()`` check (deliberate): ``1_000``, ``nan``
 and ``inf`` are not numbers.
@@ -102,6 +104,12 @@ def _cell_errors(contract: Contract, cells: Column, n: Column) -> Column:
     return F.filter(F.array(*out), lambda e: e.isNotNull())
 
 
+def unclosed_error(n: Column, line: Column) -> Column:
+    """Message for a record, number ``n``, whose quote is not closed; ``line`` is the line of the file where it starts."""
+    return F.concat(F.lit("line "), n.cast("string"), F.lit(": quote not closed in the record that starts in line "),
+                    line.cast("string"), F.lit(" of the file"))
+
+
 def _amount_value(contract: Contract, cells: Column) -> Column:
     """Parsable value of the ``amount`` property of one record (NULL otherwise)."""
     if not any(p.name == "amount" and p.logical_type == "number" for p in contract.properties):
@@ -122,7 +130,12 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
     expected = contract.column_names
     lines = split_records(F.col(content))
     first = F.element_at(lines, 1)
-    df = files.withColumn("__header", F.when(first == "", F.array().cast("array<string>"))
+    # a file with an odd number of quotes ends in a record that does not close, its last one that is not blank
+    odd = F.regexp_count(F.col(content), F.lit('"')) % 2 == 1
+    last = F.element_at(F.filter(lines, lambda x: x != ""), -1)
+    line_feeds = lambda c: F.regexp_count(c, F.lit("\n"))
+    df = files.withColumn("__unclosed_line", F.when(odd, line_feeds(F.col(content)) - line_feeds(last) + 1))
+    df = df.withColumn("__header", F.when((first == "") | (F.col("__unclosed_line") == 1), F.array().cast("array<string>"))
                           .otherwise(split_fields(first, delimiter)))
     hdr = F.col("__header")
     idx = {}
@@ -135,8 +148,9 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
     df = df.withColumn("__cells", F.transform(fields, lambda f: _cells(contract, f, idx)))
     cells = F.col("__cells")
     zero = F.lit(0).cast("decimal(38,6)")
+    unclosed = lambda i: F.col("__unclosed_line").isNotNull() & (i == F.size(cells) - 1)
     df = (df.withColumn("record_count", F.size(cells).cast("long"))
-            .withColumn("control_total", F.aggregate(F.transform(cells, lambda c: _amount_value(contract, c)),
+            .withColumn("control_total", F.aggregate(F.transform(cells, lambda c, i: F.when(~unclosed(i), _amount_value(contract, c))),
                                                      zero, lambda acc, x: acc + F.coalesce(x, zero)))
             .withColumn("header_ok", hdr == F.array(*[F.lit(c) for c in expected])))
     m = F.col(manifest)
@@ -154,7 +168,8 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
                                 F.lit(" != manifest "),
                                 m["control_total"].cast("decimal(38,2)").cast("string")))
     all_errors = F.concat(F.filter(F.array(header_err), lambda e: e.isNotNull()),
-                          F.flatten(F.transform(cells, lambda c, i: _cell_errors(contract, c, i + 2))),
+                          F.flatten(F.transform(cells, lambda c, i: F.when(unclosed(i), F.array(unclosed_error(i + 2, F.col("__unclosed_line"))))
+                                                .otherwise(_cell_errors(contract, c, i + 2)))),
                           F.filter(F.array(count_err, total_err), lambda e: e.isNotNull()))
     if "utf8_ok" in files.columns:
         # bytes that are not UTF-8 are not decoded at all: one error, nothing parsed
@@ -166,7 +181,7 @@ def validate(files: DataFrame, contract: Contract, content: str = "content",
               .withColumn("detail_errors", F.slice("all_errors", 1, MAX_LEDGER_ERRORS))
               .withColumn("status", F.when(n == 0, F.lit("VALIDATED")).otherwise(F.lit("REJECTED")))
               .withColumn("reason", F.when(n > 0, F.concat(n.cast("string"), F.lit(" structural errors"))))
-              .drop("__header", "__cells", *[f"__i_{c}" for c in expected]))
+              .drop("__header", "__cells", "__unclosed_line", *[f"__i_{c}" for c in expected]))
 
 
 def report(validated: DataFrame) -> DataFrame:

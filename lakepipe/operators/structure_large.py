@@ -13,7 +13,9 @@ exactly without shuffling the lines:
    begins inside quotes and the records before it (windows over the blocks of
    a file only);
 3. lines join that small block table; only the lines of a record that spans
-   several are gathered, per record.
+   several and closes are gathered, per record.  A file with an odd number of
+   quotes ends in a record that does not close: it is an error by its place,
+   and its lines, which may be most of the file, stay apart.
 
 Per-file results (record count, control total, error count) are partial
 aggregates.  Errors are numbered within their block, after the errors of
@@ -31,7 +33,7 @@ from lakepipe.contracts import Contract
 from lakepipe.functions.columns import NUMBER_PATTERN
 from lakepipe.functions.joins import checked_broadcast
 from lakepipe.operators.structure import (MAX_LEDGER_ERRORS, MAX_REPORT_ERRORS, NOT_UTF8, _amount_value,
-                                          _cell_errors, _cells, _py_list, _strip, split_fields)
+                                          _cell_errors, _cells, _py_list, _strip, split_fields, unclosed_error)
 from lakepipe.sources.tables import stage
 
 # The line travels as binary: Python never decodes it (invalid UTF-8 is detected JVM-side).
@@ -75,7 +77,10 @@ def _number_partition(batches):
 
 
 def numbered_records(spark: SparkSession, paths) -> DataFrame:
-    """path, block, line (1-based physical line of its start), record (number among non-empty ones), value; staged."""
+    """path, block, line (1-based physical line of its start), record (number among non-empty ones), value, unclosed; staged.
+
+    ``unclosed`` is 1 for the first line of a record that does not close, 2 for its other lines, otherwise 0.
+    """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = stage(spark, spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
@@ -87,20 +92,24 @@ def numbered_records(spark: SparkSession, paths) -> DataFrame:
     so_far = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
     offsets = (blocks.withColumn("inside", so_far("q") % 2)
                .withColumn("s", F.when(F.col("inside") == 0, F.col("s0")).otherwise(F.col("s1")))
-               .select("path", "block", "inside", so_far("n").alias("lines_before"), so_far("s").alias("starts_before")))
+               .select("path", "block", "inside", so_far("n").alias("lines_before"), so_far("s").alias("starts_before"),
+                       F.when(F.sum("q").over(Window.partitionBy("path")) % 2 == 1, F.sum("s").over(Window.partitionBy("path")))
+                       .alias("unclosed_record")))
     j = lines.join(checked_broadcast(offsets, MAX_BLOCK_ROWS), ["path", "block"])
     starts = F.when(F.col("inside") == 0, F.col("starts0")).otherwise(F.col("starts1"))
     j = j.select("path", "block", (F.col("lines_before") + F.col("pos") + 1).alias("line"),
                  (F.col("starts_before") + starts).alias("record"),
                  ((F.col("inside") + F.col("quotes_upto") - F.col("quotes")) % 2 == 1).alias("goes_on"),
                  ((F.col("inside") + F.col("quotes_upto")) % 2 == 1).alias("open"),
-                 F.col("vb").cast("string").alias("value"))
+                 F.col("vb").cast("string").alias("value"), "unclosed_record")
     whole = F.col("goes_on") | F.col("open")
-    spans = (j.where(whole).groupBy("path", "record")
+    part = F.when(whole & (F.col("record") == F.col("unclosed_record")), F.when(F.col("goes_on"), 2).otherwise(1)).otherwise(0)
+    j = j.withColumn("unclosed", part)
+    spans = (j.where(whole & (F.col("unclosed") == 0)).groupBy("path", "record")
              .agg(F.array_sort(F.collect_list(F.struct("line", "value", "block"))).alias("parts"))
              .select("path", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"), "record",
-                     F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value")))
-    every = j.where(~whole).select("path", "block", "line", "record", "value").unionByName(spans)
+                     F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"), F.lit(0).alias("unclosed")))
+    every = j.where(~whole | (F.col("unclosed") > 0)).select("path", "block", "line", "record", "value", "unclosed").unionByName(spans)
     # cut by length: a regular expression would repair bytes that are not UTF-8
     cr = F.endswith("value", F.lit("\r"))
     return every.withColumn("value", F.when(cr, F.substr("value", F.lit(1), F.length("value") - 1)).otherwise(F.col("value")))
@@ -116,7 +125,7 @@ def _headers(records: DataFrame, contract: Contract, delimiter: str, marks: Data
     if marks is not None:
         first = first.join(marks.select("path", "bom"), "path", "left").withColumn(
             "value", F.when(F.col("bom"), F.concat(F.lit(BOM), F.col("value"))).otherwise(F.col("value")))
-    first = first.select("path", F.when(F.col("value") == "", F.array().cast("array<string>"))
+    first = first.select("path", F.when((F.col("value") == "") | (F.col("unclosed") == 1), F.array().cast("array<string>"))
                          .otherwise(split_fields(F.col("value"), delimiter)).alias("header"),
                          (F.col("value") != "").cast("long").alias("header_nonempty"))
     hdr, cols = F.col("header"), []
@@ -144,13 +153,15 @@ def validate_large(spark: SparkSession, paths, manifests: DataFrame, contract: C
     headers = checked_broadcast(headers, max_files)
     idx = {name: F.col(f"__i_{name}") for name in expected}
 
-    data = nl.where((F.col("line") >= 2) & (F.col("value") != "")).join(headers, "path")
+    data = nl.where((F.col("line") >= 2) & (F.col("value") != "") & (F.col("unclosed") < 2)).join(headers, "path")
     n = (F.col("record") - F.col("header_nonempty") + 1)
     data = data.withColumn("__f", split_fields(F.col("value"), delimiter))
     cells = _cells(contract, F.col("__f"), idx)
-    rows = data.select("path", "block", n.alias("n"), cells.alias("c"))
-    rows = rows.select("path", "block", "n", _cell_errors(contract, F.col("c"), F.col("n")).alias("errs"),
-                       _amount_value(contract, F.col("c")).alias("amt"))
+    rows = data.select("path", "block", n.alias("n"), cells.alias("c"), "line", (F.col("unclosed") == 1).alias("unclosed"))
+    rows = rows.select("path", "block", "n",
+                       F.when(F.col("unclosed"), F.array(unclosed_error(F.col("n"), F.col("line"))))
+                       .otherwise(_cell_errors(contract, F.col("c"), F.col("n"))).alias("errs"),
+                       F.when(~F.col("unclosed"), _amount_value(contract, F.col("c"))).alias("amt"))
     rows = stage(spark, rows, "line-checks")     # per-file totals, block counts and errors read it
 
     zero = F.lit(0).cast("decimal(38,6)")
@@ -220,7 +231,7 @@ def parse_large(spark: SparkSession, paths, contract: Contract, delimiter: str =
     """Typed rows of large files (A3 on the splittable path): path, line_no, contract columns."""
     nl = records if records is not None else numbered_records(spark, paths)
     headers = checked_broadcast(_headers(nl, contract, delimiter, None).drop("header"), max_files)
-    data = nl.where((F.col("line") >= 2) & (F.col("value") != "")).join(headers, "path")
+    data = nl.where((F.col("line") >= 2) & (F.col("value") != "") & (F.col("unclosed") < 2)).join(headers, "path")
     data = data.withColumn("__f", split_fields(F.col("value"), delimiter))
     out = [F.col("path"), (F.col("record") - F.col("header_nonempty") + 1).cast("int").alias("line_no")]
     for p in contract.properties:
@@ -228,7 +239,7 @@ def parse_large(spark: SparkSession, paths, contract: Contract, delimiter: str =
         v = F.when(pos > 0, F.try_element_at("__f", pos))
         if p.logical_type == "number":
             v = F.when(_strip(v).rlike(NUMBER_PATTERN), _strip(v).try_cast("decimal(20,2)"))
-        out.append(v.alias(p.name))
+        out.append(F.when(F.col("unclosed") == 0, v).alias(p.name))
     return data.select(*out)
 
 
