@@ -48,6 +48,8 @@ BANDS, ROWS_PER_BAND = 36, 7
 REGISTERS = BANDS * ROWS_PER_BAND
 #: Buckets of up to this many members may be compared in all pairs.
 SMALL_BUCKET = 12
+#: A signature costs about 150 KB of memory while it is made, however short the text: that many are made at once.
+SIGNED_ROWS = 256
 LEADERS = 8
 #: What rounding may take from a bound.
 EPSILON = 1e-9
@@ -130,7 +132,7 @@ def _all_bands(n_rows: int, row: np.ndarray, h: np.ndarray, count: np.ndarray) -
 
 def _bands(batches):
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, rows=SIGNED_ROWS):
             w = Words(part.column("text"), lower=True)
             row, h, count = shingles(w)
             keys, use = _all_bands(w.n_rows, row, h, count)

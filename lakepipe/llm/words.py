@@ -83,12 +83,13 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]: off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """Slices of whole rows with about SLICE_BYTES of text each (at least one row)."""
+def slices(batch: pa.RecordBatch, column: str = "text", rows: int | None = None):
+    """Slices of whole rows with about SLICE_BYTES of text each, and at most ``rows`` rows (at least one row)."""
     _, off = text_bytes(batch.column(column))
     a = 0
     while a < len(batch):
         b = max(a + 1, int(np.searchsorted(off, off[a] + SLICE_BYTES, side="right")) - 1)
+        b = min(b, a + (rows or len(batch)))
         yield batch.slice(a, b - a)
         a = b
 

@@ -1,6 +1,9 @@
 """Near-duplicate classes (2) against all pairs."""
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import brute
 import corpus
@@ -168,3 +171,21 @@ def test_repeated_shingles_hide_no_plain_link():
         assert len(a) == near_dup.BANDS and len(b) == len({*b}) > near_dup.BANDS
         lost += not {*a} & {*b}
     assert not lost
+
+
+def test_memory_of_the_band_pass_follows_bytes_not_rows():
+    code = """
+import resource, sys
+sys.path.insert(0, {root!r})
+import pyarrow as pa
+from lakepipe.llm import near_dup
+batch = lambda n: pa.RecordBatch.from_arrays(
+    [pa.array(range(n)), pa.array([" ".join(f"w{{i * 17 + k}}" for k in range(14)) for i in range(n)]), pa.array(range(n))],
+    names=["doc_id", "text", "node"])
+list(near_dup._bands([batch(near_dup.SIGNED_ROWS)]))
+few = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert sum(x.num_rows for x in near_dup._bands([batch(10_000)])) == 10_000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - few) // 1024)
+""".format(root=str(Path(__file__).resolve().parents[2]))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 200      # MB
