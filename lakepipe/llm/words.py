@@ -94,6 +94,57 @@ def slices(batch: pa.RecordBatch, column: str = "text", rows: int | None = None)
         a = b
 
 
+def pieces(column, inside: np.ndarray):
+    """Row numbers, bytes and row offsets of pieces of about SLICE_BYTES; runs of ``inside`` bytes stay whole.
+
+    A longer text is a piece of its own for each SLICE_BYTES, cut at a byte
+    that is outside, so memory does not grow with a text (a single run that
+    is longer is held whole).
+    """
+    data, off = text_bytes(column)
+    a = 0
+    while a < len(off) - 1:
+        b = max(a + 1, int(np.searchsorted(off, off[a] + SLICE_BYTES, side="right")) - 1)
+        if off[b] - off[a] <= SLICE_BYTES:
+            yield np.arange(a, b), data[off[a]: off[b]], off[a: b + 1] - off[a]
+        else:
+            at = int(off[a])
+            while at < off[b]:
+                end = min(at + SLICE_BYTES, int(off[b]))
+                while end < off[b]:
+                    outside = np.flatnonzero(~inside[data[end: min(end + 4096, int(off[b]))]])
+                    if len(outside):
+                        end += int(outside[0])
+                        break
+                    end = min(end + 4096, int(off[b]))
+                yield np.array([a]), data[at:end], np.array([0, end - at])
+                at = end
+        a = b
+
+
+def runs(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes that are inside; a run ends with its row."""
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    full = off[1:] > off[:-1]
+    a, b = off[:-1][full], off[1:][full] - 1
+    first[a], last[b] = inside[a], inside[b]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one after another."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte ranges as an Arrow string column."""
+    off = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    body = np.ascontiguousarray(data[ranges(start, end - start)])
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(off), pa.py_buffer(body)).cast(pa.string())
+
+
 def byte_table(separators) -> np.ndarray:
     table = np.ones(256, dtype=bool)
     table[list(separators)] = False

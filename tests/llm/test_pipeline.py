@@ -54,4 +54,4 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
