@@ -14,6 +14,7 @@ from lakepipe.llm import (
     recompress,
     repetition,
     revisits,
+    skip_chain,
     slots,
     spelling,
     subword,
@@ -62,6 +63,10 @@ def op10_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_blocks.mixture(read(spark, sf_dir, "documents"))
 
 
+def op12_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skip_chain.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op13_trie_node_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(read(spark, sf_dir, "documents"))
 
@@ -69,5 +74,5 @@ def op13_trie_node_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_trees, op2_prob_min_hash, op3_virtual_slots, op4_license_diagonals, op5_revisit_resolution,
-        op6_recompression, op7_repetition_rules, op8_subword_quality, op9_benchmark_fm_index, op10_block_mixture, op13_trie_node_pairs)
+        op6_recompression, op7_repetition_rules, op8_subword_quality, op9_benchmark_fm_index, op10_block_mixture, op12_skip_chain_crf, op13_trie_node_pairs)
 }
