@@ -1,13 +1,13 @@
 """DuckDB SQL for the operators that SQL can express.
 
 Not expressed: 1 (boosted trees), 2 (signatures), 3 (largest-first dealing,
-CRC-32), 4 (diagonal runs), 8 (gradient descent).  Tests compare these with
-brute-force versions, or judge them on held-out rows.
+CRC-32), 4 (diagonal runs), 8 (gradient descent), 12 (message passing).  Tests
+compare these with brute-force versions, or judge them on held-out rows.
 """
 
 from __future__ import annotations
 
-from lakepipe.llm import fm_index, mix_blocks, recompress, repetition, spelling
+from lakepipe.llm import fm_index, k2_treap, mix_blocks, recompress, repetition, spelling
 
 PLAIN = r"[^\x20\x09-\x0D]+"
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -122,6 +122,19 @@ SELECT record_id, u AS canonical_url, CASE WHEN verdict = 'resolved' THEN x.id E
   CASE WHEN verdict = 'resolved' THEN 'cache-control=max-age=60;content-type=text/html;date=' || later || ';etag="' || x.tag
     || '";server=s' || (x.p % 3) END AS headers FROM v"""
 
+_K = k2_treap
+_RANKED = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{LETTERS}') AS ws FROM documents),
+  s AS (SELECT count(*) FILTER (len(ws) > 0) AS n, sum(len(ws))::BIGINT AS l FROM d),
+  q AS (SELECT i, item_id, unnest(list_distinct(ws)) AS term FROM (SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{LETTERS}') AS ws FROM benchmark)),
+  t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  w AS (SELECT term, floor({_K.WEIGHT} * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+  c AS (SELECT i, item_id, r, doc_id, sum(w * (({_K.SCALE} * tf) // ({_K.SATURATE} * tf + {_K.LENGTH} * ({_K.M_BASE} + ({_K.M_SHARE} * t.n * s.n) // s.l))))::BIGINT AS score
+    FROM q JOIN t USING (term) JOIN w USING (term), s GROUP BY ALL HAVING score > 0),
+  k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= {_K.TOP}"""
+
 #: CRC-32 by its table, as DuckDB has no function for it.
 _S = spelling
 _SPELLING = f"""WITH t AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
@@ -151,5 +164,6 @@ SQL: dict[str, str] = {
     "op7_repetition_rules": _repetition(),
     "op9_benchmark_fm_index": _CONTAMINATION,
     "op10_block_mixture": _MIX,
+    "op11_k2_treap": _RANKED,
     "op13_trie_node_pairs": _SPELLING,
 }

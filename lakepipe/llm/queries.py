@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakepipe.llm import (
     fm_index,
+    k2_treap,
     license_diagonals,
     mix_blocks,
     near_dup,
@@ -63,6 +64,10 @@ def op10_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_blocks.mixture(read(spark, sf_dir, "documents"))
 
 
+def op11_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2_treap.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skip_chain.personal_data(read(spark, sf_dir, "documents"))
 
@@ -74,5 +79,5 @@ def op13_trie_node_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_trees, op2_prob_min_hash, op3_virtual_slots, op4_license_diagonals, op5_revisit_resolution,
-        op6_recompression, op7_repetition_rules, op8_subword_quality, op9_benchmark_fm_index, op10_block_mixture, op12_skip_chain_crf, op13_trie_node_pairs)
+        op6_recompression, op7_repetition_rules, op8_subword_quality, op9_benchmark_fm_index, op10_block_mixture, op11_k2_treap, op12_skip_chain_crf, op13_trie_node_pairs)
 }
