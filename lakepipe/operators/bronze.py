@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepipe.functions.columns import version_from_sid
-from lakepipe.schemas import BRONZE_LCR
+from lakepipe.schemas import BRONZE_HISTORY, BRONZE_LCR, LOADS
 from lakepipe.sources import tables
-
-PARTITION = ["reporting_period"]
+from lakepipe.sources.versioned import Store, period_part
 
 
 def with_audit(parsed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -38,39 +37,51 @@ def replace_rows(existing: DataFrame, new: DataFrame, submissions: DataFrame | N
     return kept.unionByName(new.select(*existing.columns))
 
 
-def affected_periods(new: DataFrame, existing: DataFrame | None = None, submissions: DataFrame | None = None) -> list[str]:
-    """Periods a batch touches: those of its rows and those where its submissions have rows already.
+def current(history: DataFrame) -> DataFrame:
+    """The rows that no later delivery replaced."""
+    return history.where(F.col("replaced_at").isNull()).drop("replaced_at")
 
-    A handful of values per batch; used as a literal IN list so every Bronze,
-    Silver and Gold read of the batch is partition-pruned.  Earlier rows are
-    found by a scan of two narrow columns.
-    """
-    found = new.select(PARTITION[0])
-    if existing is not None:
-        sids = (new if submissions is None else submissions).select("submission_id").distinct()
-        found = found.unionByName(existing.join(sids, "submission_id", "left_semi").select(PARTITION[0]))
-    p = F.col(PARTITION[0])
-    return sorted(r[0] for r in found.where(p.isNotNull() & (p != "")).distinct().collect())
-
-
-def replace_submissions(spark: SparkSession, path: str, new: DataFrame, submissions: DataFrame | None = None) -> list[str]:
-    """Idempotent load of a batch of submissions into the Bronze folder.
-
-    Replace-then-append as ONE partition overwrite: affected periods are read
-    (pruned), merged with the new rows, staged under the checkpoint folder,
-    then written with dynamic partition overwrite; a period left without rows
-    is dropped.  Re-running the same batch gives the same table.  Returns the
-    affected periods.
+
+def close_replaced(history: DataFrame, submissions: DataFrame, at: Column) -> DataFrame:
+    """The history with the current rows of the submissions closed at a time; nothing is deleted."""
+    sids = submissions.select("submission_id").distinct().withColumn("__again", F.lit(True))
+    ends = F.when(F.col("__again") & F.col("replaced_at").isNull(), at.cast("timestamp_ntz")).otherwise(F.col("replaced_at"))
+    return history.join(sids, "submission_id", "left").select(
+        *[ends.alias(c) if c == "replaced_at" else F.col(c) for c in history.columns])
+
+
+def replace(store: Store, new: DataFrame, submissions: DataFrame | None = None, at: Column | None = None
+            ) -> tuple[dict[str, dict], list[str]]:
+    """The load of a batch of submissions, to be committed by the caller, and the periods it touches.
+
+    ``submissions`` (submission_id) are those delivered; a delivery without
+    rows replaces the earlier ones by none (default: those that have rows).
+    Replaced rows stay with the time of their replacement.  Earlier rows are
+    found by the list of loads, not by a scan of Bronze; only the touched
+    periods (months, and one partition for all texts that are none) are read
+    and written.
     """
-    new = new.select(*[f.name for f in BRONZE_LCR.fields])
-    if not tables.exists(spark, path):
-        periods = affected_periods(new)
-        tables.overwrite_partitions(new, path, PARTITION)
-        return periods
-    existing = spark.read.schema(BRONZE_LCR).parquet(path)
-    periods = affected_periods(new, existing, submissions)
-    merged = replace_rows(existing.where(F.col(PARTITION[0]).isin(periods)), new, submissions)
-    staged = tables.stage(spark, merged, "bronze-merge")
-    tables.overwrite_partitions(staged, path, PARTITION)
-    tables.drop_empty_partitions(spark, path, PARTITION[0], periods, staged)
+    spark = store.spark
+    at = at if at is not None else F.localtimestamp()
+    new = tables.stage(spark, new.select(*[f.name for f in BRONZE_LCR.fields]), "bronze-new")
+    sids = (new if submissions is None else submissions).select("submission_id").distinct()
+    arrived = new.groupBy("submission_id").agg(F.count(F.lit(1)).alias("rows"), F.collect_set(period_part()).alias("periods"))
+    loads = tables.stage(spark, sids.join(arrived, "submission_id", "left").select(
+        "submission_id", at.cast("timestamp_ntz").alias("loaded_at"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.coalesce("periods", F.array().cast("array<string>")).alias("periods")), "loads")
+    earlier = store.read("loads", LOADS).join(loads.select("submission_id"), "submission_id", "left_semi")
+    months = earlier.select("periods").unionByName(loads.select("periods")).select(F.explode("periods").alias("p")).distinct()
+    periods = sorted(r["p"] for r in months.collect())
+    kept = close_replaced(store.read("bronze", BRONZE_HISTORY, periods), loads, at)
+    merged = kept.unionByName(new.withColumn("replaced_at", F.lit(None).cast("timestamp_ntz")))
+    return {"bronze": store.written(merged, "bronze", by_period=True, periods=periods),
+            "loads": store.written(loads, "loads", append=True)}, periods
+
+
+def replace_submissions(spark: SparkSession, path: str, new: DataFrame, submissions: DataFrame | None = None,
+                        at: Column | None = None) -> list[str]:
+    """``replace`` on the store in a folder, committed: readers see all of the delivery or nothing of it."""
+    store = Store(spark, path)
+    changes, periods = replace(store, new, submissions, at)
+    store.commit(changes, "replace submissions")
     return periods

@@ -104,9 +104,9 @@ def decide(files: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
 
 def receipts(decided: DataFrame) -> DataFrame:
-    """Receipt JSON of every RECEIVED file."""
+    """Receipt JSON of every RECEIVED file (B7); ``raw_uri`` names the file that arrived, as lineage in Bronze does."""
     r = decided.where(F.col("verdict") == "RECEIVED")
     return r.select("submission_id", F.to_json(F.struct(
         "submission_id", F.lit("RECEIVED").alias("status"),
-        F.concat(F.lit("raw/"), F.col("raw_key")).alias("raw_uri"),
+        F.col("path").alias("raw_uri"),
         "sha256", F.col("received_at").cast("string").alias("received_at"))).alias("receipt"))

@@ -319,17 +319,40 @@ def bronze_replay_replace(spark, sf_dir):
 def bronze_moved_emptied(spark, sf_dir):
     """The Bronze sink after a re-delivery that moves submissions to another year and empties others."""
     from lakepipe.operators import bronze
-    from lakepipe.schemas import BRONZE_LCR
+    return bronze.current(_redelivered(spark, sf_dir))
+
+
+REDELIVERED_AT = "2010-01-01 06:00:00"
+
+
+def _redelivered(spark, sf_dir):
+    """Bronze with its history: loaded, then moved submissions delivered again a year on and others delivered empty."""
+    from lakepipe.operators import bronze
+    from lakepipe.schemas import BRONZE_HISTORY
     from lakepipe.session import scratch_path
+    from lakepipe.sources.versioned import Store
     path = scratch_path(spark, "bronze")
     base = tables.stage(spark, _clean_bronze(spark, sf_dir), "clean")
-    bronze.replace_submissions(spark, path, base)
+    bronze.replace_submissions(spark, path, base, at=_ts("2000-01-01 06:00:00"))
     year = F.substring("reporting_period", 1, 4).cast("int") + 1
     moved = base.where(F.col("submission_version") == 3).withColumn(
         "reporting_period", F.concat(year.cast("string"), F.substring("reporting_period", 5, 3)))
     emptied = base.where((F.col("submission_version") == 2) & F.col("institution_id").endswith("7"))
-    bronze.replace_submissions(spark, path, moved, moved.select("submission_id").union(emptied.select("submission_id")))
-    return spark.read.schema(BRONZE_LCR).parquet(path)
+    bronze.replace_submissions(spark, path, moved, moved.select("submission_id").union(emptied.select("submission_id")),
+                               at=_ts(REDELIVERED_AT))
+    return Store(spark, path).read("bronze", BRONZE_HISTORY)
+
+
+@query
+def bronze_asof_redelivery(spark, sf_dir):
+    """Bronze as of a second before the re-delivery, by period: the moved and the emptied submissions are where they were.
+
+    Moved rows carry their first load time, so the second delivery is told by the closing of the first.
+    """
+    history = _redelivered(spark, sf_dir).where(F.col("replaced_at").isNotNull())
+    was = tables.as_of(history, loaded_before="2010-01-01 05:59:59")
+    return was.groupBy("reporting_period", "submission_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("submission_id").alias("submissions"), F.sum("amount").cast("decimal(38,2)").alias("amount"))
 
 
 # ----------------------------------------------------------- table sinks

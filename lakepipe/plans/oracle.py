@@ -472,7 +472,7 @@ verdicts AS (
   FROM keyed k LEFT JOIN by_sha s ON k.path = s.path LEFT JOIN by_name n ON k.path = n.path)"""
 
 SQL["intake_receipts"] = INTAKE_BASE + """
-SELECT submission_id, '{"submission_id":"' || submission_id || '","status":"RECEIVED","raw_uri":"raw/' || raw_key
+SELECT submission_id, '{"submission_id":"' || submission_id || '","status":"RECEIVED","raw_uri":"' || path
        || '","sha256":"' || sha256 || '","received_at":"' || CAST(received_at AS VARCHAR) || '"}' AS receipt
 FROM verdicts WHERE verdict = 'RECEIVED'"""
 
@@ -549,6 +549,12 @@ UNION ALL
 SELECT * REPLACE (CAST(CAST(reporting_period[1:4] AS INTEGER) + 1 AS VARCHAR) || reporting_period[5:7] AS reporting_period)
 FROM base WHERE submission_version = 3"""
 
+SQL["bronze_asof_redelivery"] = f"""WITH {lines_cte('clean', 999, False)},
+base AS ({audit_select('clean')})
+SELECT reporting_period, submission_version, count(*) AS n_rows, count(DISTINCT submission_id) AS submissions,
+       CAST(sum(amount) AS DECIMAL(38,2)) AS amount
+FROM base WHERE submission_version = 3 OR (submission_version = 2 AND institution_id LIKE '%7') GROUP BY ALL"""
+
 SQL["dq_results_by_day"] = HISTORY + """
 SELECT CAST(checked_at AS DATE) AS checked_day, rule_id, outcome, count(*) AS results FROM hist GROUP BY ALL"""
 

@@ -7,6 +7,14 @@ from pyspark.sql import types as T
 S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 AMOUNT = T.DecimalType(20, 2)
 
+_NAMED = {"string": S, "long": L, "int": I, "double": D, "boolean": B, "amount": AMOUNT, "time": T.TimestampNTZType(), "strings": T.ArrayType(S)}
+
+
+def columns(text: str) -> T.StructType:
+    """A schema from "name type, ..." with the type names above (no session is needed)."""
+    return T.StructType([T.StructField(name, _NAMED[kind]) for name, kind in (c.split() for c in text.split(","))])
+
+
 # Business columns of one LCR submission line, in contract order.
 LCR_BUSINESS = T.StructType([
     T.StructField("institution_id", S),
@@ -24,6 +32,17 @@ BRONZE_LCR = T.StructType(LCR_BUSINESS.fields + [
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
+# Bronze keeps replaced rows: a row is current until the time it was replaced.
+BRONZE_HISTORY = T.StructType(BRONZE_LCR.fields + [T.StructField("replaced_at", T.TimestampNTZType())])
+
+# The list of loads: what each delivery put into Bronze, and into which partitions.
+LOADS = T.StructType([
+    T.StructField("submission_id", S),
+    T.StructField("loaded_at", T.TimestampNTZType()),
+    T.StructField("rows", L),
+    T.StructField("periods", T.ArrayType(S)),
+])
+
 MANIFEST = T.StructType([
     T.StructField("file_name", S),
     T.StructField("institution_id", S),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepipe.schemas import MANIFEST
 
@@ -96,7 +97,15 @@ def scan_large_files(spark: SparkSession, root, min_bytes: int = LARGE_FILE_BYTE
     return meta.join(sha, "file_path")
 
 
-def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
+def manifest_paths(spark: SparkSession, root: str, files: DataFrame) -> list[str]:
+    """Paths of the manifests that lie beside the files (``path``); the folder is listed, no manifest is opened."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", f"*{MANIFEST_SUFFIX}").load(root).select("path"))
+    beside = files.select(F.concat("path", F.lit(MANIFEST_SUFFIX)).alias("path"))
+    return [r["path"] for r in listed.join(beside, "path", "left_semi").collect()]
+
+
+def scan_manifests(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """data_path (the encoded path of the file the manifest describes), manifest struct, manifest_text."""
     m = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", f"*{MANIFEST_SUFFIX}").text(root)
@@ -121,5 +130,9 @@ def files_with_manifests(spark: SparkSession, root: str, large_bytes: int | None
         big = scan_large_files(spark, where, large_bytes, file_system).withColumns({
             "utf8_ok": F.lit(None).cast("boolean"), "content": F.lit(None).cast("string"), "large": F.lit(True)})
         files = files.unionByName(big)
-    mans = scan_manifests(spark, root)
+    # with paths, only the manifests beside them are opened
+    beside = None if paths is None else manifest_paths(spark, root, spark.createDataFrame([(p,) for p in paths], "path string"))
+    mans = scan_manifests(spark, root if beside is None else beside) if beside or paths is None else \
+        spark.createDataFrame([], T.StructType([T.StructField("data_path", T.StringType()), T.StructField("manifest", MANIFEST),
+                                                T.StructField("manifest_text", T.StringType())]))
     return files.join(mans, files.file_path == mans.data_path, "left").drop("data_path")

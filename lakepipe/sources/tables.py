@@ -103,10 +103,19 @@ def insert_values(spark: SparkSession, name: str, rows: list[tuple]) -> None:
 
 
 def as_of(bronze: DataFrame, loaded_before=None, max_version: int | None = None) -> DataFrame:
-    """User-level time travel on an append-only table (filters push to the scan)."""
+    """The rows as of a time (filters push to the scan).
+
+    A table that keeps replaced rows (``replaced_at``) gives those that were
+    current then, also if a later delivery replaced them.
+    """
     out = bronze
     if loaded_before is not None:
-        out = out.where(F.col("loaded_at") <= F.lit(loaded_before).cast("timestamp_ntz"))
+        time = F.lit(loaded_before).cast("timestamp_ntz")
+        out = out.where(F.col("loaded_at") <= time)
+        if "replaced_at" in out.columns:
+            out = out.where(F.col("replaced_at").isNull() | (F.col("replaced_at") > time))
+    if "replaced_at" in out.columns:
+        out = out.drop("replaced_at") if loaded_before is not None else out.where(F.col("replaced_at").isNull()).drop("replaced_at")
     if max_version is not None:
         out = out.where(F.col("submission_version") <= max_version)
     return out

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_submission
-from lakepipe.plans.lcr_flow import run_lcr_batch
+from lakepipe.plans.lcr_flow import read_table, run_lcr_batch
 from lakepipe.operators import bronze
 from conftest import rows
 
@@ -80,13 +80,14 @@ def test_gold_only_accepted(flow):
 
 def test_replay_is_idempotent(spark, flow):
     root = flow[1]
-    path = os.path.join(root, "wh", "bronze")
-    before = spark.read.parquet(path).count()
-    again = spark.read.parquet(path).where("submission_id = 'FI001-LCR-2024-01-v1'")
+    path = os.path.join(root, "wh")
+    rows_now = lambda: bronze.current(read_table(spark, path, "bronze"))
+    before = rows_now().count()
+    again = rows_now().where("submission_id = 'FI001-LCR-2024-01-v1'")
     again = spark.createDataFrame(again.collect(), again.schema)
     bronze.replace_submissions(spark, path, again)
     bronze.replace_submissions(spark, path, again)
-    assert spark.read.parquet(path).count() == before
+    assert rows_now().count() == before
 
 
 def test_second_run_finds_duplicates(spark, flow):
@@ -114,8 +115,8 @@ def test_incremental_rebuild_equals_full_rebuild(spark):
     write_submission(land, "FI003", "2024-02", 1)
     out = run_lcr_batch(spark, land, wh, inst)
 
-    b = spark.read.parquet(os.path.join(wh, "bronze"))
-    dq = spark.read.parquet(os.path.join(wh, "dq_results")).where("stage = 'bronze'")
+    b = bronze.current(read_table(spark, wh, "bronze"))
+    dq = read_table(spark, wh, "dq_results").where("stage = 'bronze'")
     full_s = silver.build_silver(b, dq, build_ts=False)
     full_g = gold.build_gold(full_s, reference.line_codes(spark), inst, build_ts=False)
     s_cols = [c for c in full_s.columns]

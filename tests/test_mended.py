@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from lakepipe.contracts import Rule, load_contract
 from lakepipe.functions import joins
 from lakepipe.operators import bronze, checks, governance, intake, quality, structure, structure_large
-from lakepipe.plans.lcr_flow import run_lcr_batch
-from lakepipe.schemas import BRONZE_LCR
+from lakepipe.plans.lcr_flow import read_table, run_lcr_batch
+from lakepipe.schemas import BRONZE_HISTORY, BRONZE_LCR
 from lakepipe.sources import raw, tables
+from lakepipe.sources.versioned import Store
 from lakepipe.streaming import payments
 
 INSTITUTIONS = "institution_id string, institution_name string, institution_type string, peer_group string"
@@ -128,9 +129,9 @@ def test_batch_with_odd_files_goes_through(spark, folder, large_bytes):
     out = run_lcr_batch(spark, land, wh, institutions(spark), large_bytes=large_bytes)
     status = {r["submission_id"]: r["status"] for r in out["status"].collect()}
     assert status["FI001-LCR-2024-01-v1"] == "PUBLISHED" and "FI003-LCR-2024-13-v1" in status and len(status) == 2
-    receipts = [json.loads(r["receipt"]) for r in spark.read.json(f"{wh}/receipts").collect()]
+    receipts = [json.loads(r["receipt"]) for r in read_table(spark, wh, "receipts").collect()]
     assert {r["submission_id"] for r in receipts} == set(status)
-    uri = spark.read.parquet(f"{wh}/bronze").where("institution_id = 'FI001'").first()["source_uri"]
+    uri = read_table(spark, wh, "bronze").where("institution_id = 'FI001'").first()["source_uri"]
     assert uri.endswith("/land ing/FI001_LCR_2024-01_v1.csv") and os.path.exists(uri.removeprefix("file:"))
     again = run_lcr_batch(spark, land, wh, institutions(spark), large_bytes=large_bytes)
     assert again["intake"].count() == 0                    # only undecided files are read
@@ -141,16 +142,16 @@ def test_failed_model_test_leaves_the_history(spark, folder):
     land, wh = os.path.join(folder, "land"), os.path.join(folder, "wh")
     write_submission(land, "FI001", "2024-01", 1)
     run_lcr_batch(spark, land, wh, institutions(spark))
-    before = spark.read.parquet(f"{wh}/gold").drop("gold_built_at").collect()
+    before = read_table(spark, wh, "gold").drop("gold_built_at").collect()
     write_submission(land, "FI002", "2024-01", 1, "zero_amounts")
     with pytest.raises(checks.BuildTestError):
         run_lcr_batch(spark, land, wh, institutions(spark))
-    events = {(r["submission_id"], r["status"]) for r in spark.read.parquet(f"{wh}/ledger").collect()}
+    events = {(r["submission_id"], r["status"]) for r in read_table(spark, wh, "ledger").collect()}
     assert {("FI002-LCR-2024-01-v1", s) for s in ("RECEIVED", "VALIDATED", "ACCEPTED")} <= events
     assert ("FI002-LCR-2024-01-v1", "PUBLISHED") not in events
-    failed = spark.read.parquet(f"{wh}/dq_results").where("stage = 'gold' and outcome = 'FAIL'")
+    failed = read_table(spark, wh, "dq_results").where("stage = 'gold' and outcome = 'FAIL'")
     assert failed.where("rule_id = 'not_null_gold_lcr_ratio'").count() == 1
-    assert spark.read.parquet(f"{wh}/gold").drop("gold_built_at").collect() == before   # tested before it is swapped in
+    assert read_table(spark, wh, "gold").drop("gold_built_at").collect() == before   # tested before it is swapped in
 
 
 def test_no_join_of_the_intake_carries_file_bodies(spark, folder):
@@ -180,7 +181,7 @@ def _bronze_rows(spark, rows):
 def test_replaced_submission_leaves_no_rows_behind(spark, folder):
     path = f"{folder}/bronze"
     content = lambda: sorted((r["submission_id"], str(r["reporting_period"]), r["line_code"])
-                             for r in spark.read.schema(BRONZE_LCR).parquet(path).collect())
+                             for r in bronze.current(Store(spark, path).read("bronze", BRONZE_HISTORY)).collect())
     bronze.replace_submissions(spark, path, _bronze_rows(spark, [("a-v1", "2024-01", "X"), ("b-v1", "2024-02", "X"), ("c-v1", "2024-03", "X")]))
     bronze.replace_submissions(spark, path, _bronze_rows(spark, [("a-v1", "2024-02", "Y")]))       # moved to another period
     assert content() == [("a-v1", "2024-02", "Y"), ("b-v1", "2024-02", "X"), ("c-v1", "2024-03", "X")]
@@ -194,12 +195,13 @@ def test_quarantined_last_submission_empties_its_period(spark, folder):
     write_submission(land, "FI001", "2024-01", 1)
     write_submission(land, "FI001", "2024-02", 1)
     run_lcr_batch(spark, land, wh, institutions(spark))
-    dq = spark.read.parquet(f"{wh}/dq_results").where("stage = 'bronze' and rule_id = 'LCR-004' and submission_id like '%2024-01%'")
-    tables.append(spark.createDataFrame(dq.withColumn("outcome", F.lit("FAIL")).collect(), dq.schema), f"{wh}/dq_results", ["checked_day"])
+    dq = read_table(spark, wh, "dq_results").where("stage = 'bronze' and rule_id = 'LCR-004' and submission_id like '%2024-01%'")
+    store = Store(spark, wh)                               # as if an earlier run's results had held it back
+    store.commit({"quarantined": store.written(dq.select("submission_id").distinct(), "quarantined")})
     write_submission(land, "FI001", "2024-01", 2, "negative_amount")
     out = run_lcr_batch(spark, land, wh, institutions(spark))
     assert [r["reporting_period"] for r in out["gold"].select("reporting_period").collect()] == ["2024-02"]
-    assert spark.read.parquet(f"{wh}/silver").select("reporting_period").distinct().count() == 1
+    assert read_table(spark, wh, "silver").select("reporting_period").distinct().count() == 1
 
 
 # ------------------------------------------------------------------- streams
