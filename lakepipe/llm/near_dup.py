@@ -23,7 +23,8 @@ in all pairs of different classes, large ones with the most central member of
 each of ``LEADERS`` parts.  The texts of large buckets that are still in
 different classes are then joined exactly (``open_pairs``): their shingles are
 put in one order, rarest first, and a pair meets at the first shingle that both
-have, if what either text has from there on can still make a link.
+have, if what either text has from there on can still make a link and the
+parities of their shingles do not tell that they are too far apart.
 
 Defined results: null texts are empty; texts without words only join equal
 texts; of a class, the row with the smallest id (null last, ties by text hash)
@@ -53,6 +54,11 @@ SIGNED_ROWS = 256
 LEADERS = 8
 #: What rounding may take from a bound.
 EPSILON = 1e-9
+#: Places of the parity marks that tell how far two texts are apart at least.
+MARKS = 512
+MARK_COLUMNS = [f"mark{i}" for i in range(MARKS // 64)]
+#: A shingle of more texts than this is joined in parts.
+PART_ROWS = 2000
 #: P(at most k arrivals in a time of 1 at rate 1)
 _POISSON = np.cumsum(np.exp(-1) / np.concatenate([[1.0], np.cumprod(np.arange(1, 18, dtype=float))]))
 
@@ -230,6 +236,22 @@ def _entries(batches):
              pa.array(n[text].astype(np.int32))], names=["node", "shingle", "share", "size"])
 
 
+def _marks(batches):
+    """Of each text: the total weight of its shingles, and for MARKS places the parity of the shingles that fall there."""
+    for batch in batches:
+        n = pa.compute.list_value_length(batch.column("shingles")).to_numpy()
+        text = np.repeat(np.arange(len(n)), n)
+        h = batch.column("shingles").flatten().to_numpy().view(np.uint64)
+        place = (mix(h ^ U(0x6A09E667F3BCC909)) % U(MARKS)).astype(np.int64)
+        odd = (np.bincount(text * MARKS + place, minlength=len(n) * MARKS) & 1).astype(np.uint8).reshape(len(n), MARKS)
+        bits = np.packbits(odd, axis=1).view(np.int64)
+        counts = batch.column("counts")
+        more = np.bincount(np.repeat(np.arange(len(n)), pa.compute.list_value_length(counts).to_numpy()),
+                           weights=np.log(counts.flatten().to_numpy().astype(float)), minlength=len(n))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array((n + more).astype(float)), *[pa.array(b) for b in bits.T]],
+                                         names=["node", "total", *MARK_COLUMNS])
+
+
 def open_pairs(spark: SparkSession, sets: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs (a, b) of texts of different classes that can be similar enough: none that is can be missing.
 
@@ -239,6 +261,14 @@ def open_pairs(spark: SparkSession, sets: DataFrame, label: DataFrame) -> DataFr
     shared shingle on, in one order of all shingles, a text has at least its
     shared ones, so what it has bounds p and q.  Of two texts one has to keep
     8/9 there, the other 0.8.
+
+    Shingles of one text only number at least as many as the places where the
+    two texts' parities differ.  A link by plain similarity allows 1/9 of both
+    sizes; one by J_P 2/9 of the larger total weight, as each of them weighs 1
+    or more and the bound is convex.  This is tested inside the join, so that
+    of a family whose members are all a little too far from one another no
+    pairs come out.  A shingle of many texts is dealt to several tasks: each
+    has a part of one side and all of the other.
     """
     each = stage(spark, sets.mapInArrow(_entries, "node long, shingle long, share double, size int"), "entries")
     often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
@@ -247,19 +277,27 @@ def open_pairs(spark: SparkSession, sets: DataFrame, label: DataFrame) -> DataFr
     kept = (each.join(often, "shingle").withColumn("rest", F.count(F.lit(1)).over(onward))
             .withColumn("mass", F.sum("share").over(onward))
             .where((F.col("rest") >= F.col("size") * (SIMILARITY - EPSILON)) | (F.col("mass") >= SIMILARITY - EPSILON)))
-    kept = stage(spark, _with_class(kept.select("node", "shingle", "size", "rest", "mass"), label, "node", "class"), "kept")
+    marks = sets.mapInArrow(_marks, "node long, total double, " + ", ".join(f"{c} long" for c in MARK_COLUMNS))
+    kept = _with_class(kept.select("node", "shingle", "size", "rest", "mass"), label, "node", "class")
+    kept = stage(spark, kept.join(marks, "node"), "kept")
     # of two classes at a shingle, one is not the largest there
     classes = kept.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(
-        F.max(F.struct("n", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    some = kept.join(classes.select("shingle", "largest"), "shingle")
-    side = some.where("class <> largest").select(
-        F.col("shingle").alias("_shingle"), *[F.col(c).alias(f"_{c}") for c in ("node", "size", "rest", "mass", "class")])
+        F.max(F.struct("n", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes"),
+        F.ceil(F.sum("n") / PART_ROWS).cast("int").alias("parts")).where("classes > 1")
+    classes = stage(spark, classes.select("shingle", "largest", "parts"), "met-at")
+    some = kept.join(classes, "shingle")
+    here = some.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    side = some.where("class <> largest").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    side = side.select(*[F.col(c).alias(f"_{c}") for c in ("shingle", "part", "node", "size", "rest", "mass", "class", "total", *MARK_COLUMNS)])
     most = 1 + 1 / SIMILARITY + EPSILON
-    plain = F.col("size") + F.col("_size") <= F.least("rest", "_rest") * most
-    weighted = 1 / F.col("mass") + 1 / F.col("_mass") <= most
-    met = some.join(side, (F.col("shingle") == F.col("_shingle")) & (F.col("class") != F.col("_class")) & (plain | weighted))
+    own = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"_{c}"))) for c in MARK_COLUMNS), F.lit(0))
+    spare = (1 - SIMILARITY) / (1 + SIMILARITY) + EPSILON
+    plain = (F.col("size") + F.col("_size") <= F.least("rest", "_rest") * most) & (own <= (F.col("size") + F.col("_size")) * spare)
+    weighted = (1 / F.col("mass") + 1 / F.col("_mass") <= most) & (own <= 2 * F.greatest("total", "_total") * spare)
+    met = here.join(side, (F.col("shingle") == F.col("_shingle")) & (F.col("part") == F.col("_part"))
+                    & (F.col("class") != F.col("_class")) & (plain | weighted))
     found = stage(spark, met.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct(), "open-pairs")
-    discard(each, kept)
+    discard(each, kept, classes)
     return found
 
 

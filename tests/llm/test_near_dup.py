@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakepipe.llm import near_dup, words
+from lakepipe.llm.frames import stage
 
 
 def shingle_counts(text):
@@ -151,12 +152,30 @@ def test_open_pairs_miss_no_link(spark):
         texts.append(" ".join([lines[k] for k in np.sort(rng.choice(12, 10, replace=False)) for _ in range(1 + 3 * (rng.random() < 0.1))] + [own]))
     _, links = brute_classes(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
-    sets = df.mapInArrow(near_dup._sets, near_dup.SETS).localCheckpoint()
+    sets = stage(spark, df.mapInArrow(near_dup._sets, near_dup.SETS), "test-sets")
     label = df.select("node", F.col("node").alias("label")).where("false")
     got = {(texts[r["a"]], texts[r["b"]]) for r in near_dup.open_pairs(spark, sets, label).collect()}
     assert len(links) > 20 and links <= got and len(got) < 120 * 119 / 2
 
 
+def test_a_family_just_below_the_similarity_gives_few_pairs(spark, monkeypatch):
+    """Edited copies of one text, each a link apart from the original and too far from one another; a few are links."""
+    monkeypatch.setattr(near_dup, "PART_ROWS", 50)           # shingles of many texts are joined in parts
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(300):
+        at = rng.choice(30, 4, replace=False) * 5
+        texts.append(" ".join(f"e{i}x{j}" if j in at else w for j, w in enumerate(base)))
+    texts += [t + " z" for t in texts[:20]]
+    _, links = brute_classes(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sets = stage(spark, df.mapInArrow(near_dup._sets, near_dup.SETS), "test-sets")
+    label = df.select("node", F.col("node").alias("label")).where("false")
+    got = {(texts[r["a"]], texts[r["b"]]) for r in near_dup.open_pairs(spark, sets, label).collect()}
+    assert links <= got and len(got) < 320 * 319 / 2 / 4
+
+
 def test_repeated_shingles_hide_no_plain_link():
     """A page with a repeated menu and the clean page share a band, whatever the words."""
     rng = np.random.default_rng(7)
