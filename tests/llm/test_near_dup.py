@@ -168,7 +168,9 @@ def test_a_family_just_below_the_similarity_gives_few_pairs(spark, monkeypatch):
         at = rng.choice(30, 4, replace=False) * 5
         texts.append(" ".join(f"e{i}x{j}" if j in at else w for j, w in enumerate(base)))
     texts += [t + " z" for t in texts[:20]]
-    _, links = brute_classes(texts)
+    own = [set(shingle_counts(t)) for t in texts]                # no shingle is repeated: both similarities are the same
+    links = {(texts[i], texts[j]) for i, j in combinations(range(len(texts)), 2) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])}
+    assert links
     df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
     sets = stage(spark, df.mapInArrow(near_dup._sets, near_dup.SETS), "test-sets")
     label = df.select("node", F.col("node").alias("label")).where("false")
