@@ -437,8 +437,23 @@ def minute_stats_late(spark, sf_dir):
 STREAM_BATCHES, FILES_PER_BATCH = 2, 4
 
 
-def run_payments_stream(spark, sf_dir):
-    """Replay the derived topic through the streaming job (availableNow).
+def _topic(spark, sf_dir, batch):
+    """The derived topic (value, arrival), staged, each row with the number of its micro-batch."""
+    events = tables.stage(spark, td.payment_events_raw(spark, sf_dir).select("value", "arrival"), "topic")
+    ends = events.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
+    # as text: wall-clock times, whatever the zones of the session and of Python
+    return events.withColumn("batch", batch(_ts(str(ends["lo"])), _ts(str(ends["hi"]))) if ends["lo"] is not None else F.lit(0))
+
+
+def _by_arrival(n):
+    """Batches of equal spans of arrival time, in whole milliseconds."""
+    from lakepipe.functions.columns import ntz_to_epoch_millis as ms
+    return lambda lo, hi: F.least(F.lit(n - 1), F.floor(
+        (ms(F.col("arrival")) - ms(lo)) * n / F.greatest(ms(hi) - ms(lo), F.lit(1)))).cast("int")
+
+
+def run_payments_stream(spark, sf_dir, sinks):
+    """Replay the derived topic through the streaming job (availableNow), with the sinks that a query reads.
 
     The events arrive in STREAM_BATCHES micro-batches, by arrival time, so
     copies and late events meet state of earlier batches; a far-future sentinel
@@ -448,42 +463,86 @@ def run_payments_stream(spark, sf_dir):
     """
     from lakepipe.session import scratch_path
     from lakepipe.streaming import payments
-    base = scratch_path(spark, "payments")
-    src = f"{base}/src"
-    events = tables.stage(spark, td.payment_events_raw(spark, sf_dir).select("value", "arrival"), "topic")
-    ends = events.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
-    for k in range(STREAM_BATCHES if ends["lo"] is not None else 0):
-        # as text: wall-clock times, whatever the zones of the session and of Python
-        lo, hi = (_ts(str(ends["lo"] + (ends["hi"] - ends["lo"]) * i / STREAM_BATCHES)) for i in (k, k + 1))
-        part = events.where((F.col("arrival") >= lo) & ((F.col("arrival") < hi) | F.lit(k == STREAM_BATCHES - 1)))
-        part.select("value").repartition(FILES_PER_BATCH).write.mode("append").text(src)
-    td.sentinel_event(spark).write.mode("append").text(src)
-    raw = payments.read_source(spark, "text", src, max_files_per_trigger=FILES_PER_BATCH)
+    base, topic = scratch_path(spark, "payments"), _topic(spark, sf_dir, _by_arrival(STREAM_BATCHES))
+    for k in range(STREAM_BATCHES):
+        topic.where(F.col("batch") == k).select("value").repartition(FILES_PER_BATCH).write.mode("append").text(f"{base}/src")
+    td.sentinel_event(spark).write.mode("append").text(f"{base}/src")
+    raw = payments.read_source(spark, "text", f"{base}/src", max_files_per_trigger=FILES_PER_BATCH)
     qs = payments.start_payments_job(raw, f"{base}/bronze", f"{base}/stats", f"{base}/dlq",
                                      f"{base}/checkpoints", trigger={"availableNow": True},
-                                     dq_path=f"{base}/dq")
+                                     dq_path=f"{base}/dq", sinks=sinks)
     for q in qs:
         q.awaitTermination()
     return base
 
 
+LATE_BATCHES = 4
+
+
+def run_late_stream(spark, sf_dir, **sinks):
+    """Replay in LATE_BATCHES spans; events that are 7 minutes late come one batch later still, so windows refuse some."""
+    from lakepipe.session import scratch_path
+    from lakepipe.streaming import late, payments
+
+    def batch(lo, hi):
+        delayed = F.coalesce(F.get_json_object("value", "$.event_id").cast("long") % 170 == 0, F.lit(False))
+        return _by_arrival(LATE_BATCHES)(lo, hi) + delayed.cast("int")
+    base, topic = scratch_path(spark, "payments"), _topic(spark, sf_dir, batch)
+    for k in range(LATE_BATCHES + 2):
+        part = topic.where(F.col("batch") == k).select("value") if k <= LATE_BATCHES else td.sentinel_event(spark)
+        part.write.mode("append").text(f"{base}/src")
+        raw = payments.read_source(spark, "text", f"{base}/src")          # what is new is one micro-batch
+        for q in late.start_table_sinks(raw, f"{base}/checkpoints", trigger={"availableNow": True}, **{x: f"{base}/{v}" for x, v in sinks.items()}):
+            q.awaitTermination()
+    return base
+
+
+@query
+def stream_late_events(spark, sf_dir):
+    """Windows and the events that they refused, by window: together they are all events."""
+    base = run_late_stream(spark, sf_dir, stats_path="stats", late_path="late")
+    keys = ["window_start", "institution_id", "payment_system"]
+    windows = spark.read.parquet(f"{base}/stats").groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+    from lakepipe.functions.columns import epoch_millis_to_ntz
+    start = epoch_millis_to_ntz(F.floor(F.col("event_time") / 60000) * 60000)
+    refused = spark.read.parquet(f"{base}/late").withColumn("window_start", start).groupBy(*keys).agg(F.count(F.lit(1)).alias("late_count"))
+    both = windows.join(refused, keys, "full").where(F.col("institution_id") != td.SENTINEL_INST)
+    return both.select(*keys, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("event_count", "late_count")])
+
+
+@query
+def stream_dedup_bounded(spark, sf_dir):
+    """L2: the events that the dedup with a 10-minute horizon keeps, late ones included."""
+    base = run_late_stream(spark, sf_dir, dedup_path="events")
+    kept = spark.read.parquet(f"{base}/events").where(F.col("institution_id") != td.SENTINEL_INST)
+    return kept.select(*EVENT_COLS)
+
+
+@query
+def stream_rules(spark, sf_dir):
+    """The results of the stream's own rules sink, summed over its micro-batches."""
+    base = run_payments_stream(spark, sf_dir, ("rules",))
+    return spark.read.parquet(f"{base}/dq").where(F.col("rule_id") != "PAY-003").groupBy("rule_id", "severity").agg(
+        F.sum("records_tested").alias("records_tested"), F.sum("records_failed").alias("records_failed"))
+
+
 @query
 def stream_bronze_events(spark, sf_dir):
-    base = run_payments_stream(spark, sf_dir)
+    base = run_payments_stream(spark, sf_dir, ("bronze",))
     b = spark.read.parquet(f"{base}/bronze")
     return b.where(F.col("institution_id") != td.SENTINEL_INST).select(*EVENT_COLS)
 
 
 @query
 def stream_minute_stats(spark, sf_dir):
-    base = run_payments_stream(spark, sf_dir)
+    base = run_payments_stream(spark, sf_dir, ("stats",))
     s = spark.read.parquet(f"{base}/stats")
     return s.where(F.col("institution_id") != td.SENTINEL_INST)
 
 
 @query
 def stream_dlq(spark, sf_dir):
-    base = run_payments_stream(spark, sf_dir)
+    base = run_payments_stream(spark, sf_dir, ("dlq",))
     d = spark.read.parquet(f"{base}/dlq")
     return d.select(F.regexp_extract("value", r'"event_id":"([^"]*)"', 1).alias("source_event_id"), "error")
 

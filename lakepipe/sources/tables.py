@@ -84,6 +84,13 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in staged:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete_folder(df.sparkSession, folder)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str,
                  partition_by: list[str] | None = None) -> None:
     """CREATE DATABASE / TABLE IF NOT EXISTS ... USING parquet."""

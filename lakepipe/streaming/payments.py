@@ -193,9 +193,13 @@ def sink_run(spark: SparkSession, checkpoint_root: str) -> str:
 
 def start_payments_job(raw: DataFrame, bronze_path: str, stats_path: str, dlq_path: str,
                        checkpoint_root: str, dedup: str = "exact", stats_dedup: bool = False,
-                       trigger: dict | None = None, dq_path: str | None = None):
+                       trigger: dict | None = None, dq_path: str | None = None,
+                       sinks: tuple[str, ...] = ("bronze", "stats", "rules")):
     """The sinks of the payments job, each with its own checkpoint.
 
+    ``sinks``: those to start; ``"dlq"`` writes dead letters without Bronze,
+    ``"rules"`` needs ``dq_path``.
+
     Bronze goes through ``foreachBatch`` so that good rows and dead letters are
     written together (L1).  The PAY rules (L13) run on the events as they
     arrive, copies included, in a query of their own.  Returns the
@@ -229,11 +233,17 @@ def start_payments_job(raw: DataFrame, bronze_path: str, stats_path: str, dlq_pa
     none = F.lit(None).cast("string")
     to_bronze = deduped.withColumns({"parse_error": F.lit(False), "error": none}).unionByName(
         parsed.where(F.col("parse_error")))
-    queries = [start(to_bronze, "bronze", write_bronze)]
-    stats_in = deduped if stats_dedup else good
-    queries.append(minute_stats(stats_in).writeStream.format("parquet").outputMode("append")
-                   .option("path", stats_path).option("checkpointLocation", f"{checkpoint_root}/stats")
-                   .trigger(**trig).start())
-    if dq_path:
+    queries = []
+    if "bronze" in sinks:
+        queries.append(start(to_bronze, "bronze", write_bronze))
+    elif "dlq" in sinks:
+        queries.append(start(parsed.where(F.col("parse_error")), "dlq", lambda batch, batch_id: dead_letters(batch).write.mode("overwrite")
+                             .parquet(folder(dlq_path, batch_id))))
+    if "stats" in sinks:
+        stats_in = deduped if stats_dedup else good
+        queries.append(minute_stats(stats_in).writeStream.format("parquet").outputMode("append")
+                       .option("path", stats_path).option("checkpointLocation", f"{checkpoint_root}/stats")
+                       .trigger(**trig).start())
+    if dq_path and "rules" in sinks:
         queries.append(start(good, "rules", write_rules))
     return tuple(queries)
