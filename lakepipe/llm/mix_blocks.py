@@ -41,13 +41,24 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def _narrow(docs: DataFrame) -> DataFrame:
-    """Each document without its text: key, source, words, place in its source's order; row numbers are kept by staging."""
+def _row_key(docs: DataFrame) -> Column:
+    """A key of the text and all columns but the id: rows that share it with their id are equal."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    more = F.hex(F.xxhash64(F.to_json(F.struct(*rest)))) if rest else F.lit("")
+    return F.concat_ws(":", text_key(F.col("text")), more)
+
+
+def _narrow(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """Each document without its text: key, source, words, place in its source's order; row numbers are kept by staging.
+
+    The key is that of the text, or of the whole row.
+    """
     key = text_key(F.col("text"))
     place = F.conv(F.substring(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), key)
                                      .cast("binary")), 1, 12), 16, 10).cast("long")
     return stage(docs.sparkSession, docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), key.alias("text_key"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        (_row_key(docs) if whole_rows else key).alias("text_key"),
         F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), place.alias("place"),
         F.monotonically_increasing_id().alias("row")), "mix-rows")
 
@@ -142,18 +153,21 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: a row for each time that words of a document are taken, with the words then taken as its text.
 
     A text that is taken whole is left as it is.  All columns are kept;
-    ``n_chars``, if there is one, is that of the new text.
+    ``n_chars``, if there is one, is that of the new text.  Rows equal in id
+    and text but not in other columns are documents of their own, each with
+    its source and columns.
     """
-    rows = _narrow(docs)
+    rows = _narrow(docs, whole_rows=True)
     sources = stage(docs.sparkSession, targets(rows), "mix-sources")
     parts = _taken(rows, sources).groupBy("row", "doc_id", "text_key", "size").agg(
         F.array_sort(F.collect_list(F.struct("from", "words", "times"))).alias("_parts"))
     parts = parts.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("size").alias("_size"), "_parts")
     if rows.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
-        docs = docs.dropDuplicates(["doc_id", "text"])
+        # equal rows: each of them has its parts, and one copy of the row serves all
+        docs = docs.withColumn("_row_key", _row_key(docs)).dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
     names = docs.columns
     d = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_doc"), F.col("doc_id").alias("_doc_id"),
-                    text_key(F.col("text")).alias("_text_key"))
+                    _row_key(docs).alias("_text_key"))
     both = d.join(parts, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
     # split once, before rows are made for each time, and only texts that are not always taken whole
     times = F.transform("_parts", lambda p: p["times"])

@@ -255,3 +255,19 @@ def test_slots_permute_blocks(spark):
     assert Counter(r["number"] for r in got) == {0: 30, 1: 3, 3: 1500}
     assert {times[0, b] for b in range(10)} == {3} and {times[3, b] for b in range(1000)} == {1, 2}
     assert len({r["shard"] for r in got}) > 100 and frames.BROADCAST_BYTES > 0
+
+
+def test_mixed_rows_keep_their_own_source(spark, tmp_path):
+    """Rows equal in id and text but not in source are two documents, each mixed with its source and columns."""
+    text = " ".join(f"w{i}" for i in range(300))
+    made = [(1, text, "a", "en"), (1, text, "b", "de"), (1, text, "b", "de"), (2, text + " z", None, "fr")]
+    docs = corpus.stored(spark, spark.createDataFrame(made, "doc_id long, text string, source string, lang string"), tmp_path)
+    got = Counter((r["doc_id"], r["source"], r["lang"]) for r in mix_blocks.mixed_documents(docs).collect())
+    assert set(got) == {(1, "a", "en"), (1, "b", "de"), (2, None, "fr")}
+    words = Counter()
+    for r in mix_blocks.mixed_documents(docs).collect():
+        words[r["source"]] += len(brute.plain(r["text"]))
+    taken = Counter()
+    for r, source in zip(mix_blocks.mixture(docs).orderBy("doc_id", "source_size").collect(), ["a", "b", "b", None], strict=True):
+        taken[source] += r["taken"]
+    assert words == taken
