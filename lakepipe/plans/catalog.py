@@ -355,6 +355,36 @@ def bronze_asof_redelivery(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("submission_id").alias("submissions"), F.sum("amount").cast("decimal(38,2)").alias("amount"))
 
 
+# ------------------------------------------------------- the flow, taken up
+
+def _taken_up(spark, sf_dir):
+    """The batch flow over the derived returns: a run that stops after validation, then one that gets the rest."""
+    from lakepipe.plans.lcr_flow import Flow
+    from lakepipe.session import scratch_path
+    root = scratch_path(spark, "flow")
+    files = tables.stage(spark, td.return_files(spark, sf_dir), "return-files")
+    first = F.col("__version") % 2 == 0
+    stopped = Flow(spark, root, now=_ts(RUN1))
+    stopped.receive(files.where(first).drop("__version"))
+    stopped.validate()
+    later = Flow(spark, root, now=_ts(RUN2))
+    later.receive(files.where(~first).drop("__version"))
+    out = later.process(td.institutions(spark, sf_dir, td.N_GOLD))
+    tables.discard(files)
+    return out
+
+
+@query
+def flow_taken_up_status(spark, sf_dir):
+    """Where every submission ended, those of the stopped run included."""
+    return _taken_up(spark, sf_dir)["status"].select("submission_id", "status", "n_events")
+
+
+@query
+def flow_taken_up_gold(spark, sf_dir):
+    return _taken_up(spark, sf_dir)["gold"].select("institution_id", "reporting_period", "hqla", "net_outflows", "lcr_ratio", "submission_ids")
+
+
 # ----------------------------------------------------------- table sinks
 
 @query

@@ -555,6 +555,36 @@ SELECT reporting_period, submission_version, count(*) AS n_rows, count(DISTINCT
        CAST(sum(amount) AS DECIMAL(38,2)) AS amount
 FROM base WHERE submission_version = 3 OR (submission_version = 2 AND institution_id LIKE '%7') GROUP BY ALL"""
 
+_FLOW = f"""WITH {lines_cte('flow', 999, True)},
+returns AS (SELECT * FROM flow WHERE submission_version >= 4),
+{rule_failures_cte('fails', 'returns')},
+{CODES},
+judged AS (
+  SELECT r.submission_id, r.institution_id, r.reporting_period, r.submission_version,
+         CASE WHEN f.f1 > 0 THEN 'REJECTED' WHEN f.f2 + f.f3 + f.f4 + f.f5 + f.f6 > 0 THEN 'QUARANTINED' ELSE 'ACCEPTED' END AS verdict
+  FROM (SELECT DISTINCT submission_id, institution_id, reporting_period, submission_version FROM returns) r
+  JOIN fails f ON f.submission_id = r.submission_id),
+newest AS (
+  SELECT * FROM judged WHERE verdict = 'ACCEPTED'
+  QUALIFY row_number() OVER (PARTITION BY institution_id, reporting_period ORDER BY submission_version DESC) = 1)"""
+
+# a structurally rejected return has two events, a quarantined or superseded one three
+SQL["flow_taken_up_status"] = _FLOW + """
+SELECT j.submission_id, CASE WHEN n.submission_id IS NOT NULL THEN 'PUBLISHED' ELSE j.verdict END AS status,
+       CASE WHEN n.submission_id IS NOT NULL THEN 4 WHEN j.verdict = 'REJECTED' THEN 2 ELSE 3 END AS n_events
+FROM judged j LEFT JOIN newest n ON n.submission_id = j.submission_id"""
+
+SQL["flow_taken_up_gold"] = _FLOW + """,
+sums AS (
+  SELECT n.institution_id, n.reporting_period, n.submission_id,
+         sum(r.amount * c.weight) FILTER (WHERE c.category = 'HQLA') AS h, sum(r.amount) FILTER (WHERE c.category = 'OUTFLOW') AS o,
+         sum(r.amount) FILTER (WHERE c.category = 'INFLOW') AS i
+  FROM newest n JOIN returns r ON r.submission_id = n.submission_id JOIN codes c ON c.line_code = r.line_code GROUP BY ALL),
+net AS (SELECT *, o - least(CAST(i AS DECIMAL(24,4)), CAST(0.75 * o AS DECIMAL(24,4))) AS net FROM sums)
+SELECT institution_id, reporting_period, CAST(round(h, 2) AS DOUBLE) AS hqla, CAST(round(net, 2) AS DOUBLE) AS net_outflows,
+       round(CAST(h AS DOUBLE) / nullif(CAST(net AS DOUBLE), 0), 4) AS lcr_ratio, submission_id AS submission_ids
+FROM net"""
+
 SQL["dq_results_by_day"] = HISTORY + """
 SELECT CAST(checked_at AS DATE) AS checked_day, rule_id, outcome, count(*) AS results FROM hist GROUP BY ALL"""
 

@@ -239,6 +239,35 @@ def order_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFrame
         fname.alias("file_name"), "content", manifest.alias("manifest"))
 
 
+def return_files(spark: SparkSession, sf_dir: str, n: int = N_RULES) -> DataFrame:
+    """The well-formed returns (groups of orders, faults included) as arrived files, as the landing scan reads files.
+
+    A return has a bounded number of lines, so building its text is a bounded
+    per-group aggregate.
+    """
+    lines = lcr_lines(spark, sf_dir, n, faults=True).where("own")
+    keys = ["institution_id", "reporting_period", "submission_version", "submission_id"]
+    summed = lines.groupBy(*keys, "line_code", "currency").agg(F.sum("amount").cast("decimal(20,2)").alias("amount"))
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    line = F.concat_ws(",", "institution_id", "reporting_period", cell("line_code"), cell("currency"), cell("amount"))
+    files = summed.groupBy(*keys).agg(F.array_sort(F.collect_list(line)).alias("lines"), F.sum("amount").alias("total"))
+    name = file_name("institution_id", F.lit("LCR"), "reporting_period", "submission_version")
+    content = F.concat(F.lit(CONTRACT_HEADER + "\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    files = files.withColumns({"file_name": name, "content": content})
+    sha = F.sha2("content", 256)
+    manifest = F.struct(
+        "file_name", "institution_id", F.lit("LCR").alias("return_type"), "reporting_period", F.col("submission_version").alias("version"),
+        F.size("lines").cast("long").alias("record_count"), F.coalesce(F.col("total").cast("double"), F.lit(0.0)).alias("control_total"),
+        sha.alias("sha256"), F.lit(None).cast("string").alias("generated_at"), F.lit(True).alias("synthetic"))
+    arrived = _loaded_at(F.col("reporting_period"), F.col("submission_version"))
+    path = F.concat(F.lit("landing/"), F.col("file_name"))
+    return files.select(
+        path.alias("path"), path.alias("file_path"), "file_name", F.octet_length("content").cast("long").alias("bytes"),
+        arrived.alias("modified_at"), arrived.alias("received_at"), sha.alias("sha256"), F.lit(True).alias("utf8_ok"), "content",
+        F.lit(False).alias("large"), F.lit(None).cast("boolean").alias("bom"), manifest.alias("manifest"),
+        F.lit(None).cast("string").alias("manifest_text"), F.col("submission_version").alias("__version"))
+
+
 def landing_files(spark: SparkSession, sf_dir: str, n: int = N_FILES) -> DataFrame:
     """Files arriving at the gateway, one per document (exact copies included).
 
