@@ -40,27 +40,6 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     w.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
-    (_clustered(df, partition_by).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
-
-
-def drop_empty_partitions(spark: SparkSession, path: str, column: str, values: list[str], kept: DataFrame) -> None:
-    """Delete the partitions among ``values`` that ``kept`` has no row for.
-
-    An overwrite of partitions touches only those that still have rows; a
-    partition that lost its last row must go as well.
-    """
-    full = {r[0] for r in kept.select(column).distinct().collect()}       # partition values, not rows
-    if gone := sorted({str(v) for v in values} - {str(v) for v in full}):
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for value in gone:
-            folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
-            p.getFileSystem(conf).delete(p, True)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder is there."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

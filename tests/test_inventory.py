@@ -31,7 +31,7 @@ def test_receipts_for_received_files(spark):
     r = intake.receipts(intake.decide(files)).collect()[0]
     body = json.loads(r.receipt)
     assert body == {"submission_id": "FI001-LCR-2024-01-v1", "status": "RECEIVED",
-                    "raw_uri": "raw/FI001/LCR/2024-01/v1/FI001_LCR_2024-01_v1.csv", "sha256": "abc",
+                    "raw_uri": "p/1", "sha256": "abc",
                     "received_at": "2024-01-02 03:04:05"}
 
 
@@ -92,13 +92,16 @@ def test_partitioned_write_rebalances_a_hot_partition(spark):
 
 def test_affected_periods_include_those_of_earlier_rows(spark):
     from lakepipe.operators import bronze
-    schema = "reporting_period string, submission_id string"
-    new = spark.createDataFrame([("2024-02", "s1")], schema)
-    old = spark.createDataFrame([("2024-01", "s1"), ("2024-03", "s2"), ("2024-04", "s3")], schema)
-    assert bronze.affected_periods(new) == ["2024-02"]
-    assert bronze.affected_periods(new, old) == ["2024-01", "2024-02"]
-    batch = spark.createDataFrame([("s1",), ("s3",)], "submission_id string")
-    assert bronze.affected_periods(new, old, batch) == ["2024-01", "2024-02", "2024-04"]
+    from lakepipe.schemas import BRONZE_LCR
+    path = tempfile.mkdtemp(prefix="lakepipe-periods-")
+
+    def load(rows, batch=None):
+        made = [("FI001", p, "HQLA_L1", "MYR", None, s, 1, "u", "h", dt.datetime(2024, 1, 1)) for p, s in rows]
+        ids = None if batch is None else spark.createDataFrame([(s,) for s in batch], "submission_id string")
+        return bronze.replace_submissions(spark, path, spark.createDataFrame(made, BRONZE_LCR), ids)
+    assert load([("2024-01", "s1"), ("2024-03", "s2"), ("2024-04", "s3")]) == ["2024-01", "2024-03", "2024-04"]
+    assert load([("2024-02", "s1")]) == ["2024-01", "2024-02"]
+    assert load([("2024-02", "s1")], ["s1", "s3"]) == ["2024-01", "2024-02", "2024-04"]
 
 
 def test_as_of_by_load_time_and_version(spark):

@@ -8,7 +8,7 @@ from fixtures import HEADER, write_submission
 from lakepipe.contracts import load_contract
 from lakepipe.operators import structure
 from lakepipe.operators.structure_large import numbered_records, report_rows, validate_large
-from lakepipe.sources import raw
+from lakepipe.sources import raw, tables
 
 
 def _write_messy(folder):
@@ -69,7 +69,7 @@ def test_unclosed_quote_near_the_start_gathers_nothing(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
     try:
         paths = os.path.join(land, "*.csv")
-        records = numbered_records(spark, paths).localCheckpoint()
+        records = tables.stage(spark, numbered_records(spark, paths), "test-records")
         mans = raw.scan_manifests(spark, land).select(F.col("data_path").alias("path"), "manifest")
         summary, errors = validate_large(spark, paths, mans, load_contract(), records=records)
         summary = {r.path: (r.record_count, r.control_total, r.n_errors, r.status) for r in summary.collect()}
