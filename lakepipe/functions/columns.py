@@ -86,8 +86,3 @@ def epoch_millis_to_ntz(ms: str | Column) -> Column:
 
 def ntz_to_epoch_millis(ts: str | Column) -> Column:
     return F.timestamp_diff("MILLISECOND", F.expr(EPOCH_NTZ), col(ts))
-
-
-def tokenise(c: str | Column, salt: str) -> Column:
-    """Keyed hash of an identifier (Silver never shows the raw id)."""
-    return F.sha2(F.concat(F.lit(salt), col(c)), 256)

@@ -1,4 +1,4 @@
-"""Capabilities declared by the contracts and docs.
+"""Capabilities declared by the contracts and docs.
 
 All are DataFrame compositions: joins to (size-checked) reference tables,
 per-row predicates, and aggregates with map-side partial results.
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakepipe.contracts import Contract
-from lakepipe.functions.columns import period_end, submission_deadline, tokenise
+from lakepipe.functions.columns import period_end, submission_deadline
 from lakepipe.functions.joins import checked_broadcast
 
 
@@ -105,6 +105,37 @@ def exact_percentile(values: DataFrame, group: str, value: str, p: float) -> Dat
                       .cast("double").alias(f"p{int(p * 100)}"))
 
 
+#: Size of a latency sketch: rank errors of under 1 %, a few kilobytes each.
+SKETCH_K = 400
+
+
+def latency_sketches(values: DataFrame, group: str, at: str, value: str, k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch of a whole-number value per group and minute, for a running job to append.
+
+    Result: group, minute, n, sketch.  NULL values are left out; a minute without a value has no row.
+    """
+    return (values.where(F.col(value).isNotNull()).groupBy(group, F.date_trunc("minute", at).alias("minute"))
+            .agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_bigint(F.col(value).cast("long"), F.lit(k)).alias("sketch")))
+
+
+def sketched_percentile(sketches: DataFrame, group: str, p: float, k: int = SKETCH_K) -> DataFrame:
+    """The percentile of any span of minutes from their sketches alone: group, n, and ``p95`` for 0.95."""
+    merged = sketches.groupBy(group).agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("__all"))
+    return merged.select(group, "n", F.kll_sketch_get_quantile_bigint("__all", F.lit(float(p))).alias(f"p{int(p * 100)}"))
+
+
+def rank_check(values: DataFrame, percentiles: DataFrame, group: str, value: str, p: float, bound: float) -> DataFrame:
+    """Whether each percentile's rank among all values is within ``bound`` of ``p``: the percentiles and within_bound."""
+    name = f"p{int(p * 100)}"
+    found = checked_broadcast(percentiles.select(F.col(group).alias("__group"), F.col(name).alias("__at")))
+    v = F.col(value)
+    ranks = (values.where(v.isNotNull()).join(found, F.col(group).eqNullSafe(F.col("__group"))).groupBy("__group")
+             .agg(F.avg((v < F.col("__at")).cast("int")).alias("__below"), F.avg((v <= F.col("__at")).cast("int")).alias("__upto")))
+    ok = (F.col("__below") <= p + bound) & (F.col("__upto") >= p - bound)
+    return percentiles.join(ranks, F.col(group).eqNullSafe(F.col("__group"))).withColumn("within_bound", ok).drop(
+        "__group", "__below", "__upto")
+
+
 def gold_freshness(gold: DataFrame, accepted: DataFrame, hours: int) -> DataFrame:
     """Gold available within N hours of the accepted submission."""
     lag = F.timestamp_diff("SECOND", F.col("accepted_at"), F.col("gold_built_at")) / 3600.0
@@ -125,20 +156,6 @@ def retention_candidates(table: DataFrame, zone: str, years: int, as_of: str,
             .select(F.lit(zone).alias("zone"), period_col, "row_count", "expires_on"))
 
 
-# -------------------------------------------------------------- L9 tokenise
-
-def tokenise_ids(df: DataFrame, columns: list[str], salt: str, derived: dict[str, str] | None = None) -> DataFrame:
-    """Replace ids by keyed tokens, also where another column starts with one.
-
-    ``derived``: column -> the id column that its values start with (such as
-    submission_id -> institution_id); that part becomes the token too.
-    """
-    tokens = {c: tokenise(c, salt) for c in columns}
-    rest = {d: F.when(F.startswith(F.col(d), F.col(c)), F.concat(tokens[c], F.substr(F.col(d), F.length(c) + 1)))
-            .otherwise(tokenise(d, salt)) for d, c in (derived or {}).items()}
-    return df.withColumns(tokens | rest)
-
-
 # -------------------------------------------------------- L10 completeness
 
 def expected_returns(onboarding: DataFrame, as_of_period: str) -> DataFrame:

@@ -692,6 +692,25 @@ def freshness_p95(spark, sf_dir):
     return governance.exact_percentile(lat, "institution_id", "latency_s", 0.95)
 
 
+#: What the rank of a sketched percentile may be off by; twice what sketches of this size promise.
+RANK_ERROR = 0.02
+
+
+@query
+def freshness_sketch(spark, sf_dir):
+    """p95 of the latency from mergeable sketches per minute, held against the ranks of all values."""
+    from lakepipe.functions.columns import ntz_to_epoch_millis
+    from lakepipe.operators import governance
+    from lakepipe.streaming import payments
+    good = payments.good_events(_parsed_events(spark, sf_dir))
+    latency = tables.stage(spark, good.select("institution_id", "arrival", (
+        ntz_to_epoch_millis(F.col("arrival")) - F.col("event_time")).alias("latency_ms")), "latency")
+    sketches = governance.latency_sketches(latency, "institution_id", "arrival", "latency_ms")
+    p95 = governance.sketched_percentile(sketches, "institution_id", 0.95)
+    return governance.rank_check(latency, p95, "institution_id", "latency_ms", 0.95, RANK_ERROR).select(
+        "institution_id", "n", "within_bound")
+
+
 RETENTION_AS_OF = "2006-01-01"
 
 
@@ -705,14 +724,48 @@ def retention_candidates(spark, sf_dir):
         governance.retention_candidates(slv, "silver", years["silver"], RETENTION_AS_OF))
 
 
-TOKEN_SALT = "lakepipe"
+#: Keys of the derived test tables, published here and in the oracle SQL; real ones come from the session.
+TEST_KEYS = {1: b"published test key 1", 2: b"published test key 2"}
 
 
 @query
 def tokenise_ids(spark, sf_dir):
-    from lakepipe.operators import governance
-    return governance.tokenise_ids(lcr_chain(spark, sf_dir)[2], ["institution_id"], TOKEN_SALT,
-                                   derived={"submission_id": "institution_id"})
+    """Silver with keyed tokens in place of the ids, also inside the submission ids."""
+    from lakepipe.operators.tokens import Tokens
+    return Tokens(spark, TEST_KEYS).replace(lcr_chain(spark, sf_dir)[2], ["institution_id"],
+                                            derived={"submission_id": "institution_id"})
+
+
+@query
+def token_rotation(spark, sf_dir):
+    """Silver under the first key brought to the second by the token table, and turned back by the new one."""
+    from lakepipe.operators.tokens import Tokens, reveal, rotate
+    slv = lcr_chain(spark, sf_dir)[2]
+    old, new = Tokens(spark, {1: TEST_KEYS[1]}), Tokens(spark, TEST_KEYS)
+    stored = tables.stage(spark, old.replace(slv, ["institution_id"]), "silver-tokens")
+    known = old.table(slv, "institution_id")
+    moved = rotate(stored, "institution_id", new.rotation(known))
+    return reveal(moved, "institution_id", new.table(slv, "institution_id"), "raw_id").groupBy(
+        F.col("institution_id").alias("token"), "raw_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def retention_archive(spark, sf_dir):
+    """Bronze after its expired months went to the archive: rows and amounts by place and month."""
+    import datetime as dt
+
+    from lakepipe.contracts import load_contract
+    from lakepipe.operators.archive import Retention
+    from lakepipe.session import scratch_path
+    from lakepipe.sources.versioned import Store
+    bronze = td.lcr_bronze(spark, sf_dir, td.N_GOLD)
+    live, kept = Store(spark, scratch_path(spark, "live")), Store(spark, scratch_path(spark, "archive"))
+    live.commit({"bronze": live.written(bronze, "bronze", by_period=True)})
+    years = int(load_contract().retention["bronze"].strip("PY"))
+    Retention(live, kept, "bronze", bronze.schema).run(years, dt.date.fromisoformat(RETENTION_AS_OF), dt.datetime.fromisoformat(RUN2))
+    places = [s.read("bronze", bronze.schema).withColumn("place", F.lit(n)) for s, n in ((live, "live"), (kept, "archive"))]
+    return places[0].unionByName(places[1]).groupBy("place", "reporting_period").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("amount").cast("decimal(38,2)").alias("amount"))
 
 
 AS_OF_PERIOD = "2001-08"

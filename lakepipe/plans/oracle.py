@@ -793,12 +793,32 @@ SELECT 'silver', reporting_period, count(*),
 FROM silver GROUP BY reporting_period
 HAVING CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 120 MONTH AS DATE) < DATE '2006-01-01'"""
 
-SQL["tokenise_ids"] = chain_ctes() + """
-SELECT sha256('lakepipe' || institution_id) AS institution_id, reporting_period, line_code, currency, amount,
-       sha256('lakepipe' || institution_id) || substr(submission_id, length(institution_id) + 1) AS submission_id,
+def token_sql(id_sql: str, key: bytes, version: int) -> str:
+    """HMAC of an id by its definition: the key, filled up to 64 bytes, with 36 and with 5c."""
+    inner, outer = (bytes(b ^ x for b in key.ljust(64, b"\0")).hex() for x in (0x36, 0x5C))
+    return (f"('{version}.' || sha256(from_hex('{outer}') || from_hex(sha256(from_hex('{inner}') || encode({id_sql})))))")
+
+
+TOKEN_2 = token_sql("institution_id", b"published test key 2", 2)
+
+SQL["tokenise_ids"] = chain_ctes() + f"""
+SELECT {TOKEN_2} AS institution_id, reporting_period, line_code, currency, amount,
+       {TOKEN_2} || substr(submission_id, length(institution_id) + 1) AS submission_id,
        submission_version, bronze_loaded_at
 FROM silver"""
 
+SQL["token_rotation"] = chain_ctes() + f"""
+SELECT {TOKEN_2} AS token, institution_id AS raw_id, count(*) AS row_count FROM silver GROUP BY institution_id"""
+
+SQL["retention_archive"] = chain_ctes() + """
+SELECT CASE WHEN CAST(last_day(CAST(reporting_period || '-01' AS DATE)) + INTERVAL 84 MONTH AS DATE) < DATE '2006-01-01'
+            THEN 'archive' ELSE 'live' END AS place,
+       reporting_period, count(*) AS row_count, CAST(sum(amount) AS DECIMAL(38,2)) AS amount
+FROM bronze_all GROUP BY reporting_period"""
+
+SQL["freshness_sketch"] = EVENTS_BASE + """
+SELECT institution_id, count(*) AS n, true AS within_bound FROM good GROUP BY institution_id"""
+
 SQL["expected_vs_received"] = f"""WITH {lines_cte('rin', 999, True)},
 {institutions_cte('inst', 999)},
 onb AS (SELECT institution_id, CAST(strftime(active_from, '%Y-%m') || '-01' AS DATE) AS first_day FROM inst),

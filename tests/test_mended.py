@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakepipe.contracts import Rule, load_contract
 from lakepipe.functions import joins
 from lakepipe.operators import bronze, checks, governance, intake, quality, structure, structure_large
+from lakepipe.operators.tokens import Tokens
 from lakepipe.plans.lcr_flow import read_table, run_lcr_batch
 from lakepipe.schemas import BRONZE_HISTORY, BRONZE_LCR
 from lakepipe.sources import raw, tables
@@ -267,7 +268,7 @@ def test_period_that_is_no_month(spark):
 
 def test_tokens_leave_no_raw_id(spark):
     df = spark.createDataFrame([("FI001", "FI001-LCR-2024-01-v1"), ("FI002", "odd")], "institution_id string, submission_id string")
-    got = governance.tokenise_ids(df, ["institution_id"], "key", {"submission_id": "institution_id"}).collect()
+    got = Tokens(spark, {1: b"key"}).replace(df, ["institution_id"], {"submission_id": "institution_id"}).collect()
     assert not any("FI00" in v for r in got for v in r) and got[0]["submission_id"] == got[0]["institution_id"] + "-LCR-2024-01-v1"
 
 
