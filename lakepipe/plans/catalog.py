@@ -57,6 +57,18 @@ def lcr_gold_ratio(spark, sf_dir):
     return lcr_chain(spark, sf_dir)[3]
 
 
+@query
+def gold_by_change(spark, sf_dir):
+    """Gold of the versions up to 300, brought up to date by the lines that the later ones bring and replace."""
+    from lakepipe.operators import gold_changes
+    codes, n = reference.line_codes(spark), reference.code_list_rows("lcr_line_codes")
+    before = lcr_chain(spark, sf_dir, max_version=300)[2]
+    bronze, _, after, _ = lcr_chain(spark, sf_dir)
+    state = tables.stage(spark, gold_changes.contributions(before, codes, n), "gold-state")
+    changes = gold_changes.line_changes(before, after, bronze.where(F.col("submission_version") > 300))
+    return gold_changes.gold_of(gold_changes.apply_changes(state, changes, codes, n), td.institutions(spark, sf_dir, td.N_GOLD))
+
+
 @query
 def lcr_silver_current(spark, sf_dir):
     return lcr_chain(spark, sf_dir)[2]
@@ -582,10 +594,12 @@ def stream_dlq(spark, sf_dir):
 def served_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Bronze and Gold as the flow leaves them: tables of this application, Gold partitioned by period.
 
-    The first serving query builds them; the others read them, with partition pruning.
+    The first serving query builds them; the others read them, with partition
+    pruning.  Tables whose source files have changed since are built anew.
     """
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakepipe-served-{spark.sparkContext.applicationId}"
-    root += "-" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    sources = [tables.file_marks(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "supplier", "nation")]
+    root += "-" + hashlib.sha256(repr((sf_dir, sources)).encode()).hexdigest()[:12]
     if not tables.exists(spark, f"{root}/complete"):
         bronze, _, _, gld = lcr_chain(spark, sf_dir)
         tables.create_or_replace(bronze, f"{root}/bronze")

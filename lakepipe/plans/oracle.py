@@ -196,6 +196,8 @@ SQL["lcr_silver_current"] = chain_ctes() + "\nSELECT * FROM silver"
 SQL["lcr_silver_by_submission"] = chain_ctes(grain="submission") + "\nSELECT * FROM silver"
 SQL["lcr_gold_asof"] = chain_ctes(max_version=300) + f"\nSELECT {GOLD_COLS} FROM gold"
 
+SQL["gold_by_change"] = SQL["lcr_gold_ratio"]
+
 # --------------------------------------------------------------- rules engine
 
 RULES_BASE = f"""WITH {lines_cte('rin', 999, True)},

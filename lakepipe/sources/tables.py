@@ -46,6 +46,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def file_marks(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of a file, or of the files of a table folder: they tell whether it has changed."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that nothing will read again."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
