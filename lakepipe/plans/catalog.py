@@ -575,6 +575,17 @@ def stream_bronze_events(spark, sf_dir):
     return b.where(F.col("institution_id") != td.SENTINEL_INST).select(*EVENT_COLS)
 
 
+@query
+def stream_bronze_compacted(spark, sf_dir):
+    """The stream's events after its finished batches were merged by day and their folders deleted."""
+    from lakepipe.streaming.compaction import BatchFolders
+    base = run_payments_stream(spark, sf_dir, ("bronze",))
+    folders = BatchFolders(spark, f"{base}/bronze", spark.read.parquet(f"{base}/bronze").drop("run", "batch_id").schema)
+    folders.compact(F.date_format("event_ts", "yyyy-MM-dd"))
+    folders.clean(folders.store.state())
+    return folders.read().where(F.col("institution_id") != td.SENTINEL_INST).select(*EVENT_COLS)
+
+
 @query
 def stream_minute_stats(spark, sf_dir):
     base = run_payments_stream(spark, sf_dir, ("stats",))

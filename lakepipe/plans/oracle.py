@@ -640,6 +640,7 @@ SELECT date_trunc('minute', event_ts) AS window_start, institution_id, payment_s
        count(*) FILTER (WHERE (epoch_us(arrival) // 1000) - event_time > 300000) AS dropped_count
 FROM good GROUP BY ALL"""
 SQL["stream_bronze_events"] = SQL["events_dedup"]
+SQL["stream_bronze_compacted"] = SQL["events_dedup"]
 SQL["stream_minute_stats"] = SQL["minute_stats"]
 SQL["stream_dlq"] = EVENTS_BASE + """
 SELECT event_id AS source_event_id, 'malformed JSON' AS error FROM raw WHERE malformed"""
