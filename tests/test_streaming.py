@@ -2,6 +2,7 @@
 import json
 import os
 import tempfile
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -86,3 +87,34 @@ def test_event_rules_per_batch(spark):
     root = _run(spark, [[ev("A", 0), ev("B", 0, amount=-1.0)], [ev("Z", 60 * 24)]])
     dq = spark.read.parquet(f"{root}/dq").where("rule_id = 'PAY-002' AND outcome = 'FAIL'").collect()
     assert len(dq) == 1 and dq[0].records_failed == 1
+
+
+def _bronze_files(spark, tmp_path, events, n_files):
+    """Files by micro-batch and institution of the Bronze sink over one micro-batch of several source files, and its ids."""
+    src = tmp_path / "src"
+    src.mkdir()
+    for i in range(n_files):
+        _write(str(src), f"part-{i:03d}.json", events[i::n_files], 1_700_000_000 + i)
+    raw = payments.read_source(spark, "text", str(src))
+    for q in payments.start_payments_job(raw, f"{tmp_path}/bronze", f"{tmp_path}/stats", f"{tmp_path}/dlq", f"{tmp_path}/ck",
+                                         trigger={"availableNow": True}, sinks=("bronze",)):
+        q.awaitTermination()
+    files = Counter(p.parent.relative_to(tmp_path / "bronze").parts[1:] for p in (tmp_path / "bronze").rglob("*.parquet"))
+    return files, [(r.event_id, r.institution_id) for r in spark.read.parquet(f"{tmp_path}/bronze").select("event_id", "institution_id").collect()]
+
+
+def test_bronze_batch_has_one_file_per_institution(spark, tmp_path):
+    """A stateful stream ignores the REBALANCE hint: every task wrote a file for every institution."""
+    events = [ev(f"e{i}", 0) | {"institution_id": f"FI{i % 5:03d}" if i % 5 else None} for i in range(200)]
+    files, kept = _bronze_files(spark, tmp_path, events, 4)
+    assert len(files) == 5 and set(files.values()) == {1}
+    assert Counter(kept) == Counter((e["event_id"], e["institution_id"]) for e in events)
+
+
+def test_bronze_batch_splits_a_large_institution(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(payments, "ROWS_PER_TASK", 50)
+    events = [ev(f"e{i}", 0) | {"institution_id": "FI001" if i < 190 else "FI002" if i < 195 else None} for i in range(260)]
+    files, kept = _bronze_files(spark, tmp_path, events, 2)
+    n = {part[1]: k for part, k in files.items()}
+    assert n["institution_id=FI002"] == 1 and n["institution_id=FI001"] > 1
+    assert Counter(kept) == Counter((e["event_id"], e["institution_id"]) for e in events)
