@@ -181,8 +181,15 @@ def by_institution(events: DataFrame) -> DataFrame:
 
     A micro-batch of a stateful stream is planned without AQE, where the
     REBALANCE hint is left out: every task would write a file for every
-    institution.  The large institutions are at most one per ROWS_PER_TASK rows.
+    institution.  A batch of up to ROWS_PER_TASK rows has no large institution
+    and goes to as many tasks as there are cores, so the tasks of the stateful
+    operator deal their rows out to few files.  In others the large
+    institutions are at most one per ROWS_PER_TASK rows.
     """
+    if events.count() <= ROWS_PER_TASK:
+        spark = events.sparkSession
+        tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return events.repartition(tasks, "institution_id")
     sizes = events.groupBy(F.col("institution_id").alias("__large")).agg(F.count(F.lit(1)).alias("__n"))
     large = sizes.where(F.col("__n") > ROWS_PER_TASK)
     joined = events.join(F.broadcast(large), F.col("institution_id").eqNullSafe(F.col("__large")), "left")

@@ -118,3 +118,21 @@ def test_bronze_batch_splits_a_large_institution(spark, tmp_path, monkeypatch):
     n = {part[1]: k for part, k in files.items()}
     assert n["institution_id=FI002"] == 1 and n["institution_id=FI001"] > 1
     assert Counter(kept) == Counter((e["event_id"], e["institution_id"]) for e in events)
+
+
+def test_small_batch_is_dealt_to_a_task_a_core(spark):
+    """However many shuffle partitions the state has; its institutions are not counted, as none can be large."""
+    events = spark.range(200).select(F.col("id").cast("string").alias("event_id"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("FI00"), F.col("id") % 5)).alias("institution_id"))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        clustered = payments.by_institution(events)
+        assert clustered.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert "Join" not in clustered._jdf.queryExecution().executedPlan().toString()
+        where = clustered.select("institution_id", F.spark_partition_id().alias("task")).distinct().collect()
+        assert len(where) == 5 and clustered.exceptAll(events).count() == 0 and clustered.count() == 200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
