@@ -2,6 +2,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import SF, rows
@@ -80,6 +81,23 @@ def test_replaced_rows_are_copied_without_a_shuffle(spark, path, monkeypatch):
     assert all(len(loads) == 1 for loads in parts.values())                              # a period is one folder
 
 
+@pytest.mark.parametrize("most", [32, 1])
+def test_copied_rows_are_not_sorted(spark, path, monkeypatch, most):
+    """A sort of whole rows by period spilled; a task of more periods than it may have files open still writes all its rows."""
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(versioned, "MOST_OPEN_PARTS", most, raising=False)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, to: (seen.append((to.split("/")[-2], spark.conf.get(key))), write(w, to))[1])
+    months = [f"2024-{m:02d}" for m in range(1, 8)]
+    bronze.replace_submissions(spark, path, delivery(spark, [(s, p) for p in months for s in ("a", "b")]), at=at(1))
+    seen.clear()
+    bronze.replace_submissions(spark, path, delivery(spark, [("a", months[0])]), at=at(2))
+    assert [conf for table, conf in seen if table == "bronze"] == ["0", str(most)] and spark.conf.get(key) == "0"
+    history = Store(spark, path).read("bronze", BRONZE_HISTORY)
+    assert rows(history.where("replaced_at is not null"), "submission_id", "reporting_period") == [("a", p) for p in months]
+    assert rows(bronze.current(history), "submission_id", "reporting_period") == [("a", months[0])] + [("b", p) for p in months]
+    assert all(history.where(F.col("reporting_period") == p).count() == len(Store(spark, path).read("bronze", BRONZE_HISTORY, [p]).collect()) for p in months)
+
+
 def test_periods_of_many_files_are_merged(spark, path, monkeypatch):
     monkeypatch.setattr(bronze, "MOST_PERIOD_FILES", 2)
     for n in range(5):
