@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF, rows
 from lakepipe.operators import bronze
 from lakepipe.plans import catalog
-from lakepipe.schemas import BRONZE_HISTORY, BRONZE_LCR
+from lakepipe.schemas import BRONZE_HISTORY, BRONZE_LCR, LOADS
 from lakepipe.session import ensure_checkpoint_dir
 from lakepipe.sources import testdata as td
 from lakepipe.sources import versioned
@@ -98,6 +98,26 @@ def test_copied_rows_are_not_sorted(spark, path, monkeypatch, most):
     assert all(history.where(F.col("reporting_period") == p).count() == len(Store(spark, path).read("bronze", BRONZE_HISTORY, [p]).collect()) for p in months)
 
 
+def test_moved_rows_of_bronze_are_not_shuffled(spark, monkeypatch):
+    clustered, cluster = [], versioned._clustered
+    monkeypatch.setattr(versioned, "_clustered", lambda df, by: clustered.append(df) or cluster(df, by))
+    history = catalog._redelivered(spark, SF)
+    assert len(clustered) == 1                                                           # the first delivery only
+    assert history.where("replaced_at is null and submission_version = 3").count() > 0
+
+
+def test_submission_of_several_periods_is_listed_once(spark, path, monkeypatch):
+    """Sets are collected from a row a period, not from all rows: they are collected from sorted rows."""
+    sets, collect_set = [], F.collect_set
+    monkeypatch.setattr(F, "collect_set", lambda c: sets.append(c) or collect_set(c))
+    made = [("a", "2024-01"), ("a", "2024-01"), ("a", "2024-02"), ("a", "x"), ("a", "y"), ("b", "2024-02"), (None, "2024-02")]
+    bronze.replace_submissions(spark, path, delivery(spark, made), delivery(spark, made).select("submission_id").union(spark.sql("select 'c'")), at=at(1))
+    loads = Store(spark, path).read("loads", LOADS).selectExpr("submission_id", "rows", "sort_array(periods)").collect()
+    assert {tuple(r) for r in map(lambda r: (r[0], r[1], tuple(r[2])), loads)} == {
+        ("a", 5, ("2024-01", "2024-02", "invalid")), ("b", 1, ("2024-02",)), ("c", 0, ()), (None, 0, ())}
+    assert sets == ["p"]
+
+
 def test_periods_of_many_files_are_merged(spark, path, monkeypatch):
     monkeypatch.setattr(bronze, "MOST_PERIOD_FILES", 2)
     for n in range(5):
