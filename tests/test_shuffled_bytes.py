@@ -13,6 +13,7 @@ from lakepipe.session import ensure_checkpoint_dir
 from lakepipe.sources import testdata as td
 from lakepipe.sources import versioned
 from lakepipe.sources.versioned import Store
+from lakepipe.streaming import payments
 
 
 def kept_folders(spark, name):
@@ -39,6 +40,20 @@ def test_presum_adds_up_null_keys_and_repeated_lines(spark):
     assert {tuple(r) for r in got.collect()} == {("FI001", None, 3), ("FI001", "HQLA_L1", 4), (None, "HQLA_L1", 16)} and got.count() == 3
 
 
+def test_minute_stats_of_a_table_have_no_partial_sum(spark):
+    """The events are shuffled before they are summed: a sum of a task's events held nearly all of them and spilled."""
+    made = [("2024-01-01 00:00:01", "FI001", "RTGS", 1.5, "FAILED"), ("2024-01-01 00:00:59", "FI001", "RTGS", 2.0, "SETTLED"),
+            ("2024-01-01 00:00:59", "FI001", "RTGS", 2.0, "SETTLED"), ("2024-01-01 00:01:00", "FI001", "RTGS", None, None),
+            ("2024-01-01 00:00:01", None, None, 4.0, "FAILED"), ("2024-01-01 00:00:02", None, None, 4.0, "PENDING"), (None, "FI001", "RTGS", 8.0, "FAILED")]
+    events = spark.createDataFrame(made, "at string, institution_id string, payment_system string, amount double, status string")
+    events = events.withColumn("ts", F.col("at").cast("timestamp"))
+    stats = payments.minute_stats(events)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan.split("Exchange")[1]
+    got = {tuple(r) for r in stats.select("institution_id", "payment_system", "event_count", "total_amount", "failed_count").collect()}
+    assert got == {("FI001", "RTGS", 3, 5.5, 1), ("FI001", "RTGS", 1, None, 0), (None, None, 2, 8.0, 1)} and stats.count() == 3
+
+
 def test_served_bronze_is_written_once(spark, tmp_path):
     for t in ("lineitem", "orders", "supplier", "nation"):
         (tmp_path / f"{t}.parquet").write_bytes(Path(f"{SF}/{t}.parquet").read_bytes())
